@@ -165,3 +165,18 @@ def joined(arr: Column, sep: str = ", ") -> Column:
 def signed(amount: Column, code: Column, negative_codes: Sequence[str]) -> Column:
     """Amount with its sign flipped for the given codes."""
     return F.when(code.isin(*negative_codes), -amount).otherwise(amount)
+
+
+def round_ratio(num: Column, den: Column, digits: int) -> Column:
+    """Decimal num / den rounded half up; NULL where den is zero."""
+    return F.round(F.try_divide(num.cast("decimal(24,2)"), den.cast("decimal(24,2)")), digits)
+
+
+# Characters after which a word starts when text is title-cased, besides white space.
+TITLE_BREAKS = r"""\s\[\](){}/|<>!?@"^#$&~_,.:;*%+\-"""
+
+
+def title_text(s: Column) -> Column:
+    """Upper-case the first letter of each word, lower-case the rest; punctuation separates words too."""
+    words = F.split(F.lower(s), f"(?<=[{TITLE_BREAKS}])")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), "")
