@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lossledger.functions.rules import TAX_DIVISOR, local_date, local_time, minutes_between, money, month_start
+from lossledger.functions.rules import TAX_DIVISOR, local_date, minutes_between, money, month_start
 from lossledger.operators.joins import explode_active_days, explode_active_months, fill_from_breakpoints, join_role, join_valid_at
 from lossledger.operators.ordered import first_per_key, id_block, time_slot, with_neighbours
 from lossledger.plans.collections import item_payments, items_of_types, settled_transactions
@@ -177,7 +177,7 @@ def video_consults(t: Tables, rules: ClaimRules = ClaimRules()) -> DataFrame:
     )
     kept = last_of_burst(rows, ["member_id"], "created_at", "service_id", rules.burst_minutes)
     contracts = t["payroll_doctor"].where(F.col("type") == rules.primary_type)
-    tagged = tag_scheme(kept, contracts, "provided_by_object_id", local_time(F.col("created_at")), "vc_schema")
+    tagged = tag_scheme(kept, contracts, "provided_by_object_id", F.col("service_created_at"), "vc_schema")
     return tagged.drop("created_at", "provided_by_object_id")
 
 
@@ -237,7 +237,7 @@ def clinic_visits(t: Tables, rules: ClaimRules = ClaimRules()) -> DataFrame:
         "created_at", local_date(F.col("created_at")).alias("service_created_at"), "doctor_id",
     )
     contracts = t["payroll_doctor"].where(F.col("type") != rules.primary_type)
-    return tag_scheme(rows, contracts, "doctor_id", local_time(F.col("created_at")), "ipc_schema").drop("created_at")
+    return tag_scheme(rows, contracts, "doctor_id", F.col("service_created_at"), "ipc_schema").drop("created_at")
 
 
 def with_copay(rows: DataFrame, t: Tables) -> DataFrame:

@@ -56,7 +56,7 @@ def earned_share(since: Column, through: Column, ended: Column, cutoff: Column)
     days = (date_diff(upto, since, "DAY") + 1).cast("decimal(10,0)")
     term = (date_diff(through, since, "DAY") + 1).cast("decimal(10,0)")
     part = F.greatest(F.lit(0).cast("decimal(10,0)"), F.try_divide(days, term))
-    return F.when(through <= upto, 1).when(since > cutoff, 0).otherwise(part).cast("decimal(18,10)")
+    return F.when(through <= upto, 1).when(since > cutoff, 0).otherwise(part).cast("decimal(12,10)")
 
 
 def accrued_to_cutoff(
@@ -94,7 +94,7 @@ def accrued_to_cutoff(
         F.min("_through").over(so_far).cast("date").alias("_through"),
         F.min("_amendment_end").over(so_far).alias("_amendment_end"),
         F.min("_plan_end").over(so_far).alias("_plan_end"),
-        F.sum("_paid").over(so_far).cast("decimal(28,6)").alias("_paid"),
+        F.sum("_paid").over(so_far).cast("decimal(20,6)").alias("_paid"),
     )
     ended = least_of(F.col("_amendment_end"), F.col("_through"), F.lit(as_of), F.col("_plan_end"), null_policy=null_policy)
     state = state.withColumn("_ended", ended)
