@@ -10,19 +10,25 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import date_diff
 
 
-def month_end_array(start: dt.date, as_of: dt.date) -> Column:
-    """Days before each month start from ``start`` to ``as_of``'s month."""
+def month_end_array(start: dt.date | Column, as_of: dt.date | Column) -> Column:
+    """Days before each month start from ``start`` (a first of a month) to ``as_of``'s month."""
     starts = F.sequence(F.lit(start), F.trunc(F.lit(as_of), "MM"), F.expr("interval 1 month"))
     return F.transform(starts, lambda d: F.date_sub(d, 1))
 
 
-def month_end_spine(spark: SparkSession, start: dt.date, as_of: dt.date, out: str = "date_date") -> DataFrame:
-    return spark.range(1).select(F.explode(month_end_array(start, as_of)).alias(out))
+def month_end_spine(bounds: DataFrame, start: dt.date | Column, as_of: dt.date | Column, out: str = "date_date") -> DataFrame:
+    """Month ends for the one row of ``bounds`` (its columns may give the limits)."""
+    return bounds.select(F.explode(month_end_array(start, as_of)).alias(out))
 
 
-def day_spine(spark: SparkSession, start: dt.date, as_of: dt.date) -> DataFrame:
+def day_spine(bounds: DataFrame, start: dt.date | Column, as_of: dt.date | Column) -> DataFrame:
+    """(ts_date, month) for every day from start to as_of."""
     days = F.sequence(F.lit(start), F.lit(as_of), F.expr("interval 1 day"))
-    return spark.range(1).select(F.explode(days).alias("ts_date")).withColumn("month", F.trunc("ts_date", "MM"))
+    return bounds.select(F.explode(days).alias("ts_date")).withColumn("month", F.trunc("ts_date", "MM"))
+
+
+def one_row(spark: SparkSession) -> DataFrame:
+    return spark.range(1)
 
 
 def month_grid(classes: DataFrame, start: dt.date, as_of: dt.date, out: str = "date_date") -> DataFrame:
