@@ -84,16 +84,16 @@ def with_neighbours(
     across = Window.partitionBy(*keys).orderBy(_B)
     carried = {}
     if prev:
-        carried["_prev"] = F.lag("_last").over(across)
+        carried["_carry_prev"] = F.lag("_last").over(across)
     if next:
-        carried["_next"] = F.lead("_first").over(across)
+        carried["_carry_next"] = F.lead("_first").over(across)
     summary = summary.withColumns(carried).drop("_first", "_last")
     inside = Window.partitionBy(*by).orderBy(*order)
     out, added = _attach(rows, summary, by), {}
     if prev:
-        added[prev] = F.coalesce(F.lag(boxed).over(inside), F.col("_prev"))["v"]
+        added[prev] = F.coalesce(F.lag(boxed).over(inside), F.col("_carry_prev"))["v"]
     if next:
-        added[next] = F.coalesce(F.lead(boxed).over(inside), F.col("_next"))["v"]
+        added[next] = F.coalesce(F.lead(boxed).over(inside), F.col("_carry_next"))["v"]
     return out.withColumns(added).drop(_B, *carried)
 
 

@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import date_diff
 
 
-def month_end_array(start: dt.date | Column, as_of: dt.date | Column) -> Column:
-    """Days before each month start from ``start`` (a first of a month) to ``as_of``'s month."""
-    starts = F.sequence(F.lit(start), F.trunc(F.lit(as_of), "MM"), F.expr("interval 1 month"))
-    return F.transform(starts, lambda d: F.date_sub(d, 1))
+def month_starts(start: dt.date | Column, as_of: dt.date | Column) -> Column:
+    """Month starts from ``start`` (a first of a month) to ``as_of``'s month."""
+    return F.sequence(F.lit(start), F.trunc(F.lit(as_of), "MM"), F.expr("interval 1 month"))
 
 
 def month_end_spine(bounds: DataFrame, start: dt.date | Column, as_of: dt.date | Column, out: str = "date_date") -> DataFrame:
-    """Month ends for the one row of ``bounds`` (its columns may give the limits)."""
-    return bounds.select(F.explode(month_end_array(start, as_of)).alias(out))
+    """The day before each month start, for the one row of ``bounds`` (its columns may give the limits)."""
+    return bounds.select(F.explode(month_starts(start, as_of)).alias(out)).withColumn(out, F.date_sub(out, 1))
 
 
 def day_spine(bounds: DataFrame, start: dt.date | Column, as_of: dt.date | Column) -> DataFrame:
@@ -31,9 +30,9 @@ def one_row(spark: SparkSession) -> DataFrame:
     return spark.range(1)
 
 
-def month_grid(classes: DataFrame, start: dt.date, as_of: dt.date, out: str = "date_date") -> DataFrame:
+def month_grid(classes: DataFrame, start: dt.date | Column, as_of: dt.date | Column, out: str = "date_date") -> DataFrame:
     """Every month end beside every row of ``classes``: a generator over the classes, so no cross join."""
-    return classes.withColumn(out, F.explode(month_end_array(start, as_of)))
+    return classes.withColumn(out, F.explode(month_starts(start, as_of))).withColumn(out, F.date_sub(out, 1))
 
 
 def months_to_as_of(start: Column, as_of: Column) -> Column:

@@ -37,6 +37,7 @@ def local_session(cpus: int | None = None, app: str = "lossledger") -> SparkSess
             "spark.sql.shuffle.partitions": str(cpus),
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.extraJavaOptions": "-Dlog4j2.level=ERROR",
         },
     )

@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from queries import basics, scalars  # noqa: F401
+from queries import aggregates, basics, joins, scalars, windows  # noqa: F401
 from queries.registry import SPARK, SQL  # noqa: F401

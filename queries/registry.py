@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SPARK: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+MODULE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -22,6 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in SPARK:
             raise ValueError(f"{name} is registered twice")
+        MODULE[name] = fn.__module__.rsplit(".", 1)[-1]
         SPARK[name] = lambda spark, sf: plain(fn(spark, sf))
         if sql is not None:
             SQL[name] = sql

@@ -68,7 +68,9 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     queries, sqls = entry.queries(), entry.oracle_sql()
-    picked = args[1:] or list(queries)
+    from queries.registry import MODULE
+
+    picked = [n for n in queries if not args[1:] or n in args[1:] or MODULE[n] in args[1:]]
     failed = []
     for name in picked:
         try:
@@ -77,5 +79,5 @@ if __name__ == "__main__":
             ok, message, seconds = False, f"{type(e).__name__}: {str(e)[:600]}", 0.0
         if not ok:
             failed.append(name)
-        print(f"{'ok  ' if ok else 'FAIL'} {seconds:6.2f} {name}: {message if not ok else message}", flush=True)
+        print(f"{'ok  ' if ok else 'FAIL'} {seconds:6.2f} {name}: {message}", flush=True)
     print(f"{len(picked) - len(failed)}/{len(picked)} ok; failed: {failed}")
