@@ -262,12 +262,17 @@ def clinic_costs(t: Tables, visits: DataFrame, as_of: dt.date, rules: ClaimRules
     return both.drop("_copay", "doctor_id")
 
 
-def video_costs(t: Tables, consults: DataFrame, as_of: dt.date, rules: ClaimRules = ClaimRules()) -> DataFrame:
+def video_scheme_costs(t: Tables, as_of: dt.date, rules: ClaimRules = ClaimRules()) -> DataFrame:
+    """(month, subtotal, vc_schema): what consult hours and salaried doctors cost per month."""
     hourly = hourly_consult_cost(t, rules).unionByName(t["monthly_consult_cost"].select("month", "subtotal"))
     hourly = hourly.groupBy("month").agg(F.sum("subtotal").cast("decimal(18,2)").alias("subtotal")).withColumn("vc_schema", F.lit(HOURLY))
     contracts = t["payroll_doctor"].where(F.col("type") == rules.primary_type)
-    payroll = payroll_by_month(contracts, rules.first_day, as_of).withColumn("vc_schema", F.lit(PAYROLL))
-    units = unit_cost_monthly(service_counts(consults, ["vc_schema"]), hourly.unionByName(payroll), ["vc_schema"], as_of)
+    return hourly.unionByName(payroll_by_month(contracts, rules.first_day, as_of).withColumn("vc_schema", F.lit(PAYROLL)))
+
+
+def video_costs(t: Tables, consults: DataFrame, as_of: dt.date, rules: ClaimRules = ClaimRules()) -> DataFrame:
+    costs = video_scheme_costs(t, as_of, rules)
+    units = unit_cost_monthly(service_counts(consults, ["vc_schema"]), costs, ["vc_schema"], as_of)
     return allocate_unit_cost(consults, units, ["vc_schema"])
 
 

@@ -53,9 +53,9 @@ def earned_share(since: Column, through: Column, ended: Column, cutoff: Column)
     """Part of an instalment earned by a cutoff. ``ended`` is the earliest of end of cover, cancellations and the
     as-of date; the share is 1 once the whole term is over by then, 0 before it starts, never negative."""
     upto = F.least(ended, cutoff)
-    days = (date_diff(upto, since, "DAY") + 1).cast("decimal(10,0)")
-    term = (date_diff(through, since, "DAY") + 1).cast("decimal(10,0)")
-    part = F.greatest(F.lit(0).cast("decimal(10,0)"), F.try_divide(days, term))
+    days = (date_diff(upto, since, "DAY") + 1).cast("decimal(20,0)")
+    term = (date_diff(through, since, "DAY") + 1).cast("decimal(20,0)")
+    part = F.greatest(F.lit(0).cast("decimal(20,10)"), F.round(F.try_divide(days, term), 10).cast("decimal(20,10)"))
     return F.when(through <= upto, 1).when(since > cutoff, 0).otherwise(part).cast("decimal(12,10)")
 
 

@@ -167,14 +167,15 @@ def premium_report(t: Tables, as_of: dt.date, group_sizes: DataFrame | None = No
     rows = rows.join(listed, F.col("_listed") == F.col("uuid"), "left")
     ended = F.coalesce("amendment_cancelation_date", "cancelation_date")
     so_far, share = exposure_days(F.col("amendment_valid_since"), F.col("amendment_valid_through"), ended, F.lit(as_of), null_policy)
-    in_scope = F.coalesce(F.col("amendment_category").isin(*DISCOUNTED), F.lit(True))
     applied, gross, discount = discount_backout(F.col("net_premium"), F.col("amendment_category"), F.col("_discount_share"))
     has_amendment = F.col("amendment_id").isNotNull()
     return rows.withColumns(
         {
             "amendment_vigour_days_so_far": so_far,
             "amendment_vigour_days_so_far_prop": share,
-            "reinsurance_participates": ceded(in_scope, F.col("product_family"), F.col("_listed").isNotNull() & has_amendment),
+            "reinsurance_participates": F.when(
+                has_amendment, ceded(F.col("amendment_category").isin(*DISCOUNTED), F.col("product_family"), F.col("_listed").isNotNull())
+            ).otherwise(True),
             "discountpercent": F.coalesce(applied, F.lit(0).cast("decimal(28,4)")),
             "net_premium_before_discount": gross,
             "discount": F.coalesce(discount, F.lit(0).cast("decimal(18,2)")),
