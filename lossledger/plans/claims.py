@@ -15,6 +15,7 @@ from lossledger.operators.ordered import first_per_key, id_block, time_slot, wit
 from lossledger.plans.collections import item_payments, items_of_types, settled_transactions
 from lossledger.plans.membership import Tables
 from lossledger.plans.premium import SMALL_PRODUCT
+from lossledger.sources.tables import materialise
 
 # Service types, scheme labels, states and content tags.
 ON_DEMAND = "ON_DEMAND_CONSULT"
@@ -336,7 +337,9 @@ def _consult_rows(rows: DataFrame, label: str, missing: str) -> DataFrame:
 
 def claims_report(t: Tables, premium: DataFrame, as_of: dt.date, rules: ClaimRules = ClaimRules()) -> DataFrame:
     """All payments of services in one shape, with the price charged to reinsurance and whether it takes part."""
-    consults, visits = video_consults(t, rules), clinic_visits(t, rules)
+    # Both are read three times below: for the unit cost, its allocation, and the price to reinsurance.
+    consults = materialise(video_consults(t, rules), "consults")
+    visits = materialise(clinic_visits(t, rules), "visits")
     video = _consult_rows(video_costs(t, consults, as_of, rules), VIDEO_LABEL, "ipc_schema")
     clinic = _consult_rows(clinic_costs(t, visits, as_of, rules), CLINIC_LABEL, "vc_schema")
     payments = signed_claims(t, rules).unionByName(video).unionByName(clinic)

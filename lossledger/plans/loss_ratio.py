@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import date_diff, least_of, round_ratio
 from lossledger.operators.aggregates import rollup_levels
 from lossledger.operators.spines import month_grid
+from lossledger.sources.tables import materialise
 
 # Class labels, the window lengths of the trailing ratios, and the first cutoff's next month.
 OVERALL, RETAIL, BUSINESS, SMALL_BUSINESS, LARGER_BUSINESS = "Overall", "B2C", "B2B", "B2B (1 - 9)", "B2B (10 or more)"
@@ -126,7 +127,8 @@ def accrued_to_cutoff(
     grid = month_grid(classes.select("hp_class").distinct(), start, as_of)
     along = Window.partitionBy("hp_class").orderBy("date_date").rowsBetween(Window.unboundedPreceding, 0)
     total = F.coalesce("_here", F.lit(0)) + F.coalesce(F.sum("_onward").over(along), F.lit(0))
-    first_seen = rows.agg(F.min("_from").alias("m")).scalar()
+    # The grid is months x classes, so one window over all of it is small.
+    first_seen = F.min(F.when(F.col("_here").isNotNull(), F.col("date_date"))).over(Window.partitionBy())
     filled = grid.join(summed, ["hp_class", "date_date"], "left").withColumn("_total", total)
     premium = F.when(F.col("date_date") >= first_seen, F.round("_total", 2).cast("decimal(18,2)"))
     return filled.select("date_date", "hp_class", premium.alias("accrued_and_collected_premium"))
@@ -164,7 +166,7 @@ def loss_ratio_report(
     premium: DataFrame, collections: DataFrame, claims: DataFrame, as_of: dt.date, start: dt.date = FIRST_MONTH, null_policy: str = "skip"
 ) -> DataFrame:
     """Four granularities by month end with running and trailing loss ratios."""
-    classes = plan_classes(premium)
+    classes = materialise(plan_classes(premium), "classes")
     grid = month_grid(classes.select("hp_class").distinct().withColumn("ss_class", F.lit(ALL_SERVICES)), start, as_of)
     paid = cumulative_to_cutoff(
         claims_in_scope(claims, classes, as_of), "transaction_date", ["hp_class", "ss_class"], "subtotal", grid, start, "service_payments"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import OPEN_END, json_text, least_of, local_date, size_band
 from lossledger.operators.aggregates import distinct_array
 from lossledger.operators.ordered import with_key_aggregate
+from lossledger.sources.tables import materialise
 
 Tables = Mapping[str, DataFrame]
 
@@ -194,7 +195,7 @@ def members_today(members: DataFrame) -> DataFrame:
 
 def group_size_report(t: Tables, as_of: dt.date) -> DataFrame:
     """One row per business group: dates, ids, three head counts and their size bands."""
-    members = with_group(with_group_state(business_members(t, as_of)), t["business_group"])
+    members = materialise(with_group(with_group_state(business_members(t, as_of)), t["business_group"]), "members")
     dates = group_dates(members)
     peak = peak_concurrent(members, "business_group", "member_id", "subscription_date", "cancelation_date", "max_simultaneous_members")
     merged = peak.join(members_today(members), "business_group", "full").join(active_after(members, dates), "business_group", "full")

@@ -30,6 +30,7 @@ from lossledger.plans.membership import (
     live_plans,
     with_business,
 )
+from lossledger.sources.tables import materialise
 
 # Legends that mean the base cover, the categories a discount applies to, and the small product.
 BASE_LEGENDS = ("Collective Subscription Amendment", "Subscription Amendment")
@@ -160,7 +161,7 @@ def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: st
 
 def premium_report(t: Tables, as_of: dt.date, group_sizes: DataFrame | None = None, null_policy: str = "skip") -> DataFrame:
     """One row per plan and premium amendment (a plan without one keeps a row of NULL amounts)."""
-    sizes = group_size_report(t, as_of) if group_sizes is None else group_sizes
+    sizes = materialise(group_size_report(t, as_of), "group_sizes") if group_sizes is None else group_sizes
     listed = t["non_ceded_plan"].select(F.col("healthplan_uuid").alias("_listed")).distinct()
     rows = plan_base(t, as_of, sizes, null_policy)
     rows = rows.join(amendment_facts(t["amendment"], t["amendment_code"]), "healthplan_id", "left")

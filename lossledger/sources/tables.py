@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def work_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables; a local one only where none is named (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared if shared else tempfile.mkdtemp(prefix="lossledger-")
+    return shared if shared else os.path.join(tempfile.gettempdir(), f"lossledger-{spark.sparkContext.applicationId}")
 
 
 def save_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -29,6 +29,10 @@ def save_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write a table used several times once, in the shared work folder."""
+    """Write a table that several branches read once, in the shared work folder.
+
+    The readers then start from a file scan: the branches do not repeat its joins, the lost-executor cost is a
+    re-read, and the optimizer sees the table's real size.
+    """
     spark = df.sparkSession
     return save_table(df, os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}"))
