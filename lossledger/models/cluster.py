@@ -10,7 +10,7 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.functions.rules import thousands
+from lossledger.functions.rules import round_ratio, thousands
 from lossledger.operators.aggregates import capped_distinct_array, distinct_lengths
 
 
@@ -64,8 +64,8 @@ def cluster_purity(df: DataFrame, cluster: str, features: Sequence[str]) -> Data
     """Mean number of distinct values per feature over the clusters, one decimal; a cluster without any value of a
     feature does not count."""
     lengths = distinct_lengths(df, [cluster], features)
-    means = [
-        F.round(F.avg(F.when(F.col("feature") == f, F.col("n_values")).cast("decimal(18,0)")), 1).cast("double").alias(f"avg_len_array_{f}")
-        for f in features
-    ]
+    means = []
+    for f in features:
+        n = F.when(F.col("feature") == f, F.col("n_values"))
+        means.append(round_ratio(F.sum(n), F.count(n), 1).cast("double").alias(f"avg_len_array_{f}"))
     return lengths.agg(*means)
