@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import FeatureHasher, VectorAssembler
@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.functions.rules import range_band, safe_ratio
-from lossledger.operators.ordered import range_bucket, split_points, with_row_number, with_running_sum
-from lossledger.sources.tables import save_table
+from lossledger.operators.aggregates import melt
+from lossledger.operators.ordered import grouped_bucket, grouped_split_points, range_bucket, with_row_number, with_running_sum
+from lossledger.sources.tables import materialise, save_table
 
 # Age bands and body-mass bands of the cluster reports.
 AGE_BANDS = (
@@ -54,44 +55,66 @@ def body_mass_band(weight_kg: Column, height_cm: Column) -> Column:
     return F.when(bmi < BMI_UNDER, BMI_UNDER_LABEL).otherwise(range_band(bmi, BMI_BANDS))
 
 
+def code_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, code) for all columns in one pass: 1, 2, ... over each one's sorted distinct values (as
+    text). Values are numbered range by range, so no task sorts a whole vocabulary."""
+    values = melt(df, [], columns).where(F.col("value").isNotNull()).distinct()
+    values = materialise(values, "vocabulary")
+    points = grouped_split_points(values, "feature", "value")
+    bucket = grouped_bucket(F.col("feature"), F.col("value"), points)
+    return with_row_number(values, ["feature"], ["value"], bucket, "code")
+
+
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): 1, 2, ... over the sorted distinct values. Numbered range by range, so the order needs no
-    single-task sort."""
-    values = df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
-    points = split_points(df, column)
-    return with_row_number(values, [], ["value"], range_bucket(F.col("value"), points), "code")
+    """(value, code) of one column."""
+    return code_table(df, [column]).select("value", "code")
 
 
 def encode_label(df: DataFrame, codes: DataFrame, column: str, out: str) -> DataFrame:
     """The code of each value; 0 for NULL and for values not seen in fitting."""
     side = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-    found = df.join(side, F.col("_value") == F.col(column), "left")
+    found = df.join(side, F.col("_value") == F.col(column).cast("string"), "left")
     return found.withColumn(out, F.coalesce("_code", F.lit(0)).cast("bigint")).drop("_value", "_code")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float]) -> list[float]:
-    """Interpolated quantiles, exact at any size: values are counted, the counts are summed up range by range, and
-    only the asked-for order statistics reach the driver (two per probability)."""
-    counts = df.select(F.col(column).cast("double").alias("v")).where(F.col(column).isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
-        raise ValueError(f"no values in {column}")
-    points = split_points(counts, "v")
-    ranked = with_running_sum(counts, [], ["v"], "n", range_bucket(F.col("v"), points), "upto")
-    wanted = [(p * (total - 1)) for p in probs]
-    ranks = sorted({int(w) for w in wanted} | {min(int(w) + 1, total - 1) for w in wanted})
-    row = ranked.agg(*[F.min(F.when(F.col("upto") > r, F.col("v"))).alias(str(r)) for r in ranks]).first()
-    out = []
-    for w in wanted:
-        low = row[str(int(w))]
-        high = row[str(min(int(w) + 1, total - 1))]
-        out.append(low + (high - low) * (w - int(w)))
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
+    """Interpolated quantiles of several columns, exact at any size, in one pass over the table.
+
+    Values are counted, the counts are summed up range by range, and only the asked-for order statistics reach the
+    driver (two per probability).
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in wanted])
+    flat = df.select(F.explode(pairs).alias("p")).select("p.feature", "p.v").where(F.col("v").isNotNull())
+    counts = materialise(flat.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    totals = {r[0]: r[1] for r in counts.groupBy("feature").agg(F.sum("n")).collect()}
+    missing = [c for c in wanted if not totals.get(c)]
+    if missing:
+        raise ValueError(f"no values in {missing}")
+    points = grouped_split_points(counts, "feature", "v")
+    ranked = with_running_sum(counts, ["feature"], ["v"], "n", grouped_bucket(F.col("feature"), F.col("v"), points), "upto")
+
+    places = {c: [p * (totals[c] - 1) for p in probs] for c, probs in wanted.items()}
+    ranks = {c: sorted({min(int(x) + i, totals[c] - 1) for x in xs for i in (0, 1)}) for c, xs in places.items()}
+    at = [
+        F.min(F.when((F.col("feature") == c) & (F.col("upto") > r), F.col("v"))).alias(f"{i}_{r}")
+        for i, c in enumerate(wanted)
+        for r in ranks[c]
+    ]
+    row = ranked.agg(*at).first()
+    out = {}
+    for i, (c, xs) in enumerate(places.items()):
+        low = [row[f"{i}_{int(x)}"] for x in xs]
+        high = [row[f"{i}_{min(int(x) + 1, totals[c] - 1)}"] for x in xs]
+        out[c] = [a + (b - a) * (x - int(x)) for a, b, x in zip(low, high, xs)]
     return out
 
 
+def cut_probs(buckets: int) -> list[float]:
+    return [i / buckets for i in range(1, buckets)]
+
+
 def quantile_cuts(df: DataFrame, column: str, buckets: int) -> list[float]:
-    cuts = exact_quantiles(df, column, [i / buckets for i in range(1, buckets)])
-    return sorted(set(cuts))
+    return sorted(set(exact_quantiles(df, {column: cut_probs(buckets)})[column]))
 
 
 def bucket_label(x: Column, cuts: Sequence[float]) -> Column:
@@ -99,9 +122,12 @@ def bucket_label(x: Column, cuts: Sequence[float]) -> Column:
     return F.when(x.isNotNull(), F.concat(F.lit("bin_"), (range_bucket(x, cuts) + 1).cast("string")))
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def robust_params(df: DataFrame, column: str) -> tuple[float, float]:
     """(median, interquartile range)."""
-    q1, median, q3 = exact_quantiles(df, column, [0.25, 0.5, 0.75])
+    q1, median, q3 = exact_quantiles(df, {column: QUARTILES})[column]
     return median, q3 - q1
 
 
@@ -136,26 +162,38 @@ class FeatureSpec:
 
 @dataclass
 class FeatureModel:
-    """A fitted FeatureSpec."""
+    """A fitted FeatureSpec: one code table for all labels, cut points, medians and spreads."""
 
     spec: FeatureSpec
-    codes: dict[str, DataFrame] = field(default_factory=dict)
+    codes: DataFrame | None = None
     cuts: dict[str, list[float]] = field(default_factory=dict)
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, spec: FeatureSpec) -> FeatureModel:
+        """Two passes over the table: one for all vocabularies, one for all quantiles."""
         model = cls(spec)
-        model.codes = {c: label_codes(df, c) for c in spec.labels}
-        model.cuts = {c: quantile_cuts(df, c, n) for c, n in spec.buckets}
-        model.scale = {c: robust_params(df, c) for c in spec.scaled}
+        if spec.labels:
+            model.codes = materialise(code_table(df, spec.labels), "codes")
+        asked: dict[str, list[float]] = {}
+        for c, n in spec.buckets:
+            asked.setdefault(c, []).extend(cut_probs(n))
+        for c in spec.scaled:
+            asked.setdefault(c, []).extend(QUARTILES)
+        if asked:
+            found = exact_quantiles(df, asked)
+            for c, n in spec.buckets:
+                model.cuts[c] = sorted(set(found[c][: n - 1]))
+            for c in spec.scaled:
+                q1, median, q3 = found[c][-3:]
+                model.scale[c] = (median, q3 - q1)
         return model
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds the coded columns: <c>_code, <c>_bucket, <c>_scaled and crosses as a_x_b."""
         out = df
-        for c, codes in self.codes.items():
-            out = encode_label(out, codes, c, f"{c}_code")
+        for c in self.spec.labels:
+            out = encode_label(out, self.codes.where(F.col("feature") == c), c, f"{c}_code")
         added = {}
         for c, cuts in self.cuts.items():
             added[f"{c}_bucket"] = bucket_label(F.col(c).cast("double"), cuts)
@@ -166,7 +204,7 @@ class FeatureModel:
         return out.withColumns(added) if added else out
 
     def numeric_columns(self) -> list[str]:
-        return [f"{c}_code" for c in self.codes] + [f"{c}_scaled" for c in self.scale] + list(self.spec.passed)
+        return [f"{c}_code" for c in self.spec.labels] + [f"{c}_scaled" for c in self.scale] + list(self.spec.passed)
 
     def category_columns(self) -> list[str]:
         return [f"{c}_bucket" for c in self.cuts] + ["_x_".join(x) for x in self.spec.crosses]
@@ -188,12 +226,12 @@ class FeatureModel:
         return self.numeric_columns() + hashed
 
     def save(self, path: str) -> None:
-        """Code tables as one parquet table, numbers as one JSON row."""
+        """The code table as parquet, the numbers as one JSON row."""
         spark = SparkSession.getActiveSession()
         state = json.dumps({"spec": asdict(self.spec), "cuts": self.cuts, "scale": self.scale})
         spark.createDataFrame([(state,)], "state string").write.mode("overwrite").json(os.path.join(path, "state"))
-        for c, table in self.codes.items():
-            save_table(table, os.path.join(path, "codes", c))
+        if self.codes is not None:
+            save_table(self.codes, os.path.join(path, "codes"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
@@ -207,5 +245,5 @@ class FeatureModel:
             passed=tuple(raw["passed"]),
             hash_size=raw["hash_size"],
         )
-        codes = {c: spark.read.parquet(os.path.join(path, "codes", c)) for c in spec.labels}
+        codes = spark.read.parquet(os.path.join(path, "codes")) if spec.labels else None
         return cls(spec, codes, state["cuts"], {c: tuple(v) for c, v in state["scale"].items()})

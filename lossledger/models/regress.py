@@ -33,7 +33,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     y, p = F.col(label), F.col(prediction)
     err = y - p
     log_gap = F.log1p(F.greatest(p, F.lit(0.0))) - F.log1p(F.greatest(y, F.lit(0.0)))
-    median = exact_quantiles(df.select(F.abs(err).alias("e")), "e", [0.5])[0]
+    median = exact_quantiles(df.select(F.abs(err).alias("e")), {"e": [0.5]})["e"][0]
     ss_res, var_y, var_err = F.sum(err * err), F.var_pop(y), F.var_pop(err)
     return df.agg(
         F.avg(F.abs(err)).alias("mean_absolute_error"),

@@ -29,15 +29,36 @@ def time_slot(ts: Column, seconds: int = 6 * 3600) -> Column:
 def split_points(df: DataFrame, column: str, parts: int | None = None, per_part: int = 20) -> list:
     """Values that cut the distinct values of a column into about equal ranges, from a bounded hash sample.
 
-    The sample is the rows with the smallest hashes (top-k, at most parts * per_part rows on the driver). The cut
-    only balances work; no result depends on it.
+    The cut only balances work; no result depends on it.
     """
+    one = df.select(F.lit(0).alias("_g"), F.col(column).alias("_v"))
+    return grouped_split_points(one, "_g", "_v", parts, per_part).get(0, [])
+
+
+def grouped_split_points(df: DataFrame, group: str, column: str, parts: int | None = None, per_part: int = 20) -> dict:
+    """Split points per group in one pass, for a few groups (features). The sample of a group is its rows with the
+    smallest hashes, cut to parts * per_part before the shuffle, so that is all a task or the driver ever holds."""
     parts = parts or _default_parts(df)
-    hashed = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_h", F.xxhash64(column))
-    rows = hashed.orderBy("_h").limit(parts * per_part).collect()
-    values = sorted(r[0] for r in rows)
-    step = max(1, len(values) // parts)
-    return values[step::step][: parts - 1]
+    values = df.select(group, column).where(F.col(column).isNotNull()).distinct()
+    w = Window.partitionBy(group).orderBy(F.xxhash64(column))
+    sample = values.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= parts * per_part)
+    found: dict = {}
+    for row in sample.select(group, column).collect():
+        found.setdefault(row[0], []).append(row[1])
+    out = {}
+    for g, v in found.items():
+        v.sort()
+        step = max(1, len(v) // parts)
+        out[g] = v[step::step][: parts - 1]
+    return out
+
+
+def grouped_bucket(group: Column, col: Column, points: dict) -> Column:
+    """range_bucket with each group's own points."""
+    out = F.lit(0).cast("bigint")
+    for g, p in points.items():
+        out = F.when(group == F.lit(g), range_bucket(col, p)).otherwise(out)
+    return out
 
 
 def _default_parts(df: DataFrame) -> int:

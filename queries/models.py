@@ -10,6 +10,7 @@ from lossledger.models import cluster as K
 from lossledger.models import embed as E
 from lossledger.models import features as X
 from lossledger.models import regress as G
+from lossledger.sources.tables import materialise
 from queries.registry import Tables, query, sql_ratio
 from queries.standins import Standins, ctes
 
@@ -175,7 +176,7 @@ def embedding_join(spark, sf):
 
 def _clustered(spark, sf):
     rows, model = _fitted(spark, sf)
-    assembled = model.assemble(rows)
+    assembled = materialise(model.assemble(rows), "features")
     return assembled, K.cluster_stages().fit(assembled)
 
 
@@ -248,7 +249,7 @@ def cluster_purity(spark, sf):
 
 def _regressed(spark, sf, spec=SPEC, l1=1.0, l2=0.0):
     rows, model = _fitted(spark, sf, spec)
-    assembled = model.assemble(rows)
+    assembled = materialise(model.assemble(rows), "features")
     return model, assembled, G.linear_regression(l1, l2).fit(assembled)
 
 

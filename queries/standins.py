@@ -110,10 +110,10 @@ STANDINS: dict[str, str] = {
     "non_ceded_plan": """SELECT 'hp-' || CAST(o_orderkey AS STRING) AS healthplan_uuid FROM {orders} WHERE o_orderkey % 50 = 7""",
     "non_ceded_service": """SELECT event_id AS service_id FROM {events} WHERE event_id % 70 = 9""",
     "content_type": """
-        SELECT CAST(11 AS BIGINT) AS id, 'healthplan' AS app_label, 'healthplanamendment' AS model
-        UNION ALL SELECT 21, 'claims', 'claimitem'
-        UNION ALL SELECT 22, 'pharmacy', 'pharmacyitem'
-        UNION ALL SELECT 31, 'consult', 'ondemandconsulttimelog' """,
+        SELECT CAST(CASE r_regionkey WHEN 0 THEN 11 WHEN 1 THEN 21 WHEN 2 THEN 22 WHEN 3 THEN 31 ELSE 99 END AS BIGINT) AS id,
+               CASE r_regionkey WHEN 0 THEN 'healthplan' WHEN 1 THEN 'claims' WHEN 2 THEN 'pharmacy' ELSE 'consult' END AS app_label,
+               CASE r_regionkey WHEN 0 THEN 'healthplanamendment' WHEN 1 THEN 'claimitem' WHEN 2 THEN 'pharmacyitem' WHEN 3 THEN 'ondemandconsulttimelog' ELSE 'other' END AS model
+        FROM {region}""",
     "invoice_item": f"""
         SELECT l_orderkey * 10 + l_linenumber AS id, CAST(11 AS BIGINT) AS content_type_id,
                l_orderkey * 10 + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS object_id,
