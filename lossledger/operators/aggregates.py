@@ -64,6 +64,3 @@ def rollup_levels(df: DataFrame, levels: Mapping[int, Column], class_col: str, k
     tagged = tagged.withColumn(level_col, F.col("_t.level")).withColumn(class_col, F.col("_t.label")).drop("_t")
     return tagged.groupBy(level_col, class_col, *keys).agg(*[F.sum(s).alias(s) for s in sums])
 
-
-def value_counts(df: DataFrame, column: str, out: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias(out))

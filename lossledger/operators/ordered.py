@@ -154,9 +154,35 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def with_key_aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Whole-partition window aggregates as a grouped aggregate joined back: partial sums before the shuffle, and
-    the join side can be broadcast or skew-split at run time, where a window cannot."""
+# A key with more than this share of the rows is hot; there can be at most 1 / share of them.
+HOT_SHARE = 1 / 1000
+
+
+def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    """Join a per-key summary (one row per key, with the number of ``rows`` of the key) back to the rows.
+
+    Hot keys are at most a thousand by their definition, so their summary rows are broadcast, and the rows
+    themselves are spread by a salt; all other keys meet in a shuffle join. The salt also keeps a later grouping by
+    the same key from reusing the join's partitioning, so that grouping reduces before its own shuffle.
+    """
     keys = list(keys)
-    summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    return _attach(df, summary, keys)
+    extras = [c for c in summary.columns if c not in keys and c != count]
+    total = summary.agg(F.sum(count)).scalar()
+    packed = F.struct(*extras)
+    hot = summary.where(F.col(count) > total * F.lit(HOT_SHARE))
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], packed.alias("_hot")))
+    found = rows.join(hot, reduce(lambda a, b: a & b, [rows[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys]), "left")
+    spread = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(997)) + 1
+    found = found.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
+    cold = summary.select(*[F.col(k).alias(f"_c_{k}") for k in keys], packed.alias("_cold"), F.lit(0).cast("bigint").alias("_zero"))
+    same = [found[k].eqNullSafe(cold[f"_c_{k}"]) for k in keys] + [found["_salt"] == cold["_zero"]]
+    both = found.join(cold, reduce(lambda a, b: a & b, same), "left")
+    value = F.coalesce("_hot", "_cold")
+    return both.select(*rows.columns, *[value[c].alias(c) for c in extras])
+
+
+def with_key_aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """Whole-partition window aggregates as a grouped aggregate joined back: partial sums go through the shuffle
+    instead of rows, and a hot key's rows stay spread, where a window would gather them in one task."""
+    summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()], F.count(F.lit(1)).alias("_n"))
+    return join_summary(df, summary, keys, "_n")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lossledger.functions.rules import OPEN_END, json_text, least_of, local_date, size_band
 from lossledger.operators.aggregates import distinct_array
-from lossledger.operators.ordered import with_key_aggregate
+from lossledger.operators.ordered import join_summary, with_key_aggregate
 from lossledger.sources.tables import materialise
 
 Tables = Mapping[str, DataFrame]
@@ -53,15 +53,23 @@ def _approved_base(amendments: DataFrame) -> DataFrame:
 def cancellation_dates(plans: DataFrame, amendments: DataFrame, null_policy: str = "skip") -> DataFrame:
     """(healthplan_id, cancelled_at): earliest of min(end of term, cancellation) over approved base amendments.
 
-    A base amendment with a cancelling row that is not effective is left out altogether; a plan that was never
-    cancelled keeps a row with NULL.
+    A base amendment with cancelling rows counts only through those that are effective, and not at all when none is.
+    An effective cancellation without a date takes the plan's own. A plan that was never cancelled keeps a row with
+    NULL. Amendments are reduced to one row per base amendment, then per plan, before anything is joined to plans.
     """
-    live = plans.where(F.col("deleted").isNull()).select(F.col("id").alias("healthplan_id"), "valid_through", "cancelled_at")
+    undated = _effective() & F.col("ca_signed_at").isNull()
+    ca = _cancelling(amendments).groupBy("ca_of").agg(
+        F.min(F.when(_effective(), F.col("ca_signed_at"))).alias("_dated"), F.max(undated).alias("_undated"), F.max(_effective()).alias("_effective")
+    )
     base = _approved_base(amendments).select(F.col("id").alias("base_id"), F.col("health_plan_id").alias("healthplan_id"))
-    pairs = base.join(_cancelling(amendments), F.col("ca_of") == F.col("base_id"), "left").where(F.col("ca_id").isNull() | _effective())
-    at = F.coalesce("ca_signed_at", "cancelled_at")
+    pairs = base.join(ca, F.col("ca_of") == F.col("base_id"), "left").where(F.col("ca_of").isNull() | F.col("_effective"))
+    per_plan = pairs.groupBy("healthplan_id").agg(
+        F.min("_dated").alias("_dated"), F.max(F.col("ca_of").isNull() | F.coalesce("_undated", F.lit(False))).alias("_own")
+    )
+    live = plans.where(F.col("deleted").isNull()).select(F.col("id").alias("healthplan_id"), "valid_through", "cancelled_at")
+    at = F.least("_dated", F.when(F.col("_own"), F.col("cancelled_at")))
     ended = F.when(at.isNotNull(), least_of(F.col("valid_through"), at, null_policy=null_policy))
-    return live.join(pairs, "healthplan_id").groupBy("healthplan_id").agg(F.min(ended).alias("cancelled_at"))
+    return live.join(per_plan, "healthplan_id").select("healthplan_id", ended.alias("cancelled_at"))
 
 
 def cancellation_reasons(amendments: DataFrame, reasons: DataFrame) -> DataFrame:
@@ -91,12 +99,13 @@ def live_plans(plans: DataFrame) -> DataFrame:
 
 
 def with_business(plans: DataFrame, admins: DataFrame, businesses: DataFrame) -> DataFrame:
-    """Adds business_id and business_name of the owner, for business-owned plans."""
+    """Adds business_id and business_name of the owner, for business-owned plans. Owners and names are joined first,
+    so the plans are joined once."""
+    names = businesses.select(F.col("id").alias("_b"), F.trim(F.coalesce("common_name", "legal_name")).alias("business_name"))
     owners = admins.where(F.col("role") == OWNER_ROLE).select(F.col("user_id").alias("_owner"), "business_id")
+    owners = owners.join(names, F.col("_b") == F.col("business_id"), "left").drop("_b")
     key = F.when(F.col("is_owned_by_business"), F.col("owner_user_id"))
-    names = businesses.select(F.col("id").alias("business_id"), F.trim(F.coalesce("common_name", "legal_name")).alias("business_name"))
-    owned = plans.withColumn("_key", key).join(owners, F.col("_key") == F.col("_owner"), "left").drop("_key", "_owner")
-    return owned.join(names, "business_id", "left")
+    return plans.withColumn("_key", key).join(owners, F.col("_key") == F.col("_owner"), "left").drop("_key", "_owner")
 
 
 def business_members(t: Tables, as_of: dt.date, internal_inverted: bool = False) -> DataFrame:
@@ -123,20 +132,29 @@ def business_members(t: Tables, as_of: dt.date, internal_inverted: bool = False)
     ).distinct()
 
 
+def business_states(members: DataFrame) -> DataFrame:
+    """Per business: whether any member is active, the last cancellation once none is, and its number of rows."""
+    per = members.groupBy("business_id").agg(
+        F.max(F.when(F.col("healthplan_state") == ACTIVE, F.col("member_id"))).alias("_any"),
+        F.max("cancelation_date").alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    state = F.when(F.col("business_id").isNotNull(), F.when(F.col("_any").isNotNull(), ACTIVE).otherwise(INACTIVE))
+    return per.select("business_id", state.alias("business_state"), F.when(state == INACTIVE, F.col("_last")).alias("business_cancelation_date"), "_n")
+
+
 def with_group_state(members: DataFrame) -> DataFrame:
     """Adds business_state, and the last cancellation as business_cancelation_date once no member is active."""
-    per = members.where(F.col("business_id").isNotNull()).groupBy("business_id").agg(
-        F.max(F.when(F.col("healthplan_state") == ACTIVE, F.col("member_id"))).alias("_any"), F.max("cancelation_date").alias("_last")
-    )
-    state = F.when(F.col("_any").isNotNull(), ACTIVE).otherwise(INACTIVE)
-    per = per.select("business_id", state.alias("business_state"), F.when(state == INACTIVE, F.col("_last")).alias("business_cancelation_date"))
-    return members.join(per, "business_id", "left")
+    return join_summary(members, business_states(members), ["business_id"], "_n")
 
 
 def with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Adds business_group: the listed group of the business, else its name."""
+    """Adds the state of the business and business_group: the listed group of the business, else its name. Both are
+    facts of the business, so they are put together before one join to the members."""
     listed = groups.select("business_id", F.col("group").alias("_group"))
-    return members.join(listed, "business_id", "left").withColumn("business_group", F.coalesce("_group", "business_name")).drop("_group")
+    facts = business_states(members).join(listed, "business_id", "left")
+    named = join_summary(members, facts, ["business_id"], "_n")
+    return named.withColumn("business_group", F.coalesce("_group", "business_name")).drop("_group")
 
 
 def group_business_ids(members: DataFrame) -> DataFrame:
@@ -177,16 +195,15 @@ def active_on(start: str, end: str, day: Column) -> Column:
     return (F.col(start) <= day) & (F.col(end).isNull() | (F.col(end) > day))
 
 
-def active_after(members: DataFrame, dates: DataFrame, days: int = 30) -> DataFrame:
+def active_after(members: DataFrame, days: int = 30) -> DataFrame:
     """Distinct members active ``days`` after the group's first subscription."""
-    day = F.date_add("business_group_incorporation_date", days)
-    inside = F.when(active_on("subscription_date", "cancelation_date", day), F.col("member_id"))
-    joined = members.select("business_group", "member_id", "subscription_date", "cancelation_date").join(
-        dates.select("business_group", "business_group_incorporation_date"), "business_group"
-    )
-    counted = joined.groupBy("business_group").agg(F.countDistinct(inside).alias("active_after_30_days"))
-    groups = dates.select("business_group").distinct()
-    return groups.join(counted, "business_group", "left")
+    slim = members.select("business_group", "member_id", "subscription_date", "cancelation_date")
+    rows = with_key_aggregate(slim, ["business_group"], {"_first": F.min("subscription_date")})
+    inside = active_on("subscription_date", "cancelation_date", F.date_add("_first", days))
+    # Distinct members first, so that a large group is counted from reduced parts.
+    pairs = rows.groupBy("business_group", "member_id").agg(F.max(inside).alias("_in"))
+    counted = F.count(F.when(F.col("_in"), F.col("member_id")))
+    return pairs.groupBy("business_group").agg(counted.alias("active_after_30_days"))
 
 
 def members_today(members: DataFrame) -> DataFrame:
@@ -195,10 +212,10 @@ def members_today(members: DataFrame) -> DataFrame:
 
 def group_size_report(t: Tables, as_of: dt.date) -> DataFrame:
     """One row per business group: dates, ids, three head counts and their size bands."""
-    members = materialise(with_group(with_group_state(business_members(t, as_of)), t["business_group"]), "members")
+    members = materialise(with_group(business_members(t, as_of), t["business_group"]), "members")
     dates = group_dates(members)
     peak = peak_concurrent(members, "business_group", "member_id", "subscription_date", "cancelation_date", "max_simultaneous_members")
-    merged = peak.join(members_today(members), "business_group", "full").join(active_after(members, dates), "business_group", "full")
+    merged = peak.join(members_today(members), "business_group", "full").join(active_after(members), "business_group", "full")
     today = F.coalesce("members_today", F.lit(0)).cast("bigint")
     after = F.coalesce("active_after_30_days", F.lit(0)).cast("bigint")
     merged = merged.join(dates, "business_group", "left").join(group_business_ids(members), "business_group", "left")

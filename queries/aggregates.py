@@ -169,6 +169,7 @@ def correlated_count_asof(spark, sf):
     rows = with_key_aggregate(o, ["o_custkey"], {"first_day": F.min("day")})
     cutoff = F.date_add("first_day", 300)
     active = (F.col("day") <= cutoff) & ((F.col("o_orderstatus") != "F") | (F.date_add("day", 200) > cutoff))
-    return rows.groupBy("o_custkey").agg(F.countDistinct(F.when(active, F.col("o_orderpriority"))).alias("active"))
+    pairs = rows.groupBy("o_custkey", "o_orderpriority").agg(F.max(active).alias("_in"))
+    return pairs.groupBy("o_custkey").agg(F.count_if("_in").alias("active"))
 
 

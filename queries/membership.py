@@ -11,7 +11,7 @@ from queries.standins import PLAN_AS_OF, Standins
 
 
 def _grouped(t):
-    return M.with_group(M.with_group_state(M.business_members(t, PLAN_AS_OF)), t["business_group"])
+    return M.with_group(M.business_members(t, PLAN_AS_OF), t["business_group"])
 
 
 @query("cancellation_date", plan_sql("SELECT healthplan_id, CAST(CAST(cancelled_at AS DATE) AS VARCHAR) AS cancelled_on FROM canc"))
@@ -45,8 +45,7 @@ def peak_concurrent(spark, sf):
 
 @query("active_after_30d", plan_sql("SELECT business_group, n30 AS active_after_30_days FROM after30"))
 def active_after_30d(spark, sf):
-    members = _grouped(Standins(spark, sf))
-    return M.active_after(members, M.group_dates(members))
+    return M.active_after(_grouped(Standins(spark, sf)))
 
 
 @query(

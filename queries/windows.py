@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lossledger.functions.rules import minutes_between, to_money
-from lossledger.operators.aggregates import value_counts
 from lossledger.operators.ordered import first_per_key, time_slot, with_key_aggregate, with_neighbours
 from lossledger.plans.claims import impute_from_neighbours
 from lossledger.plans.loss_ratio import TRAILING_MONTHS, with_trailing_ratios
@@ -113,5 +112,5 @@ def neighbor_impute(spark, sf):
 )
 def window_value_frequency(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderpriority", "o_custkey")
-    rows = o.join(value_counts(o, "o_orderpriority", "freq_priority"), "o_orderpriority")
-    return rows.join(value_counts(o, "o_custkey", "freq_member"), "o_custkey").select("o_orderkey", "freq_priority", "freq_member")
+    rows = with_key_aggregate(o, ["o_orderpriority"], {"freq_priority": F.count("*")})
+    return with_key_aggregate(rows, ["o_custkey"], {"freq_member": F.count("*")}).select("o_orderkey", "freq_priority", "freq_member")
