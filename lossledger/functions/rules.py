@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the business's local time zone.
@@ -82,8 +82,19 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.floor((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(60_000_000))
 
 
+# Session zones in which a zone-less timestamp and an instant read alike.
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def local_time(ts: Column, zone: str = LOCAL_ZONE) -> Column:
-    """A UTC instant as wall-clock time in ``zone`` (TIMESTAMP_NTZ)."""
+    """A UTC instant as wall-clock time in ``zone``.
+
+    In a UTC session this is the generated-code shift; elsewhere the slower conversion that names both zones, whose
+    result does not depend on the session.
+    """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return F.from_utc_timestamp(ts.cast("timestamp"), zone)
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
 
 

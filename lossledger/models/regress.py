@@ -62,32 +62,31 @@ def weight_report(weights: DataFrame) -> DataFrame:
     return flat.groupBy("processed_input").agg(F.avg(w).alias("weight"), top.alias("top_category")).orderBy(F.desc("weight"), "processed_input")
 
 
-def attributions(weights: Mapping[str, float], means: Mapping[str, Column | float]) -> Column:
-    """weight x (value - mean) per feature, as an array of (feature, attribution)."""
-    parts = []
-    for name, w in weights.items():
-        mean = means[name] if isinstance(means[name], Column) else F.lit(means[name])
-        parts.append(F.struct(F.lit(name).alias("feature"), (F.lit(w) * (F.col(name) - mean)).alias("attribution")))
-    return F.array(*parts)
+def attributions(weights: Mapping[str, float], means: Mapping[str, float]) -> list[tuple[str, Column]]:
+    """(feature, weight x (value - mean)) per feature."""
+    return [(name, F.lit(float(w)) * (F.col(name) - F.lit(means[name]))) for name, w in weights.items()]
 
 
-def top_attributions(attributed: Column, k: int = 5) -> Column:
-    """The k features with the largest absolute attribution, largest first, name breaking ties."""
-    keyed = F.transform(attributed, lambda a: F.struct((-F.abs(a["attribution"])).alias("o"), a["feature"].alias("feature"), a["attribution"].alias("attribution")))
-    ordered = F.slice(F.array_sort(keyed), 1, k)
-    return F.transform(ordered, lambda a: F.struct(a["feature"].alias("feature"), a["attribution"].alias("attribution")))
+def top_attributions(parts: Sequence[tuple[str, Column]], k: int = 5) -> Column:
+    """The k features with the largest absolute attribution as (feature, attribution), largest first, name breaking
+    ties. Field access on the sorted array keeps the expression free of interpreted lambdas."""
+    keyed = F.array(*[F.struct((-F.abs(a)).alias("o"), F.lit(n).alias("feature"), a.alias("attribution")) for n, a in parts])
+    top = F.slice(F.sort_array(keyed), 1, k)
+    return F.arrays_zip(top["feature"].alias("feature"), top["attribution"].alias("attribution"))
 
 
 def explain(df: DataFrame, weights: Mapping[str, float], label: str, prediction: Column, k: int = 5) -> DataFrame:
     """Rows with their top attributions, closest prediction first. Means come from the table itself."""
-    means = df.agg(*[F.avg(n).alias(n) for n in weights]).first()
+    means = df.agg(*[F.avg(n).alias(n) for n in weights]).first().asDict()
     out = df.withColumn(f"predicted_{label}", prediction)
-    out = out.withColumn("top_feature_attributions", top_attributions(attributions(weights, means.asDict()), k))
+    out = out.withColumn("top_feature_attributions", top_attributions(attributions(weights, means), k))
     return out.orderBy(F.abs(F.col(f"predicted_{label}") - F.col(label)))
 
 
 def global_attribution(df: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     """(feature, mean absolute attribution), largest first."""
     means = df.agg(*[F.avg(n).alias(n) for n in weights]).first().asDict()
-    flat = df.select(F.explode(attributions(weights, means)).alias("a"))
-    return flat.groupBy("a.feature").agg(F.avg(F.abs("a.attribution")).alias("attribution")).orderBy(F.desc("attribution"), "feature")
+    # One mean per feature in a single row, then one row per feature.
+    row = df.agg(*[F.avg(F.abs(a)).alias(n) for n, a in attributions(weights, means)])
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("attribution")) for n in weights])
+    return row.select(F.explode(pairs).alias("p")).select("p.feature", "p.attribution").orderBy(F.desc("attribution"), "feature")

@@ -157,6 +157,12 @@ def with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
     return named.withColumn("business_group", F.coalesce("_group", "business_name")).drop("_group")
 
 
+def grouped_members(t: Tables, as_of: dt.date) -> DataFrame:
+    """Business members with their group. The members are written first, since states and groups are joined back to
+    them and would otherwise repeat their joins."""
+    return with_group(materialise(business_members(t, as_of), "members"), t["business_group"])
+
+
 def group_business_ids(members: DataFrame) -> DataFrame:
     return distinct_array(members, ["business_group"], "business_id", "business_ids")
 
@@ -212,7 +218,7 @@ def members_today(members: DataFrame) -> DataFrame:
 
 def group_size_report(t: Tables, as_of: dt.date) -> DataFrame:
     """One row per business group: dates, ids, three head counts and their size bands."""
-    members = materialise(with_group(business_members(t, as_of), t["business_group"]), "members")
+    members = materialise(grouped_members(t, as_of), "grouped_members")
     dates = group_dates(members)
     peak = peak_concurrent(members, "business_group", "member_id", "subscription_date", "cancelation_date", "max_simultaneous_members")
     merged = peak.join(members_today(members), "business_group", "full").join(active_after(members), "business_group", "full")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,13 +20,22 @@ def work_folder(spark: SparkSession) -> str:
     return shared if shared else os.path.join(tempfile.gettempdir(), f"lossledger-{spark.sparkContext.applicationId}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that arrives in fewer partitions than there are cores. A table of many files is left
+    as it is, so nothing large is moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def save_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Create or replace a table and read it back. This also cuts the lineage, on storage that outlives executors."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known, so no file is opened to infer it (columns named by folders come last in it).
+    fields = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    return df.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:

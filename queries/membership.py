@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lossledger.plans import membership as M
+from lossledger.sources.tables import materialise
 from queries.plan_sql import plan_sql
 from queries.registry import query
 from queries.standins import PLAN_AS_OF, Standins
 
 
 def _grouped(t):
-    return M.with_group(M.business_members(t, PLAN_AS_OF), t["business_group"])
+    return M.grouped_members(t, PLAN_AS_OF)
 
 
 @query("cancellation_date", plan_sql("SELECT healthplan_id, CAST(CAST(cancelled_at AS DATE) AS VARCHAR) AS cancelled_on FROM canc"))
@@ -29,7 +30,7 @@ def cancellation_reason(spark, sf):
 
 @query("group_state", plan_sql("SELECT healthplan_id, business_state, CAST(business_cancelation_date AS VARCHAR) AS business_cancelation_date, is_internal FROM gm"))
 def group_state(spark, sf):
-    rows = M.with_group_state(M.business_members(Standins(spark, sf), PLAN_AS_OF))
+    rows = M.with_group_state(materialise(M.business_members(Standins(spark, sf), PLAN_AS_OF), "members"))
     return rows.select("healthplan_id", "business_state", "business_cancelation_date", "is_internal")
 
 

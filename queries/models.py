@@ -10,7 +10,7 @@ from lossledger.models import cluster as K
 from lossledger.models import embed as E
 from lossledger.models import features as X
 from lossledger.models import regress as G
-from lossledger.sources.tables import materialise
+from lossledger.sources.tables import materialise, spread
 from queries.registry import Tables, query, sql_ratio
 from queries.standins import Standins, ctes
 
@@ -131,7 +131,7 @@ def text_card(spark, sf):
 
 
 def _embedded(spark, sf):
-    docs = Tables(spark, sf).documents.select("doc_id", "text")
+    docs = spread(Tables(spark, sf).documents.select("doc_id", "text"))
     return E.embed(docs, E.embedding_stages("text", "vector", 128).fit(docs), "vector")
 
 
@@ -333,9 +333,9 @@ def explain_topk(spark, sf):
     li = Tables(spark, sf).lineitem
     found = G.explain(li, WEIGHTS, "l_extendedprice", F.col("l_quantity") * 1500.0)
     top = F.col("top_feature_attributions")
-    total = F.aggregate(top, F.lit(0.0), lambda s, a: s + F.abs(a["attribution"]))
+    total = sum((F.abs(top["attribution"][i]) for i in range(5)), F.lit(0.0))
     return found.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.transform(top, lambda a: a["feature"]).alias("features"), F.round(total, 6).alias("weight")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", top["feature"].alias("features"), F.round(total, 6).alias("weight")
     )
 
 

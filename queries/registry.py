@@ -39,7 +39,9 @@ class Tables:
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self._spark, self._folder, name)
+        table = read_table(self._spark, self._folder, name)
+        setattr(self, name, table)
+        return table
 
 
 def plain(df: DataFrame) -> DataFrame:

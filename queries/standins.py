@@ -115,7 +115,7 @@ STANDINS: dict[str, str] = {
                CASE r_regionkey WHEN 0 THEN 'healthplanamendment' WHEN 1 THEN 'claimitem' WHEN 2 THEN 'pharmacyitem' WHEN 3 THEN 'ondemandconsulttimelog' ELSE 'other' END AS model
         FROM {region}""",
     "invoice_item": f"""
-        SELECT l_orderkey * 10 + l_linenumber AS id, CAST(11 AS BIGINT) AS content_type_id,
+        SELECT l_orderkey * 10 + l_linenumber AS id, CAST(CASE WHEN l_linenumber > 0 THEN 11 END AS BIGINT) AS content_type_id,
                l_orderkey * 10 + CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE 0 END AS object_id,
                CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) * 100 AS BIGINT) AS subtotal_cents,
                CAST(FLOOR(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) * 90) AS BIGINT) AS net_premium_cents,
@@ -281,20 +281,23 @@ def _base_tables(text: str) -> set[str]:
     return set(re.findall(r"(?<!\{)\{(\w+)\}", text))
 
 
-def standin(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    text = STANDINS[name].replace('"group"', "`group`")
-    return spark.sql(text, **{b: read_table(spark, folder, b) for b in _base_tables(text)})
-
-
 class Standins(Mapping[str, DataFrame]):
-    """The stand-in tables, built on first use."""
+    """The stand-in tables, built on first use; each driver table is opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder, self._made = spark, folder, {}
+        self._spark, self._folder = spark, folder
+        self._base: dict[str, DataFrame] = {}
+        self._made: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._base:
+            self._base[name] = read_table(self._spark, self._folder, name)
+        return self._base[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = standin(self._spark, self._folder, name)
+            text = STANDINS[name].replace('"group"', "`group`")
+            self._made[name] = self._spark.sql(text, **{b: self._table(b) for b in _base_tables(text)})
         return self._made[name]
 
     def __iter__(self):
