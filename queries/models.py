@@ -85,10 +85,25 @@ def _fitted(spark, sf, spec=SPEC):
     return rows, X.FeatureModel.fit(rows, spec)
 
 
-@query("feature_transform")
+_LABELS = ", ".join(f"COALESCE(k_{c}.code, 0) AS {c}_code" for c in SPEC.labels)
+_LABEL_CTES = ", ".join(
+    f"k_{c} AS (SELECT {c}, DENSE_RANK() OVER (ORDER BY {c}) AS code FROM (SELECT DISTINCT {c} FROM service_payment WHERE {c} IS NOT NULL))" for c in SPEC.labels
+)
+_LABEL_JOINS = " ".join(f"LEFT JOIN k_{c} ON k_{c}.{c} = p.{c}" for c in SPEC.labels)
+
+
+@query(
+    "feature_transform",
+    f"""WITH {ctes('service_payment')}, {_LABEL_CTES}, q AS (SELECT list_distinct(quantile_cont(age_at_subscription, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS cuts,
+          quantile_cont(age_at_subscription, [0.25, 0.5, 0.75]) AS a, quantile_cont(product_id, [0.25, 0.5, 0.75]) AS b FROM service_payment)
+        SELECT member_id, service_id, {_LABELS}, ROUND((age_at_subscription - a[2]) / (a[3] - a[1]), 8) AS age_at_subscription_scaled, ROUND((product_id - b[2]) / (b[3] - b[1]), 8) AS product_id_scaled,
+          'bin_' || (1 + len(list_filter(cuts, lambda c: c <= age_at_subscription))) AS age_at_subscription_bucket, p.gender || '_' || vertical AS gender_x_vertical,
+          business_group || '_' || vertical AS business_group_x_vertical FROM service_payment p {_LABEL_JOINS}, q""",
+)
 def feature_transform(spark, sf):
     rows, model = _fitted(spark, sf)
-    return model.transform(rows).select("member_id", "service_id", *model.numeric_columns(), *model.category_columns())
+    out = model.transform(rows).select("member_id", "service_id", *model.numeric_columns(), *model.category_columns())
+    return out.withColumns({f"{c}_scaled": F.round(f"{c}_scaled", 8) for c in SPEC.scaled})
 
 
 @query(
