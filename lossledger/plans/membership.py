@@ -78,7 +78,8 @@ def cancellation_reasons(amendments: DataFrame, reasons: DataFrame) -> DataFrame
     base = base.select(F.col("id").alias("base_id"), F.col("health_plan_id").alias("healthplan_id"))
     ca = _cancelling(amendments).where(_effective() & F.col("ca_signed_at").isNotNull())
     coded = base.join(ca, F.col("ca_of") == F.col("base_id")).withColumn("code", json_text(F.col("ca_extras"), "cancel_reason"))
-    return coded.join(reasons, "code", "left").select("healthplan_id", F.coalesce("description", F.lit(NO_REASON)).alias("cancel_reason"))
+    named = coded.join(reasons, "code", "left").select("healthplan_id", F.coalesce("description", F.lit(NO_REASON)).alias("cancel_reason"))
+    return named.distinct()
 
 
 def cancellations(plans: DataFrame, amendments: DataFrame, reasons: DataFrame) -> DataFrame:
@@ -89,13 +90,12 @@ def cancellations(plans: DataFrame, amendments: DataFrame, reasons: DataFrame) -
 
 
 def live_plans(plans: DataFrame) -> DataFrame:
-    """Plans in force as records: not deleted, beside their renewal's id. A plan whose renewal record is deleted
-    is left out, as is the renewal itself."""
-    renewal = plans.where(F.col("previous_health_plan_id").isNotNull()).select(
-        F.col("previous_health_plan_id").alias("_prev"), F.col("id").alias("renewal_id"), F.col("deleted").alias("_renewal_deleted")
-    )
-    live = plans.where(F.col("deleted").isNull()).join(renewal, F.col("_prev") == F.col("id"), "left")
-    return live.where(F.col("_renewal_deleted").isNull()).drop("_prev", "_renewal_deleted")
+    """Plans in force as records: not deleted, beside a live renewal's id. A plan all of whose renewal records are
+    deleted is left out. Renewals are reduced to one row per plan first, so a plan stays one row."""
+    renewals = plans.where(F.col("previous_health_plan_id").isNotNull()).groupBy(F.col("previous_health_plan_id").alias("_prev"))
+    renewals = renewals.agg(F.min(F.when(F.col("deleted").isNull(), F.col("id"))).alias("renewal_id"))
+    live = plans.where(F.col("deleted").isNull()).join(renewals, F.col("_prev") == F.col("id"), "left")
+    return live.where(F.col("_prev").isNull() | F.col("renewal_id").isNotNull()).drop("_prev")
 
 
 def with_business(plans: DataFrame, admins: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def with_business(plans: DataFrame, admins: DataFrame, businesses: DataFrame) ->
     so the plans are joined once."""
     names = businesses.select(F.col("id").alias("_b"), F.trim(F.coalesce("common_name", "legal_name")).alias("business_name"))
     owners = admins.where(F.col("role") == OWNER_ROLE).select(F.col("user_id").alias("_owner"), "business_id")
-    owners = owners.join(names, F.col("_b") == F.col("business_id"), "left").drop("_b")
+    owners = owners.distinct().join(names, F.col("_b") == F.col("business_id"), "left").drop("_b")
     key = F.when(F.col("is_owned_by_business"), F.col("owner_user_id"))
     return plans.withColumn("_key", key).join(owners, F.col("_key") == F.col("_owner"), "left").drop("_key", "_owner")
 
@@ -118,8 +118,9 @@ def business_members(t: Tables, as_of: dt.date, internal_inverted: bool = False)
     )
     rows = with_business(owned, t["business_admin"], t["business"])
     rows = rows.join(canc, F.col("_hp") == F.col("id"), "left").join(internal, F.col("_internal") == F.col("id"), "left")
-    through = local_date(F.col("valid_through"))
-    listed = F.col("_internal").isNotNull()
+    rows = rows.withColumn("_through", local_date(F.col("valid_through")))
+    through, listed = F.col("_through"), F.col("_internal").isNotNull()
+    # No DISTINCT: plans, owners, cancellations and the internal list have one row per key here.
     return rows.select(
         F.col("id").alias("healthplan_id"),
         "business_id",
@@ -129,7 +130,7 @@ def business_members(t: Tables, as_of: dt.date, internal_inverted: bool = False)
         F.coalesce("_cancelled", F.when(through < F.lit(as_of), through)).alias("cancelation_date"),
         (~listed if internal_inverted else listed).alias("is_internal"),
         F.col("state").alias("healthplan_state"),
-    ).distinct()
+    )
 
 
 def business_states(members: DataFrame) -> DataFrame:

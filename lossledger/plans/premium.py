@@ -54,19 +54,20 @@ def amendment_facts(amendments: DataFrame, codes: DataFrame) -> DataFrame:
     cancelling = amendments.where(
         F.col("amendment_category").isin(*CANCELLING_CATEGORIES, "AC") & (F.col("review_result") == APPROVED) & F.col("deleted").isNull()
     ).select(F.col("cancelled_amendment_id").alias("_of"), local_date(F.col("signed_at")).alias("amendment_cancelation_date"))
-    legends = codes.select(F.col("code").alias("_code"), "legend")
+    # Labels are made on the small code table, not on every amendment.
+    label = F.when(F.col("legend").isin(*BASE_LEGENDS), BASE_COVER).otherwise(title_text(F.col("legend")))
+    labels = codes.select(F.col("code").alias("_code"), label.alias("_label"))
     live = amendments.where(
         (F.col("premium_total_difference_cents") > 0) & F.col("deleted").isNull() & (F.col("review_result") == APPROVED)
     )
-    rows = live.join(legends, F.col("_code") == F.col("amendment_category"), "left").join(cancelling, F.col("_of") == F.col("id"), "left")
-    label = F.when(F.col("legend").isin(*BASE_LEGENDS), BASE_COVER).otherwise(title_text(F.col("legend")))
+    rows = live.join(labels, F.col("_code") == F.col("amendment_category"), "left").join(cancelling, F.col("_of") == F.col("id"), "left")
     net = F.when(F.col("amendment_category") == SUBTOTAL_CATEGORY, F.col("premium_subtotal_difference_cents")).otherwise(
         F.col("premium_net_premium_difference_cents")
     )
     return rows.select(
         F.col("id").alias("amendment_id"),
         F.col("health_plan_id").alias("healthplan_id"),
-        label.alias("amendment_category"),
+        F.col("_label").alias("amendment_category"),
         local_date(F.col("signed_at")).alias("amendment_subscription_date"),
         "amendment_cancelation_date",
         local_date(F.col("valid_since")).alias("amendment_valid_since"),
@@ -106,7 +107,8 @@ def insured_amount(product_family: Column, parameters: Column) -> Column:
 
 
 def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: str = "skip") -> DataFrame:
-    """One row per live plan (and renewal) with member, product, owner and exposure attributes."""
+    """One row per live plan with member, product, owner and exposure attributes. Each lookup has one row per key, so
+    no DISTINCT over the wide rows is needed (several owners, reasons or groups of a plan do give several rows)."""
     today = F.lit(as_of)
     canc = cancellations(t["healthplan"], t["amendment"], t["cancel_reason"]).select(
         F.col("healthplan_id").alias("_hp"), F.col("cancelled_at").alias("_cancelled_at"), F.col("cancel_reason").alias("_reason")
@@ -122,8 +124,10 @@ def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: st
     rows = rows.join(member, "beneficiary_member_id", "left").join(product, "product_id", "left")
     rows = join_member_of(rows, "business_id", sizes, "business_ids")
 
-    signed, since = local_date(F.col("signed_at")), local_date(F.col("valid_since"))
-    through, cancelled = local_date(F.col("valid_through")), local_date(F.col("_cancelled_at"))
+    # Dates that several columns use are computed once.
+    days = {"_signed": "signed_at", "_since": "valid_since", "_through": "valid_through", "_cancelled": "_cancelled_at"}
+    rows = rows.withColumns({name: local_date(F.col(source)) for name, source in days.items()})
+    signed, since, through, cancelled = (F.col(name) for name in days)
     expired = today > through
     so_far, share = exposure_days(since, through, cancelled, today, null_policy)
     reason = F.coalesce(
@@ -156,7 +160,7 @@ def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: st
         date_diff(signed, F.to_date("date_of_birth", "yyyy-MM-dd"), "YEAR").alias("age_at_subscription"),
         "gender",
         discount_share(F.col("product_parameters_values")).alias("_discount_share"),
-    ).distinct()
+    )
 
 
 def premium_report(t: Tables, as_of: dt.date, group_sizes: DataFrame | None = None, null_policy: str = "skip") -> DataFrame:
