@@ -130,7 +130,7 @@ billed AS (SELECT s.health_plan_id AS healthplan_id, s.member_id, s.id AS servic
         FROM invoice_item i JOIN invoice_item_invoice l ON l.invoiceitem_id = i.id JOIN settled t ON t.invoice_id = l.invoice_id JOIN svc s ON s.id = i.object_id
         LEFT JOIN service_type st ON st.code = service_type_value
         WHERE i.deleted IS NULL AND i.content_type_id IN (21, 22) AND service_type_value <> 'ON_DEMAND_CONSULT'
-          AND NOT (service_type_value = 'IN_PERSON_CONSULT_BY_PROVIDER' AND COALESCE(clinic, '') = '{OWN_CLINIC}')),
+          AND NOT (service_type_value = 'IN_PERSON_CONSULT_BY_PROVIDER' AND clinic = '{OWN_CLINIC}')),
 consult AS (SELECT s.*, date_sub('minute', created_at, LEAD(created_at) OVER (PARTITION BY member_id ORDER BY created_at, s.id)) AS gap FROM svc s JOIN on_demand_consult o ON o.consult_ptr_id = s.id
         WHERE service_type_value = 'ON_DEMAND_CONSULT' AND process_state <> 'CANCELLED' AND o.state NOT IN ('CA', 'HN') AND NOT regexp_matches(lower(reason), 'prueba|test')),
 vc AS (SELECT c.health_plan_id AS healthplan_id, c.member_id, c.id AS service_id, c.disease_case_id, c.day, CASE WHEN p.doctor_id IS NULL THEN 'Fee per hour' ELSE 'Payroll based' END AS scheme
