@@ -14,6 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lossledger.session import local_session  # noqa: E402
+from lossledger.sources.tables import work_tables  # noqa: E402
 from queries.catalogue import SPARK  # noqa: E402
 
 HEADLINE = (
@@ -51,7 +52,8 @@ def run(names: tuple[str, ...] = HEADLINE) -> dict[str, float]:
     spark.sparkContext.setLogLevel("ERROR")
 
     def complete(name: str) -> None:
-        SPARK[name](spark, folder).write.format("noop").mode("overwrite").save()
+        with work_tables(spark):
+            SPARK[name](spark, folder).write.format("noop").mode("overwrite").save()
 
     complete("agg_global")  # starts the executor threads and file readers
     times = {}

@@ -3,21 +3,48 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+LOCAL_WORK = "/tmp/checkpoints"
+_SCOPE: ContextVar[str | None] = ContextVar("work_tables", default=None)
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate tables; a local one only where none is named (tests)."""
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
+
+    Executors on other machines must see it, so a cluster without that setting is an error. Only a local master,
+    where driver and executor are one process, gets a folder of its own.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared if shared else os.path.join(tempfile.gettempdir(), f"lossledger-{spark.sparkContext.applicationId}")
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return f"{LOCAL_WORK}/{spark.sparkContext.applicationId}"
+    raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables that ``materialise`` writes inside the block are dropped at its end: write the result before that."""
+    folder = os.path.join(work_folder(spark), f"work-{uuid.uuid4().hex}")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -44,5 +71,5 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     The readers then start from a file scan: the branches do not repeat its joins, the lost-executor cost is a
     re-read, and the optimizer sees the table's real size.
     """
-    spark = df.sparkSession
-    return save_table(df, os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}"))
+    folder = _SCOPE.get() or work_folder(df.sparkSession)
+    return save_table(df, os.path.join(folder, f"{label}-{uuid.uuid4().hex}"))
