@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lossledger.llm import packing
+from lossledger.llm import language, line_rules, packing, pseudonyms, token_files
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,28 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return token_files.token_counts(read_table(spark, sf, "documents"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")
+
+
+@query("op6_line_quality", line_rules.SQL)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    ruled = line_rules.with_line_rules(read_table(spark, sf, "documents"))
+    return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_lines_removed", "chars_removed", "base_failed", "kept")
+
+
 @query("op7_best_fit_packing")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf, "documents"))
+
+
+@query("op9_pseudonyms")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    done = pseudonyms.with_pseudonyms(read_table(spark, sf, "documents"))
+    return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii.kind")), " ").alias("kinds"))
