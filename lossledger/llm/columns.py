@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: What parts words once a text is in lower case: all ASCII but letters and digits.
+_MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 
 
 def text_of(df: DataFrame) -> Column:
@@ -44,12 +47,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             at = min(end, n)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (``[^\\x20\\x09-\\x0D]+``); words end where their row ends."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, parts: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word; words end where their row ends. Bytes in ``parts`` part words: by default those
+    of ``[\\x20\\x09-\\x0D]``."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[data]
+    inside = ~parts[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty_like(inside)
@@ -59,3 +63,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     after[-1], after[:-1] = False, inside[1:]
     ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, in lower case and without marks, and where each text's words begin (one more
+    entry at the end)."""
+    from lossledger.llm.hashing import Spans
+
+    data, offsets = flat(pc.utf8_lower(texts.cast(pa.large_string())).cast(pa.large_binary()))
+    starts, ends, row = word_spans(data, offsets, _MARKS)
+    return Spans(data).hash(starts, ends), np.searchsorted(row, np.arange(len(texts) + 1))

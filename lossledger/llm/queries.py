@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import language, line_rules, packing, pseudonyms, token_files
+from lossledger.llm import decontamination, language, licenses, line_rules, packing, passages, pseudonyms, token_files
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_counts(read_table(spark, sf, "documents"))
 
 
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.leak_rows(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")
@@ -45,7 +50,17 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf, "documents"))
 
 
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_rows(read_table(spark, sf, "documents"))
+
+
 @query("op9_pseudonyms")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     done = pseudonyms.with_pseudonyms(read_table(spark, sf, "documents"))
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii.kind")), " ").alias("kinds"))
+
+
+@query("op10_passage_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.without_repeats(read_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
