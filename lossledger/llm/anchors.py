@@ -181,12 +181,13 @@ def meet(payloads, text_buckets: int, both: bool) -> list[tuple[int, bytes]]:
 
 
 def grouped(rows: DataFrame, work) -> DataFrame:
-    """Apply ``work(payloads)`` to every bucket of keys; rows for documents' buckets pass on as they are."""
+    """Apply ``work(payloads, bucket)`` to every bucket of keys; rows for documents' buckets pass on as they are."""
 
     def go(table: pa.Table) -> pa.Table:
-        if table["bucket"][0].as_py() < 0:
+        bucket = table["bucket"][0].as_py()
+        if bucket < 0:
             return table.select(["bucket", "payload"])
-        return pa.Table.from_batches([table_of(work(table["payload"]))])
+        return pa.Table.from_batches([table_of(work(table["payload"], bucket))])
 
     return rows.groupBy("bucket").applyInArrow(go, PACKED)
 

@@ -90,7 +90,7 @@ def _open_windows(buckets: int, text_buckets: int):
 
 
 def _later_windows(text_buckets: int):
-    def work(payloads) -> list[tuple[int, bytes]]:
+    def work(payloads, _) -> list[tuple[int, bytes]]:
         one, two, ids, place = an.gather(payloads, 4)
         order = np.lexsort((place, ids, two, one))
         one, two = one[order], two[order]
@@ -131,7 +131,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     texts, size = an.numbered(docs)
     buckets, text_buckets = an.buckets_for(size, an.ANCHOR_BUCKET), an.buckets_for(size, an.TEXT_BUCKET)
-    met = an.grouped(_anchors(texts, buckets, text_buckets), lambda p: an.meet(p, text_buckets, both=False))
+    met = an.grouped(_anchors(texts, buckets, text_buckets), lambda p, _: an.meet(p, text_buckets, both=False))
     windows = an.with_texts(texts, met, text_buckets, _open_windows(buckets, text_buckets), an.PACKED)
     later = an.grouped(windows, _later_windows(text_buckets))
     return an.with_texts(texts, later, text_buckets, _remove, RESULT)

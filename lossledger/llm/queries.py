@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import decontamination, language, licenses, line_rules, packing, passages, pseudonyms, token_files
+from lossledger.llm import decontamination, language, licenses, line_rules, packing, passages, pseudonyms, repeats, token_files
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leak_rows(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
 
+@query("op3_byte_repeats")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.without_repeats(read_table(spark, sf, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")
