@@ -95,20 +95,22 @@ def packed_for_text(ids: np.ndarray, buckets: int, *arrays: np.ndarray) -> list[
 # --- documents -----------------------------------------------------------------------------------------------------
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(id, doc_id, text as bytes) with a distinct id that keeps the order of doc_id, and the bytes of all text.
+def numbered(docs: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(id, doc_id, text as bytes) with a distinct id that keeps the order of doc_id, and the bytes of all text. Columns
+    in ``keep`` come along in one column ``_keep``.
 
     Usually doc_id is that id. If it holds nulls or repeats, rows are sorted (nulls first, then by text) and numbered.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    more = [F.struct(*keep).alias("_keep")] if keep else []
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *more)
     seen = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("bytes"))
     total = seen.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
     if total["most"] <= 1 and not total["nulls"]:
-        return plain.select(F.col("doc_id").alias("id"), "doc_id", "text"), total["bytes"]
+        return plain.select(F.col("doc_id").alias("id"), "*"), total["bytes"]
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     keyed = plain.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialise(keyed.select(F.monotonically_increasing_id().alias("id"), "doc_id", "text"), "numbered"), total["bytes"]
+    return materialise(keyed.select(F.monotonically_increasing_id().alias("id"), "*"), "numbered"), total["bytes"]
 
 
 def buckets_for(size: int, each: int) -> int:

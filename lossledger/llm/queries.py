@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import decontamination, language, licenses, line_rules, packing, passages, pseudonyms, repeats, token_files
+from lossledger.llm import decontamination, jaccard, language, licenses, line_rules, packing, passages, pseudonyms, repeats, token_files
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")
 
 
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.similar_documents(read_table(spark, sf, "documents")).select("doc_id", "class_id", "n_links", "n_shingles")
+
+
 @query("op6_line_quality", line_rules.SQL)
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     ruled = line_rules.with_line_rules(read_table(spark, sf, "documents"))
