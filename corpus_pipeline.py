@@ -1,8 +1,57 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``: language, near duplicates, benchmark leaks, personal data, packing.
 
-STAGES: list = []
+Every stage takes what the one before it kept, written as Parquet and read again, and returns rows with the columns of
+``documents``; the last returns where each piece of each text is packed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lossledger.llm import decontamination, jaccard, language, packing, pseudonyms
+from lossledger.sources.tables import materialise, read_table
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised: those without a letter and those unlike any learned language go."""
+    return language.identify(docs).where(~F.col("rejected")).select(*docs.columns)
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least doc_id, of each class of near duplicates."""
+    return jaccard.first_of_each_class(docs)
+
+
+def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    return decontamination.with_leaks(docs, read_table(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*docs.columns)
+
+
+def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in them replaced by pseudonyms of the same format (and length)."""
+    return pseudonyms.with_pseudonyms(docs).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the training sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language", known_language),
+    ("near duplicates", one_of_each_class),
+    ("benchmark leaks", without_leaks),
+    ("pseudonyms", pseudonymous),
+    ("packing", packed),
+]
+
+#: Language models, sampled paths, alignments, keyed permutations and token ids are beyond SQL; tests compare with plain code.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
