@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the business's local time zone.
@@ -82,30 +82,21 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.floor((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(60_000_000))
 
 
-# Session zones in which a zone-less timestamp and an instant read alike.
-UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
-
-
 def local_time(ts: Column, zone: str = LOCAL_ZONE) -> Column:
-    """A UTC instant as wall-clock time in ``zone``.
+    """An instant, or a zone-less timestamp in UTC, as wall-clock time in ``zone``.
 
-    In a UTC session this is the generated-code shift; elsewhere the slower conversion that names both zones, whose
-    result does not depend on the session.
+    Neither depends on the session's zone: an instant is counted from the epoch, not read off the session's clock.
     """
-    session = SparkSession.getActiveSession()
-    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
-        return F.from_utc_timestamp(ts.cast("timestamp"), zone)
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)")
+    since = F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
+    utc = F.when(F.typeof(ts) == "timestamp", F.expr("timestamp_ntz'1970-01-01 00:00:00'") + since).otherwise(ts.cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def local_date(ts: Column, zone: str = LOCAL_ZONE) -> Column:
     return local_time(ts, zone).cast("date")
 
 
-def add_days(d: Column, n: Column | int) -> Column:
-    return F.date_add(d, n)
-
-
 def month_start(d: Column) -> Column:
     return F.trunc(d, "MM")
 
@@ -114,11 +105,6 @@ def days_in_month(d: Column) -> Column:
     return F.dayofmonth(F.last_day(d))
 
 
-def month_end_before(d: Column) -> Column:
-    """The last day of the month before d."""
-    return F.date_sub(F.trunc(d, "MM"), 1)
-
-
 def size_band(n: Column) -> Column:
     """Head count to band. Zero counts as the lowest band and NULL as the top one."""
     out = None

@@ -63,7 +63,7 @@ def grouped_bucket(group: Column, col: Column, points: dict) -> Column:
 
 def _default_parts(df: DataFrame) -> int:
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4, min(128, wanted))
+    return max(4, wanted)
 
 
 def range_bucket(col: Column, points: Sequence) -> Column:
@@ -172,7 +172,7 @@ def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count
     hot = summary.where(F.col(count) > total * F.lit(HOT_SHARE))
     hot = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], packed.alias("_hot")))
     found = rows.join(hot, reduce(lambda a, b: a & b, [rows[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys]), "left")
-    spread = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(997)) + 1
+    spread = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(2**62)) + 1
     found = found.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
     cold = summary.select(*[F.col(k).alias(f"_c_{k}") for k in keys], packed.alias("_cold"), F.lit(0).cast("bigint").alias("_zero"))
     same = [found[k].eqNullSafe(cold[f"_c_{k}"]) for k in keys] + [found["_salt"] == cold["_zero"]]

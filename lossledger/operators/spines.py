@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.functions.rules import date_diff
-
 
 def month_starts(start: dt.date | Column, as_of: dt.date | Column) -> Column:
     """Month starts from ``start`` (a first of a month) to ``as_of``'s month."""
@@ -33,7 +31,3 @@ def one_row(spark: SparkSession) -> DataFrame:
 def month_grid(classes: DataFrame, start: dt.date | Column, as_of: dt.date | Column, out: str = "date_date") -> DataFrame:
     """Every month end beside every row of ``classes``: a generator over the classes, so no cross join."""
     return classes.withColumn(out, F.explode(month_starts(start, as_of))).withColumn(out, F.date_sub(out, 1))
-
-
-def months_to_as_of(start: Column, as_of: Column) -> Column:
-    return date_diff(as_of, start, "MONTH")

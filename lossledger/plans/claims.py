@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossledger.functions.rules import TAX_DIVISOR, local_date, minutes_between, money, month_start
-from lossledger.operators.joins import explode_active_days, explode_active_months, fill_from_breakpoints, join_role, join_valid_at
+from lossledger.operators.joins import explode_active_months, fill_from_breakpoints, join_role, join_valid_at
 from lossledger.operators.ordered import first_per_key, id_block, time_slot, with_neighbours
 from lossledger.plans.collections import item_payments, items_of_types, settled_transactions
 from lossledger.plans.membership import Tables
@@ -141,11 +141,6 @@ def payroll_by_day(contracts: DataFrame, first: dt.date, as_of: dt.date, spine:
     ).withColumn("daily_pay", F.try_divide(F.col("month_pay").cast("double"), F.dayofmonth(F.last_day("ts_date"))))
 
 
-def daily_people(contracts: DataFrame, first: dt.date, as_of: dt.date) -> DataFrame:
-    """One row per person and covered day."""
-    return explode_active_days(contracts, "start_date", "end_date", F.lit(first), F.lit(as_of))
-
-
 def tag_scheme(services: DataFrame, contracts: DataFrame, doctor_col: str, at: Column, out: str) -> DataFrame:
     """Payroll when the doctor has a contract covering the moment, else hourly."""
     held = contracts.select("doctor_id", "start_date", "end_date")
@@ -213,6 +208,9 @@ def unit_cost_carry_forward(counts: DataFrame, costs: DataFrame, as_of: dt.date,
     return rows.withColumn("unit_cost", F.when(known, F.col("_unit")).otherwise(fallback)).drop("_unit")
 
 
+EXACT_MONEY = "decimal(38,10)"
+
+
 def copay_before_tax(cents: Column) -> Column:
     return F.round(money(cents) / F.lit(TAX_DIVISOR), 2).cast("decimal(18,2)")
 
@@ -221,8 +219,9 @@ def allocate_unit_cost(services: DataFrame, units: DataFrame, keys: Sequence[str
     """Each service gets its month's unit cost, less the copay before tax where one is given."""
     rows = services.withColumn("month", month_start(F.col("service_created_at")))
     rows = rows.join(units.select("month", *keys, "unit_cost"), ["month", *keys], "left")
-    amount = F.col("unit_cost") if copay is None else F.col("unit_cost") - copay
-    return rows.withColumn("subtotal", F.round(amount, 2).cast("decimal(18,2)")).drop("month", "unit_cost")
+    # A copay leaves an amount in cents; without one the shares stay exact, so that they add up to the month's cost.
+    amount = F.round("unit_cost", 10) if copay is None else F.round(F.col("unit_cost") - copay, 2)
+    return rows.withColumn("subtotal", amount.cast(EXACT_MONEY)).drop("month", "unit_cost")
 
 
 def clinic_visits(t: Tables, rules: ClaimRules = ClaimRules()) -> DataFrame:
@@ -293,10 +292,20 @@ def latest_payouts(t: Tables, columns: Sequence[str]) -> DataFrame:
     return first_per_key(rows, ["service_id"], order).select("service_id", *columns)
 
 
+def without_deleted_payouts(services: DataFrame, t: Tables) -> DataFrame:
+    """Services without those whose payouts are all deleted: they have no price to reinsurance and no place among the
+    neighbours that others take theirs from. A service with a ruling that has no payout stays."""
+    rulings = t["coverage_ruling"].select(F.col("id").alias("_ruling"), F.col("service_id").alias("_service"))
+    payouts = t["coverage_payout"].select(F.col("service_coverage_ruling_id").alias("_of"), "deleted")
+    rows = rulings.join(payouts, F.col("_ruling") == F.col("_of"), "left")
+    gone = rows.groupBy("_service").agg(F.bool_and(F.col("deleted").isNotNull()).alias("_gone")).where("_gone")
+    return services.join(gone, services["service_id"] == gone["_service"], "left_anti")
+
+
 def video_reinsurance_price(consults: DataFrame, t: Tables) -> DataFrame:
     """(service_id, price): payout prices seen so far, filled over the id range each price starts."""
     paid = latest_payouts(t, ["covered_subtotal_cents", "coinsured_subtotal_cents"])
-    own = consults.select("service_id").join(paid, "service_id", "left")
+    own = without_deleted_payouts(consults.select("service_id"), t).join(paid, "service_id", "left")
     price = money(F.col("covered_subtotal_cents") + F.col("coinsured_subtotal_cents"))
     return fill_from_breakpoints(own.select("service_id", price.alias("_own")), "service_id", "_own", "price").select("service_id", "price")
 
@@ -311,7 +320,7 @@ def clinic_reinsurance_price(visits: DataFrame, t: Tables) -> DataFrame:
     paid = latest_payouts(t, ["covered_subtotal_cents"])
     doctor = t["doctor"].select(F.col("id").alias("doctor_id"), F.col("specialization_fare_id").alias("_fare_id"))
     fare = t["fare"].select(F.col("id").alias("_fare_id"), money(F.col("amount_cents")).alias("_fare"))
-    rows = with_copay(visits.select("service_id", "healthplan_id", "doctor_id"), t)
+    rows = with_copay(without_deleted_payouts(visits.select("service_id", "healthplan_id", "doctor_id"), t), t)
     rows = rows.join(paid, "service_id", "left").join(doctor, "doctor_id", "left").join(fare, "_fare_id", "left")
     rows = rows.withColumn("_own", money(F.col("covered_subtotal_cents")))
     default = (F.col("_fare") - F.col("_copay")).cast("decimal(18,2)")

@@ -230,18 +230,31 @@ def _with_place(rows: DataFrame, role: str, zip_col: str, locations: DataFrame,
     )
 
 
-def wide_fact(t: Tables, payments: DataFrame) -> DataFrame:
-    """One wide row per paid service with medical, provider, doctor, member, plan and payment attributes."""
+def newest_ruling(modes: DataFrame) -> DataFrame:
+    """One ruling per service: the one changed last."""
+    return first_per_key(modes, ["service_id"], [F.col("updated_at").desc_nulls_last(), F.col("id").desc()])
+
+
+def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps: list[tuple[str, DataFrame]] | None = None) -> DataFrame:
+    """One wide row per paid service with medical, provider, doctor, member, plan and payment attributes.
+
+    A service with several rulings takes the payment modes of the newest one; ``all_rulings`` repeats the service for
+    each of them instead. The rows after each group of joins are added to ``steps``, for ``join_audit``.
+    """
+    steps = [] if steps is None else steps
     medical = collapse_records(clean_records(t["medical_event"], t["medical_note"]), t["speciality_code"])
     paid = payment_summary(payments)
     paid = paid.withColumnRenamed("service_type", "_paid_type")
     # The inner join is on plain equality: a service without a plan has no premium side.
     rows = medical.join(paid, list(KEYS))
+    steps.append(("0 paid services", rows))
 
     rows = join_role(rows, plan_owners(t["healthplan"], t["application_item"], t["application"]), "healthplan_id", "id",
                      {"relationship_beneficiary_with_owner": "relationship_beneficiary_with_owner", "owner_type": "owner_type"})
     modes = payment_modes(t["coverage_ruling"], t["coverage_payout"], t["payin_request"])
+    modes = modes if all_rulings else newest_ruling(modes)
     rows = join_role(rows, modes, "service_id", "service_id", {"payout_mode": "payout_mode", "payin_mode": "payin_mode"})
+    steps.append(("1 plan and rulings", rows))
     rows = join_role(rows, t["service_type"], "services_service_type_value", "code", {"descripcion": "_described"})
 
     tag = F.col("provided_by_content_type_id")
@@ -253,12 +266,14 @@ def wide_fact(t: Tables, payments: DataFrame) -> DataFrame:
     rows = join_role(rows, t["medical_specialization"], "_spec", "id", {"name": "doctor_specialization_name", "type": "doctor_specialization_type"})
     rows = join_role(rows, specialities_by_doctor(t["doctor_specialist_detail"], t["medical_specialization"]), "_doctor", "doctor_id",
                      {"doctor_specializations": "doctor_specializations"})
+    steps.append(("2 doctor", rows))
     rows = join_role(rows, t["doctor_friend"], "provided_by_object_id", "id", {"name": "doctorfriend_name"}, when=tag == FRIEND_TAG)
 
     rows = join_role(rows, t["branch_office"], "provided_by_object_id", "id",
                      {"name": "provider_name", "provider_id": "_provider", "admin_user_id": "_admin"}, when=tag == OFFICE_TAG)
     rows = join_role(rows, t["provider"], "_provider", "id", {"state": "provider_state", "category_id": "_category"})
     rows = join_role(rows, t["provider_category"], "_category", "id", {"name": "provider_category_name"})
+    steps.append(("3 provider", rows))
 
     locations, zips = newest_location(t["location"]), zip_coordinates(t["zipcode"])
     by_id, by_doctor = newest_address(t["address"], ["id"]), newest_address(t["address"], ["doctor_id"])
@@ -275,8 +290,10 @@ def wide_fact(t: Tables, payments: DataFrame) -> DataFrame:
     rows = join_role(rows, by_id, "_residence", "id",
                      {"address1": "member_address1", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
                       "zipcode": "member_address_zipcode"})
+    steps.append(("4 addresses and member", rows))
     for role, zip_col in (("doctor", "doctor_zipcode"), ("provider", "provider_address_zipcode"), ("member", "member_address_zipcode")):
         rows = _with_place(rows, role, zip_col, locations, zips)
+    steps.append(("5 places", rows))
 
     hidden = [c for c in rows.columns if c.startswith("_")]
     rows = (

@@ -47,13 +47,6 @@ def work_tables(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that arrives in fewer partitions than there are cores. A table of many files is left
-    as it is, so nothing large is moved."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def save_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Create or replace a table and read it back. This also cuts the lineage, on storage that outlives executors."""
     writer = df.write.mode("overwrite")

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import local_date
 from lossledger.operators.spines import day_spine, one_row
 from lossledger.plans import claims as C
-from lossledger.plans.loss_ratio import last_cutoff
-from queries.plan_sql import AS_OF, OPEN, local, plan_sql
+from queries.plan_sql import OPEN, local, plan_sql
 from queries.premium import RULES, _premium
 from queries.registry import query, sql_ratio
 from queries.standins import PLAN_AS_OF, Standins
@@ -50,7 +49,7 @@ def burst_dedupe(spark, sf):
     "daily_payroll_cost",
     plan_sql(
         f"""SELECT CAST(day AS VARCHAR) AS ts_date, COUNT(p.doctor_id) AS n_people, CAST(SUM(salary) AS DOUBLE) AS month_pay, CAST(SUM(salary) AS DOUBLE) / EXTRACT(DAY FROM last_day(day)) AS daily_pay
-            FROM days LEFT JOIN payroll_doctor p ON p.start_date <= day AND COALESCE(p.end_date, {OPEN}) >= day WHERE day >= DATE '1995-03-15' GROUP BY day"""
+            FROM days LEFT JOIN payroll_doctor p ON p.start_date <= day AND COALESCE(p.end_date, {OPEN}) >= day GROUP BY day"""
     ),
 )
 def daily_payroll_cost(spark, sf):
@@ -58,21 +57,20 @@ def daily_payroll_cost(spark, sf):
     spine = day_spine(one_row(spark), RULES.first_day, PLAN_AS_OF)
     rows = C.payroll_by_day(t["payroll_doctor"], RULES.first_day, PLAN_AS_OF, spine)
     pay = F.nullif(F.col("month_pay"), F.lit(0).cast("decimal(28,2)"))
-    rows = rows.where("ts_date >= date'1995-03-15'")
     return rows.select("ts_date", F.col("n_people").cast("bigint").alias("n_people"), pay.alias("month_pay"), F.when(pay.isNotNull(), F.col("daily_pay")).alias("daily_pay"))
 
 
 @query(
     "daily_active_cost",
     plan_sql(
-        f"""SELECT CAST(month AS VARCHAR) AS month, type, doctor_id, n_days, pay_c / 100 / EXTRACT(DAY FROM last_day(month)) AS cost FROM pay WHERE month < date_trunc('month', {AS_OF})"""
+        f"""SELECT CAST(month AS VARCHAR) AS month, type, doctor_id, n_days, pay_c / 100 / EXTRACT(DAY FROM last_day(month)) AS cost FROM pay"""
     ),
 )
 def daily_active_cost(spark, sf):
     from lossledger.operators.joins import explode_active_months
 
     people = Standins(spark, sf)["payroll_doctor"]
-    rows = explode_active_months(people, "start_date", "end_date", F.lit(RULES.first_day), F.lit(last_cutoff(PLAN_AS_OF)))
+    rows = explode_active_months(people, "start_date", "end_date", F.lit(RULES.first_day), F.lit(PLAN_AS_OF))
     pay = (F.col("salary") * F.col("covered_days")).cast("double") / F.col("month_days")
     return rows.select("month", "type", "doctor_id", F.col("covered_days").cast("bigint").alias("n_days"), pay.alias("cost"))
 
@@ -91,18 +89,24 @@ def unit_cost_monthly(spark, sf):
 
 @query(
     "unit_cost_carry_forward",
-    plan_sql("SELECT CAST(month AS VARCHAR) AS month, doctor_id, n AS count_service, " + sql_ratio("num", "den * 100", 4) + " AS unit_cost FROM ipc_unit WHERE scheme = 'Fee per hour'"),
+    plan_sql("SELECT CAST(month AS VARCHAR) AS month, doctor_id, scheme, n AS count_service, " + sql_ratio("num", "den * 100", 4) + " AS unit_cost FROM ipc_unit"),
 )
 def unit_cost_carry_forward(spark, sf):
     t = Standins(spark, sf)
-    visits = C.clinic_visits(t, RULES).where(F.col("ipc_schema") == C.HOURLY)
-    rows = C.unit_cost_carry_forward(C.service_counts(visits, ["doctor_id"]), t["monthly_cost"], PLAN_AS_OF)
-    return rows.select("month", "doctor_id", "count_service", F.round("unit_cost", 4).alias("unit_cost"))
+    visits = C.clinic_visits(t, RULES)
+    contracts = t["payroll_doctor"].where(F.col("type") != RULES.primary_type)
+    payroll = C.payroll_by_month(contracts, RULES.first_day, PLAN_AS_OF, ["doctor_id"])
+
+    def units(scheme, costs, **how):
+        counts = C.service_counts(visits.where(F.col("ipc_schema") == scheme), ["doctor_id"])
+        return C.unit_cost_carry_forward(counts, costs, PLAN_AS_OF, **how).select("month", "doctor_id", F.lit(scheme).alias("scheme"), "count_service", F.round("unit_cost", 4).alias("unit_cost"))
+
+    return units(C.HOURLY, t["monthly_cost"]).unionByName(units(C.PAYROLL, payroll, own_fallback=True))
 
 
 @query(
     "allocate_unit_cost",
-    plan_sql("SELECT service_id, service_type, COALESCE(vc_schema, ipc_schema) AS scheme, sub_c / 100 AS subtotal FROM paid_all WHERE transaction_id IS NULL"),
+    plan_sql("SELECT service_id, service_type, COALESCE(vc_schema, ipc_schema) AS scheme, CAST(sub_n AS DOUBLE) / 1e10 AS subtotal FROM paid_all WHERE transaction_id IS NULL"),
 )
 def allocate_unit_cost(spark, sf):
     t = Standins(spark, sf)
@@ -129,7 +133,7 @@ def scheme_tag_interval(spark, sf):
     "claims_report",
     plan_sql(
         """SELECT healthplan_id, member_id, vertical, business_group, business_group_size, age_at_subscription, product_family, service_id, CAST(service_created_at AS VARCHAR) AS service_created_at,
-           service_type, vc_schema, ipc_schema, transaction_id, transaction_type, CAST(transaction_date AS VARCHAR) AS transaction_date, sub_c / 100 AS subtotal,
+           service_type, vc_schema, ipc_schema, transaction_id, transaction_type, CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(sub_n AS DOUBLE) / 1e10 AS subtotal,
            price_c / 100 AS subtotal_cost_to_reinsurance, participates AS reinsurance_participates FROM claims"""
     ),
 )

@@ -89,12 +89,12 @@ def polymorphic_join(spark, sf):
 
 @query(
     "full_outer_merge",
-    """WITH f AS (SELECT o_custkey, COUNT(*) AS n_closed FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1),
-            o AS (SELECT o_custkey, COUNT(*) AS n_open FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 300000 GROUP BY 1)
+    """WITH f AS (SELECT o_custkey, COUNT(*) AS n_closed FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+            o AS (SELECT o_custkey, COUNT(*) AS n_open FROM orders WHERE o_orderstatus = 'O' GROUP BY 1)
        SELECT o_custkey, n_closed, n_open FROM f FULL JOIN o USING (o_custkey)""",
 )
 def full_outer_merge(spark, sf):
-    o = Tables(spark, sf).orders.where("o_totalprice > 300000")
+    o = Tables(spark, sf).orders
     closed = o.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count("*").alias("n_closed"))
     opened = o.where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.count("*").alias("n_open"))
     return closed.join(opened, "o_custkey", "full")
@@ -163,13 +163,13 @@ def interval_join_keyed(spark, sf):
 
 @query(
     "interval_join_theta",
-    f"""WITH {ctes('payroll_doctor')}, d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS DATE) AS day)
+    f"""WITH {ctes('payroll_doctor')}, d AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '{PLAN_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day)
        SELECT CAST(day AS VARCHAR) AS ts_date, type, COUNT(*) AS n, CAST(SUM(salary) AS DOUBLE) AS pay
        FROM d JOIN payroll_doctor ON start_date <= day AND COALESCE(end_date, DATE '2100-01-01') >= day GROUP BY 1, 2""",
 )
 def interval_join_theta(spark, sf):
     people = Standins(spark, sf)["payroll_doctor"]
-    days = J.explode_active_days(people, "start_date", "end_date", F.lit(dt.date(1995, 1, 1)), F.lit(dt.date(1998, 12, 31)))
+    days = J.explode_active_days(people, "start_date", "end_date", F.lit(dt.date(1995, 1, 1)), F.lit(PLAN_AS_OF))
     return days.groupBy("ts_date", "type").agg(F.count("*").alias("n"), F.sum("salary").alias("pay"))
 
 

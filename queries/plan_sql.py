@@ -164,31 +164,33 @@ ipc_lag AS (SELECT *, LAG(cost_c) OVER w AS prev_c, LAG(n) OVER w AS prev_n, mon
         FROM ipc_n LEFT JOIN ipc_cost USING (month, doctor_id, scheme) WINDOW w AS (PARTITION BY scheme, doctor_id ORDER BY month)),
 ipc_unit AS (SELECT month, doctor_id, scheme, n, CASE WHEN known THEN cost_c WHEN prev_c IS NOT NULL THEN prev_c WHEN scheme = 'Payroll based' THEN cost_c END AS num,
         CASE WHEN known THEN n WHEN prev_c IS NOT NULL THEN prev_n WHEN scheme = 'Payroll based' THEN n END AS den FROM ipc_lag),
-paid_all AS (SELECT * FROM billed
-        UNION ALL SELECT healthplan_id, member_id, service_id, disease_case_id, day, 'Videoconsult', v.scheme, NULL, NULL, 'PY', day, {half_up('num', 'den')}
+paid_all AS (SELECT * EXCLUDE (sub_c), CAST(sub_c AS HUGEINT) * 100000000 AS sub_n FROM billed
+        UNION ALL SELECT healthplan_id, member_id, service_id, disease_case_id, day, 'Videoconsult', v.scheme, NULL, NULL, 'PY', day, {half_up('num * CAST(100000000 AS HUGEINT)', 'den')}
         FROM vc v LEFT JOIN vc_unit u ON u.month = date_trunc('month', day) AND u.scheme = v.scheme
-        UNION ALL SELECT healthplan_id, member_id, service_id, disease_case_id, day, 'In person consult by provider', NULL, v.scheme, NULL, 'PY', day, {half_up('num - copay_c * CAST(den AS HUGEINT)', 'den')}
+        UNION ALL SELECT healthplan_id, member_id, service_id, disease_case_id, day, 'In person consult by provider', NULL, v.scheme, NULL, 'PY', day, {half_up('num - copay_c * CAST(den AS HUGEINT)', 'den')} * CAST(100000000 AS HUGEINT)
         FROM visit v LEFT JOIN ipc_unit u ON u.month = date_trunc('month', day) AND u.scheme = v.scheme AND u.doctor_id = v.doctor_id),
 payout AS (SELECT r.service_id, p.* FROM coverage_ruling r JOIN coverage_payout p ON p.service_coverage_ruling_id = r.id WHERE p.deleted IS NULL
         QUALIFY ROW_NUMBER() OVER (PARTITION BY r.service_id ORDER BY p.created_at DESC, p.service_coverage_ruling_id DESC, covered_subtotal_cents DESC) = 1),
-vc_own AS (SELECT v.service_id, covered_subtotal_cents + coinsured_subtotal_cents AS own_c FROM vc v LEFT JOIN payout USING (service_id)),
+gone AS (SELECT r.service_id FROM coverage_ruling r LEFT JOIN coverage_payout p ON p.service_coverage_ruling_id = r.id WHERE r.service_id IS NOT NULL
+        GROUP BY 1 HAVING COUNT(*) = COUNT(p.deleted)),
+vc_own AS (SELECT v.service_id, covered_subtotal_cents + coinsured_subtotal_cents AS own_c FROM vc v LEFT JOIN payout USING (service_id) WHERE v.service_id NOT IN (SELECT service_id FROM gone)),
 vc_first AS (SELECT own_c, MIN(service_id) AS f FROM vc_own WHERE own_c IS NOT NULL GROUP BY 1),
 vc_range AS (SELECT own_c, CASE WHEN ROW_NUMBER() OVER (ORDER BY f) = 1 THEN 1 ELSE f END AS f, COALESCE(LEAD(f) OVER (ORDER BY f) - 1, (SELECT MAX(service_id) FROM vc_own)) AS t FROM vc_first),
 ipc_own AS (SELECT v.service_id, covered_subtotal_cents AS own_c, LAG(covered_subtotal_cents) OVER w AS p, LEAD(covered_subtotal_cents) OVER w AS n, f.amount_cents - v.copay_c AS dflt
         FROM visit v LEFT JOIN payout USING (service_id) LEFT JOIN doctor d ON d.id = v.doctor_id LEFT JOIN fare f ON f.id = d.specialization_fare_id
-        WINDOW w AS (PARTITION BY v.doctor_id ORDER BY v.service_id)),
+        WHERE v.service_id NOT IN (SELECT service_id FROM gone) WINDOW w AS (PARTITION BY v.doctor_id ORDER BY v.service_id)),
 price AS (SELECT o.service_id, r.own_c AS price_c FROM vc_own o LEFT JOIN vc_range r ON o.service_id BETWEEN r.f AND r.t
         UNION ALL SELECT service_id, COALESCE(own_c, p, n, dflt) FROM ipc_own),
 attr AS (SELECT * FROM premium QUALIFY ROW_NUMBER() OVER (PARTITION BY healthplan_id ORDER BY amendment_id NULLS FIRST) = 1),
 claims AS (SELECT c.healthplan_id, c.member_id, a.vertical, a.business_group, a.business_group_size, a.age_at_subscription, a.product_family, c.service_id, c.service_created_at, c.service_type, c.vc_schema,
         CASE WHEN c.service_type IN ('In person consult', 'In person consult by provider') THEN COALESCE(ipc_schema, 'Fee per service') END AS ipc_schema,
-        c.transaction_id, c.transaction_type, c.transaction_date, c.sub_c, price_c,
+        c.transaction_id, c.transaction_type, c.transaction_date, c.sub_n, price_c,
         NOT COALESCE(a.product_family = 'mini' OR c.service_id IN (SELECT service_id FROM non_ceded_service) OR h.uuid IN (SELECT healthplan_uuid FROM non_ceded_plan)
              OR (c.service_type = 'Videoconsult' AND a.product_id < 40), FALSE) AS participates
         FROM paid_all c LEFT JOIN attr a USING (healthplan_id) LEFT JOIN price USING (service_id) LEFT JOIN healthplan h ON h.id = c.healthplan_id)"""
 
 _LOSS = f"""
-paid_class AS (SELECT c, k.hp_class, COALESCE(SUM(sub_c), 0) AS paid_c FROM cutoffs CROSS JOIN (SELECT DISTINCT hp_class FROM classed) k
+paid_class AS (SELECT c, k.hp_class, COALESCE({half_up('SUM(sub_n)', '100000000')}, 0) AS paid_c FROM cutoffs CROSS JOIN (SELECT DISTINCT hp_class FROM classed) k
         LEFT JOIN (SELECT * FROM claims JOIN classed USING (healthplan_id) WHERE service_created_at <= (SELECT MAX(c) FROM cutoffs)) x ON x.hp_class = k.hp_class AND x.transaction_date <= c GROUP BY 1, 2),
 finest AS (SELECT c, hp_class, 'All services' AS ss_class, CAST(paid_c AS BIGINT) AS paid_c, prem_c FROM paid_class JOIN accrued USING (c, hp_class))"""
 

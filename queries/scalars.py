@@ -13,14 +13,15 @@ SQL_SIZE_BAND = "CASE WHEN {0} < 10 THEN '1 - 9' WHEN {0} < 20 THEN '10 - 19' WH
 
 @query(
     "case_size_band",
-    f"""WITH n AS (SELECT l_suppkey, l_returnflag, COUNT(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY 1, 2)
-        SELECT s_suppkey, l_returnflag, n, {SQL_SIZE_BAND.format('n')} AS band FROM supplier LEFT JOIN n ON l_suppkey = s_suppkey""",
+    f"""WITH n AS (SELECT l_suppkey, l_returnflag, l_shipdate, COUNT(*) AS n FROM (SELECT l_suppkey, l_returnflag, CAST(date_trunc('month', l_shipdate) AS DATE) AS l_shipdate FROM lineitem) GROUP BY 1, 2, 3)
+        SELECT s_suppkey, l_returnflag, CAST(l_shipdate AS VARCHAR) AS month, n, {SQL_SIZE_BAND.format('n')} AS band FROM supplier LEFT JOIN n ON l_suppkey = s_suppkey""",
 )
 def case_size_band(spark, sf):
     t = Tables(spark, sf)
-    n = t.lineitem.where("l_quantity > 45").groupBy("l_suppkey", "l_returnflag").agg(F.count("*").alias("n"))
+    month = F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("month")
+    n = t.lineitem.groupBy("l_suppkey", "l_returnflag", month).agg(F.count("*").alias("n"))
     rows = t.supplier.select("s_suppkey").join(n, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return rows.select("s_suppkey", "l_returnflag", "n", R.size_band(F.col("n")).alias("band"))
+    return rows.select("s_suppkey", "l_returnflag", "month", "n", R.size_band(F.col("n")).alias("band"))
 
 
 @query(

@@ -264,7 +264,7 @@ STANDINS: dict[str, str] = {
         FROM {{events}} WHERE event_type IN ('view', 'purchase')""",
     "speciality_code": """SELECT DISTINCT 'S' || CAST(n_nationkey % 2 AS STRING) AS code, 'SPECIALITY ' || CAST(n_nationkey % 2 AS STRING) AS label FROM {nation}""",
     "service_payment": f"""
-        SELECT user_id AS member_id, {_VISIT} AS service_id, user_id AS healthplan_id,
+        SELECT user_id AS member_id, {_VISIT} + CASE WHEN event_type = 'error' AND event_id % 2 = 1 THEN 1000000000 ELSE 0 END AS service_id, user_id AS healthplan_id,
                CASE event_type WHEN 'click' THEN 'In person consult by provider' WHEN 'view' THEN 'Videoconsult' ELSE 'Other service' END AS service_type,
                CAST(20 + user_id % 60 AS BIGINT) AS age_at_subscription, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
                CASE WHEN event_type = 'view' THEN 'Fee per hour' END AS vc_schema, CASE WHEN event_type = 'click' THEN 'Payroll based' END AS ipc_schema,
@@ -273,7 +273,7 @@ STANDINS: dict[str, str] = {
                'Group ' || CAST(user_id % 9 AS STRING) AS business_group, 'Business ' || CAST(user_id % 40 AS STRING) AS business_name,
                CAST(ts AS DATE) AS transaction_date, CASE event_type WHEN 'error' THEN 'RF' WHEN 'click' THEN 'DB' WHEN 'signup' THEN NULL ELSE 'PY' END AS transaction_type,
                CAST(value AS DECIMAL(18,2)) AS subtotal
-        FROM {{events}} WHERE event_type <> 'error' OR event_id % 2 = 0""",
+        FROM {{events}}""",
 }
 
 

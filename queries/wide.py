@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lossledger.operators.joins import join_role
 from lossledger.plans import wide as W
-from queries.registry import Tables, query
+from queries.registry import query
 from queries.standins import Standins, ctes
 
 
@@ -44,11 +44,12 @@ newest AS (SELECT member_id, service_id, services_health_plan_id AS healthplan_i
 paid AS (SELECT member_id, service_id, healthplan_id, MIN(transaction_date) AS first_day, MAX(transaction_date) AS last_day, SUM(subtotal) AS subtotal,
          array_to_string(list_sort(list(transaction_type)), ', ') AS types, ANY_VALUE(vertical) AS vertical, ANY_VALUE(age_at_subscription) AS age, ANY_VALUE(gender) AS gender
          FROM service_payment GROUP BY 1, 2, 3),
-mode AS (SELECT r.service_id, r.id, r.state, payout_mode AS o, method AS i FROM coverage_ruling r
+mode AS (SELECT r.service_id, r.id, r.state, r.updated_at, payout_mode AS o, method AS i FROM coverage_ruling r
          LEFT JOIN (SELECT * FROM coverage_payout WHERE deleted IS NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY service_coverage_ruling_id ORDER BY created_at DESC) = 1) p ON p.service_coverage_ruling_id = r.id
          LEFT JOIN (SELECT * FROM payin_request WHERE deleted IS NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY service_coverage_ruling_id ORDER BY created_at DESC) = 1) q ON q.service_coverage_ruling_id = r.id),
-modes AS (SELECT id, service_id, state, CASE o WHEN 'DIRECT' THEN 'Pago directo' WHEN 'DIRECT_HOSPITAL' THEN 'Pago directo a hospital' WHEN 'REIMBURSEMENT' THEN 'Reembolso'
+modes AS (SELECT id, service_id, state, updated_at, CASE o WHEN 'DIRECT' THEN 'Pago directo' WHEN 'DIRECT_HOSPITAL' THEN 'Pago directo a hospital' WHEN 'REIMBURSEMENT' THEN 'Reembolso'
           WHEN 'COMPENSATION' THEN 'Compensación' ELSE o END AS payout_mode, CASE i WHEN 'CARD' THEN 'Pago con tarjeta' WHEN 'IN_SITU' THEN 'Pago in situ' END AS payin_mode FROM mode),
+mode_1 AS (SELECT * FROM modes QUALIFY ROW_NUMBER() OVER (PARTITION BY service_id ORDER BY updated_at DESC NULLS LAST, id DESC) = 1),
 addr_id AS (SELECT id, address1, neighborhood, city, zipcode FROM address WHERE deleted IS NULL),
 addr_doc AS (SELECT doctor_id, address1, neighborhood, city, zipcode FROM address WHERE deleted IS NULL AND doctor_id IS NOT NULL
              QUALIFY ROW_NUMBER() OVER (PARTITION BY doctor_id ORDER BY updated_at DESC, id DESC) = 1),
@@ -69,7 +70,7 @@ wide AS (SELECT DISTINCT n.service_id, n.member_id, n.healthplan_id, n.case_even
          mem.member_name, mem.occupation, mem.height_cm, mem.weight_kg, mem.represented, p.first_day, p.last_day, p.types, p.subtotal, p.vertical, p.age, p.gender
          FROM newest n JOIN paid p USING (member_id, service_id, healthplan_id)
          LEFT JOIN healthplan h ON h.id = n.healthplan_id LEFT JOIN application_item ai ON ai.id = h.health_plan_application_item_id LEFT JOIN application ac ON ac.id = ai.application_id
-         LEFT JOIN modes mo ON mo.service_id = n.service_id LEFT JOIN service_type st ON st.code = n.services_service_type_value
+         LEFT JOIN mode_1 mo ON mo.service_id = n.service_id LEFT JOIN service_type st ON st.code = n.services_service_type_value
          LEFT JOIN doc d ON d.id = n.services_provided_by_object_id AND n.services_provided_by_content_type_id = 59 LEFT JOIN fare fa ON fa.id = d.specialization_fare_id
          LEFT JOIN medical_specialization ms ON ms.id = fa.medical_specialization_id LEFT JOIN specs ON specs.doctor_id = d.id
          LEFT JOIN doctor_friend df ON df.id = n.services_provided_by_object_id AND n.services_provided_by_content_type_id = 58
@@ -152,19 +153,11 @@ def wide_fact(spark, sf):
 
 @query(
     "join_preservation_audit",
-    """WITH j AS (SELECT '0 lineitem' AS step, COUNT(*) AS n_rows, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem
-       UNION ALL SELECT '1 orders', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
-       UNION ALL SELECT '2 part', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN part ON p_partkey = l_partkey
-       UNION ALL SELECT '3 supplier', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey)
-       SELECT step, n_rows, CAST(total AS DOUBLE) AS total FROM j""",
+    f"""{_WIDE}, one AS (SELECT COUNT(*) AS n_rows, CAST(SUM(p.subtotal) AS DOUBLE) AS total FROM newest JOIN paid p USING (member_id, service_id, healthplan_id))
+        SELECT step, n_rows, total FROM one, (SELECT unnest(['0 paid services', '1 plan and rulings', '2 doctor', '3 provider', '4 addresses and member', '5 places']) AS step) s""",
 )
 def join_preservation_audit(spark, sf):
-    t = Tables(spark, sf)
-    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
-    steps = [("0 lineitem", rows)]
-    for i, (dim, key, dim_key, column) in enumerate(
-        [("orders", "l_orderkey", "o_orderkey", "o_custkey"), ("part", "l_partkey", "p_partkey", "p_brand"), ("supplier", "l_suppkey", "s_suppkey", "s_name")], 1
-    ):
-        rows = join_role(rows, getattr(t, dim), key, dim_key, {column: column})
-        steps.append((f"{i} {dim}", rows))
-    return W.join_audit(steps, "amount")
+    """No join of the wide table repeats or loses a service or its money: every step has the counts of the first."""
+    t, steps = Standins(spark, sf), []
+    W.wide_fact(t, t["service_payment"], steps=steps)
+    return W.join_audit(steps, "subtotal")

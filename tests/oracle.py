@@ -70,7 +70,7 @@ if __name__ == "__main__":
     queries, sqls = entry.queries(), entry.oracle_sql()
     from queries.registry import MODULE
 
-    picked = [n for n in queries if not args[1:] or n in args[1:] or MODULE[n] in args[1:]]
+    picked = [n for n in queries if not args[1:] or n in args[1:] or MODULE.get(n) in args[1:]]
     failed = []
     for name in picked:
         try:

@@ -103,6 +103,33 @@ def test_carry_forward_of_unit_cost(spark):
     assert units(True) == {(1, 1): 25, (2, 1): 25, (3, 1): 10, (3, 2): 10}
 
 
+def test_services_whose_payouts_are_all_deleted_have_no_price(spark):
+    t = {
+        "coverage_ruling": spark.createDataFrame([(10, 1), (20, 2), (21, 2), (30, 3), (31, 3), (40, 4)], "id int, service_id int"),
+        "coverage_payout": spark.createDataFrame(
+            [(10, 500, 0, T("2024-01-01"), None), (20, 700, 0, T("2024-01-02"), T("2024-02-01")), (21, 800, 0, T("2024-01-02"), T("2024-02-01")), (30, 900, 0, T("2024-01-03"), T("2024-02-01"))],
+            "service_coverage_ruling_id int, covered_subtotal_cents bigint, coinsured_subtotal_cents bigint, created_at timestamp_ntz, deleted timestamp_ntz",
+        ),
+    }
+    services = spark.createDataFrame([(i,) for i in range(1, 6)], "service_id int")
+    # 2 is out: all its payouts are deleted; 3 stays, its second ruling has no payout; 4 and 5 never had one
+    assert sorted(r[0] for r in C.without_deleted_payouts(services, t).collect()) == [1, 3, 4, 5]
+    prices = {r["service_id"]: r["price"] for r in C.video_reinsurance_price(services, t).collect()}
+    assert prices == {i: Decimal("5.00") for i in (1, 3, 4, 5)}
+
+
+def test_shares_of_a_months_cost_add_up(spark):
+    services = spark.createDataFrame([(i, D("2024-01-05"), "x") for i in range(7)], "service_id int, service_created_at date, scheme string")
+    units = spark.createDataFrame([(D("2024-01-01"), "x", Decimal(100) / 7)], "month date, scheme string, unit_cost decimal(38,16)")
+    total = C.allocate_unit_cost(services, units, ["scheme"]).agg(F.sum("subtotal").alias("s")).first()["s"]
+    assert abs(total - 100) < Decimal("0.00001")
+
+
+def test_a_service_takes_its_newest_ruling(spark):
+    modes = spark.createDataFrame([(1, 5, T("2024-01-01"), "a"), (2, 5, T("2024-03-01"), "b"), (3, 5, T("2024-03-01"), "c"), (4, 6, None, "d")], "id int, service_id int, updated_at timestamp_ntz, payout_mode string")
+    assert sorted((r["service_id"], r["payout_mode"]) for r in W.newest_ruling(modes).collect()) == [(5, "c"), (6, "d")]
+
+
 def test_open_month_takes_last_months_unit_cost(spark):
     counts = spark.createDataFrame([(D("2024-02-01"), "h", 4), (D("2024-03-01"), "h", 10)], "month date, s string, count_service bigint")
     costs = spark.createDataFrame([(D("2024-02-01"), "h", Decimal("100.00"))], "month date, s string, subtotal decimal(18,2)")

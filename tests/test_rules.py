@@ -99,6 +99,17 @@ def test_local_date_steps_back_at_night_and_ignores_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_local_date_of_an_instant_ignores_the_session_zone(spark):
+    for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+        try:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            instants = spark.createDataFrame([(1_706_756_400_000_000,), (1_706_770_800_500_000,), (-1,)], "us bigint").select(F.timestamp_micros("us").alias("a"))
+            got = [r[0] for r in instants.select(R.local_date(F.col("a")).cast("string")).collect()]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == ["2024-01-31", "2024-02-01", "1969-12-31"], zone
+
+
 def test_trunc_cuts_towards_zero(spark):
     assert one(spark, R.trunc_digits(F.col("a"), 4), a=("-0.12349", "decimal(10,5)")) == Decimal("-0.1234")
 
