@@ -11,7 +11,7 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import FeatureHasher, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,21 +157,25 @@ class FeatureSpec:
     scaled: tuple[str, ...] = ()
     crosses: tuple[tuple[str, ...], ...] = ()
     passed: tuple[str, ...] = ()
-    hash_size: int = 256
 
 
 @dataclass
 class FeatureModel:
-    """A fitted FeatureSpec: one code table for all labels, cut points, medians and spreads."""
+    """A fitted FeatureSpec: one code table for all labels and one for all categories, cut points, medians and spreads,
+    and the mean of each number."""
 
     spec: FeatureSpec
     codes: DataFrame | None = None
     cuts: dict[str, list[float]] = field(default_factory=dict)
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
+    categories: DataFrame | None = None
+    sizes: dict[str, int] = field(default_factory=dict)
+    means: dict[str, float] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, spec: FeatureSpec) -> FeatureModel:
-        """Two passes over the table: one for all vocabularies, one for all quantiles."""
+        """One pass over the table for all label vocabularies, one for all quantiles, and one each for the categories
+        and means that follow from them."""
         model = cls(spec)
         if spec.labels:
             model.codes = materialise(code_table(df, spec.labels), "codes")
@@ -187,6 +191,13 @@ class FeatureModel:
             for c in spec.scaled:
                 q1, median, q3 = found[c][-3:]
                 model.scale[c] = (median, q3 - q1)
+        rows = model.transform(df)
+        if model.category_columns():
+            model.categories = materialise(code_table(rows, model.category_columns()), "categories")
+            model.sizes = {r[0]: r[1] for r in model.categories.groupBy("feature").agg(F.max("code")).collect()}
+        if model.numeric_columns():
+            found = rows.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in model.numeric_columns()]).first()
+            model.means = {c: found[c] or 0.0 for c in model.numeric_columns()}
         return model
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -210,28 +221,46 @@ class FeatureModel:
         return [f"{c}_bucket" for c in self.cuts] + ["_x_".join(x) for x in self.spec.crosses]
 
     def assemble(self, df: DataFrame, out: str = "features") -> DataFrame:
-        """One vector per row: numbers as they are (NULL as 0), categories hashed."""
+        """One vector per row: numbers as they are (NULL as the mean in training), and a slot of its own for every
+        category; slot 0 of a column is for NULL and for what training had not."""
         rows = self.transform(df)
-        numbers = self.numeric_columns()
-        rows = rows.withColumns({f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numbers})
-        inputs = [f"_n_{c}" for c in numbers]
-        if self.category_columns():
-            hasher = FeatureHasher(inputCols=self.category_columns(), outputCol="_hashed", numFeatures=self.spec.hash_size)
-            rows, inputs = hasher.transform(rows), [*inputs, "_hashed"]
+        numbers, kinds = self.numeric_columns(), self.category_columns()
+        rows = rows.withColumns({f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(self.means[c])) for c in numbers})
+        inputs, slots = [f"_n_{c}" for c in numbers], [f"_s_{c}" for c in kinds]
+        for c in kinds:
+            rows = encode_label(rows, self.categories.where(F.col("feature") == c), c, f"_s_{c}")
+            # with the number of slots in the column's description, the encoder needs no pass over the rows
+            known = {"ml_attr": {"type": "nominal", "name": f"_s_{c}", "num_vals": self.sizes.get(c, 0) + 1}}
+            rows = rows.withColumn(f"_s_{c}", F.col(f"_s_{c}").cast("double").alias(f"_s_{c}", metadata=known))
+        if kinds:
+            encoder = OneHotEncoder(inputCols=slots, outputCols=[f"_o_{c}" for c in kinds], dropLast=False)
+            rows, inputs = encoder.fit(rows).transform(rows), [*inputs, *encoder.getOutputCols()]
         rows = VectorAssembler(inputCols=inputs, outputCol=out).transform(rows)
-        return rows.drop(*inputs)
-
-    def feature_names(self) -> list[str]:
-        hashed = [f"hashed_{i}" for i in range(self.spec.hash_size)] if self.category_columns() else []
-        return self.numeric_columns() + hashed
+        return rows.drop(*inputs, *slots)
+
+    def feature_table(self, spark: SparkSession) -> DataFrame:
+        """(pos, processed_input, category) of every place in the vector; numbers have no category."""
+        places, at = [(i, c, None) for i, c in enumerate(self.numeric_columns())], len(self.numeric_columns())
+        first = {}
+        for c in self.category_columns():
+            first[c] = at
+            places.append((at, c, "(none)"))
+            at += self.sizes.get(c, 0) + 1
+        out = spark.createDataFrame(places, "pos long, processed_input string, category string")
+        if self.categories is None:
+            return out
+        begin = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])[F.col("feature")]
+        return out.unionByName(self.categories.select((begin + F.col("code")).alias("pos"), F.col("feature").alias("processed_input"), F.col("value").alias("category")))
 
     def save(self, path: str) -> None:
         """The code table as parquet, the numbers as one JSON row."""
         spark = SparkSession.getActiveSession()
-        state = json.dumps({"spec": asdict(self.spec), "cuts": self.cuts, "scale": self.scale})
+        state = json.dumps({"spec": asdict(self.spec), "cuts": self.cuts, "scale": self.scale, "sizes": self.sizes, "means": self.means})
         spark.createDataFrame([(state,)], "state string").write.mode("overwrite").json(os.path.join(path, "state"))
         if self.codes is not None:
             save_table(self.codes, os.path.join(path, "codes"))
+        if self.categories is not None:
+            save_table(self.categories, os.path.join(path, "categories"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
@@ -243,7 +272,7 @@ class FeatureModel:
             scaled=tuple(raw["scaled"]),
             crosses=tuple(tuple(x) for x in raw["crosses"]),
             passed=tuple(raw["passed"]),
-            hash_size=raw["hash_size"],
         )
         codes = spark.read.parquet(os.path.join(path, "codes")) if spec.labels else None
-        return cls(spec, codes, state["cuts"], {c: tuple(v) for c, v in state["scale"].items()})
+        categories = spark.read.parquet(os.path.join(path, "categories")) if spec.buckets or spec.crosses else None
+        return cls(spec, codes, state["cuts"], {c: tuple(v) for c, v in state["scale"].items()}, categories, state["sizes"], state["means"])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.models.features import exact_quantiles
@@ -45,13 +45,20 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def model_weights(spark: SparkSession, model: LinearRegressionModel, names: Sequence[str], rows: DataFrame, features: str = "features") -> DataFrame:
-    """(processed_input, weight), each weight times its feature's standard deviation. One row per feature: the
-    size of the model."""
-    arr = vector_to_array(F.col(features))
-    pairs = rows.select(F.posexplode(arr).alias("pos", "x")).groupBy("pos").agg(F.stddev_samp("x").alias("sd"))
-    table = spark.createDataFrame([(i, n, float(w)) for i, (n, w) in enumerate(zip(names, model.coefficients.toArray()))], "pos int, processed_input string, coef double")
-    return table.join(pairs, "pos").select("processed_input", (F.col("coef") * F.coalesce("sd", F.lit(0.0))).alias("weight"))
+def model_weights(model: LinearRegressionModel, table: DataFrame, rows: DataFrame, features: str = "features") -> DataFrame:
+    """(processed_input, category, weight), each weight times its feature's standard deviation. ``table`` has pos,
+    processed_input and category; the weights are as many as the model has places."""
+    spread = rows.select(Summarizer.metrics("std").summary(F.col(features)).alias("s")).select("s.std").first()[0]
+    found = [(i, float(w * d)) for i, (w, d) in enumerate(zip(model.coefficients.toArray(), spread.toArray()))]
+    weights = rows.sparkSession.createDataFrame(found, "pos long, weight double")
+    return table.join(weights, "pos").select("processed_input", "category", "weight")
+
+
+def category_weights(weights: DataFrame) -> DataFrame:
+    """Weights by input, as ``weight_report`` takes them: a number has its weight, a category column a list."""
+    listed = F.collect_list(F.when(F.col("category").isNotNull(), F.struct("category", "weight")))
+    number = F.max(F.when(F.col("category").isNull(), F.col("weight")))
+    return weights.groupBy("processed_input").agg(number.alias("weight"), listed.alias("category_weights"))
 
 
 def weight_report(weights: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lossledger.sources.tables import materialise
+
 _B = "_bucket"
 
 
@@ -166,6 +168,8 @@ def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count
     the same key from reusing the join's partitioning, so that grouping reduces before its own shuffle.
     """
     keys = list(keys)
+    # Written once: read three times below, and by the plans of further keys, whose work would multiply otherwise.
+    summary = materialise(summary, "key-summary")
     extras = [c for c in summary.columns if c not in keys and c != count]
     total = summary.agg(F.sum(count)).scalar()
     packed = F.struct(*extras)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.functions.rules import joined, sentinel_to_null
+from lossledger.functions.rules import joined, nonempty, sentinel_to_null
 from lossledger.operators.aggregates import distinct_array, latest_by_key, repeated_text
 from lossledger.operators.joins import join_role
 from lossledger.operators.ordered import first_per_key
@@ -60,24 +60,27 @@ def label_from_table(rows: DataFrame, code: str, labels: DataFrame, out: str) ->
 
 
 def clean_records(events: DataFrame, notes: DataFrame) -> DataFrame:
-    """Medical events beside their notes, sentinels turned into NULL, exact repeats removed."""
+    """Medical events beside their notes, sentinels turned into NULL. Exact repeats may stay: what follows ignores them."""
     rows = events.join(notes, ["member_id", "service_id"], "left")
     present = [c for c in SENTINEL_COLUMNS if c in rows.columns]
-    return sentinel_to_null(rows, present, [c for c in EMPTY_COLUMNS if c in rows.columns]).distinct()
+    return sentinel_to_null(rows, present, [c for c in EMPTY_COLUMNS if c in rows.columns])
 
 
 def collapse_records(clean: DataFrame, specialities: DataFrame) -> DataFrame:
     """One row per (member, service, plan): every attribute from the newest record, three text fields as lists.
 
-    The newest record is picked once as a whole row; the lists come from distinct values.
+    The newest record is picked once as a whole row; the lists come from distinct values; one grouping does both.
     """
     rows = clean.withColumnRenamed("services_health_plan_id", "healthplan_id")
     attributes = [c for c in rows.columns if c not in KEYS and c not in TEXT_LISTS]
     tie = F.xxhash64(*[F.col(c) for c in sorted(attributes)])
-    newest = latest_by_key(rows, KEYS, [F.col("services_created_date"), tie], attributes)
+    picked = F.max_by(F.struct(*attributes), F.struct(F.col("services_created_date"), tie)).alias("_row")
+    texts = [nonempty(F.array_sort(F.collect_set(source))).alias(f"_{name}") for source, name in TEXT_LISTS.items()]
+    grouped = rows.groupBy(*KEYS).agg(picked, *texts)
+    newest = grouped.select(*KEYS, "_row.*", *[joined(F.col(f"_{name}")).alias(f"_{name}") for name in TEXT_LISTS.values()])
     newest = label_from_table(newest, "specialization", specialities, "consult_specialization")
     tag = F.col("services_provided_by_content_type_id")
-    out = newest.select(
+    return newest.select(
         *KEYS,
         "case_event_id",
         "disease_case_id",
@@ -100,11 +103,8 @@ def collapse_records(clean: DataFrame, specialities: DataFrame) -> DataFrame:
         F.coalesce("services_cpt", "caseeventfinalletterdata_cpt_codes").alias("cpt"),
         F.coalesce("diseasecase_description", "diagnosis").alias("diagnosis"),
         "services_diagnosis_description",
+        *[F.col(f"_{name}").alias(name) for name in TEXT_LISTS.values()],
     )
-    for source, name in TEXT_LISTS.items():
-        texts = distinct_array(rows, KEYS, source, "_texts")
-        out = _join_keys(out, texts.select(*KEYS, joined(F.col("_texts")).alias(name)))
-    return out
 
 
 def _join_keys(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:

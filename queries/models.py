@@ -20,9 +20,8 @@ SPEC = X.FeatureSpec(
     buckets=(("age_at_subscription", 8),),
     scaled=("age_at_subscription", "product_id"),
     crosses=(("gender", "vertical"), ("business_group", "vertical")),
-    hash_size=64,
 )
-SPEC_SMALL = X.FeatureSpec(labels=("service_type", "gender", "transaction_type"), buckets=(("age_at_subscription", 8),), hash_size=16)
+SPEC_SMALL = X.FeatureSpec(labels=("service_type", "gender", "transaction_type"), buckets=(("age_at_subscription", 8),))
 
 
 @query(
@@ -288,7 +287,13 @@ def linreg_predict(spark, sf):
 @query("model_weights")
 def model_weights(spark, sf):
     model, assembled, fitted = _regressed(spark, sf)
-    return G.model_weights(spark, fitted, model.feature_names(), assembled)
+    return G.model_weights(fitted, model.feature_table(spark), assembled)
+
+
+@query("weight_report_fitted")
+def weight_report_fitted(spark, sf):
+    """The report on a fitted model's own weights."""
+    return G.weight_report(G.category_weights(model_weights(spark, sf)))
 
 
 @query(

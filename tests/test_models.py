@@ -23,7 +23,7 @@ def rows(spark):
     return df.cache()
 
 
-SPEC = X.FeatureSpec(labels=("colour",), buckets=(("age", 4),), scaled=("age",), crosses=(("colour", "town"),), hash_size=8)
+SPEC = X.FeatureSpec(labels=("colour",), buckets=(("age", 4),), scaled=("age",), crosses=(("colour", "town"),))
 
 
 def test_feature_model_round_trip(spark, rows, tmp_path):
@@ -58,10 +58,29 @@ def test_regression_recovers_a_linear_cost(spark, rows):
     fitted = G.linear_regression(0.1, 0.0).fit(assembled)
     metrics = G.regression_metrics(fitted.transform(assembled), "subtotal", "predicted_subtotal").first()
     assert metrics.r2_score > 0.9 and metrics.mean_absolute_error < 15
-    weights = {r.processed_input: r.weight for r in G.model_weights(spark, fitted, model.feature_names(), assembled).collect()}
+    weights = {r.processed_input: r.weight for r in G.model_weights(fitted, model.feature_table(spark), assembled).collect()}
     assert set(weights) == {"colour_code", "age"} and weights["age"] > weights["colour_code"] > 0
 
 
+def test_each_category_has_its_slot_and_a_missing_number_is_the_mean(spark, rows):
+    spec = X.FeatureSpec(crosses=(("colour", "town"),), passed=("age",))
+    model = X.FeatureModel.fit(rows, spec)
+    names = {r.pos: (r.processed_input, r.category) for r in model.feature_table(spark).collect()}
+    assert len(names) == 1 + 1 + 15 and names[0] == ("age", None) and names[1] == ("colour_x_town", "(none)")
+    odd = spark.createDataFrame([(1, "c1", None, "t0", 1.0), (2, "new", 3.0, "t0", 1.0), (3, None, 3.0, "t0", 1.0)], "id long, colour string, age double, town string, subtotal double")
+    got = {r.id: r.v for r in model.assemble(odd).select("id", vector_to_array("features").alias("v")).collect()}
+    assert got[1][0] == pytest.approx(24.5) and [names[i] for i, x in enumerate(got[1]) if x and i] == [("colour_x_town", "c1_t0")]
+    assert [i for i, x in enumerate(got[2]) if x] == [0, 1] and got[2] == got[3]
+
+
+def test_weights_by_category_reach_the_report(spark, rows):
+    model = X.FeatureModel.fit(rows, X.FeatureSpec(crosses=(("colour",),), passed=("age",)))
+    assembled = model.assemble(rows).cache()
+    fitted = G.linear_regression(0.01, 0.0).fit(assembled)
+    report = {r.processed_input: r for r in G.weight_report(G.category_weights(G.model_weights(fitted, model.feature_table(spark), assembled))).collect()}
+    assert set(report) == {"age", "colour"} and report["colour"].top_category == "c4" and report["age"].top_category is None
+
+
 def test_pca_is_centred(spark):
     df = spark.createDataFrame([(i, [100.0 + i, 50.0 - i, 7.0]) for i in range(20)], "id int, v array<double>")
     vectors = E.as_vectors(df, "v")
