@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossledger.functions.rules import OPEN_END
-from lossledger.operators.ordered import id_block, with_last_known, with_neighbours, with_row_number
+from lossledger.operators.ordered import range_bucket, split_points, with_last_known
 
 
 def join_role(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Mapping[str, str], when: Column | None = None) -> DataFrame:
@@ -73,15 +73,15 @@ def join_member_of(left: DataFrame, key: str, right: DataFrame, array_col: str,
     return left.join(flat, left[key] == flat["_el"], how).drop("_el")
 
 
-def breakpoints(prices: DataFrame, id_col: str, price_col: str, id_width: int = 1_000_000) -> DataFrame:
+def breakpoints(prices: DataFrame, id_col: str, price_col: str) -> DataFrame:
     """Distinct prices ordered by the smallest id that has them, as contiguous id ranges.
 
-    The first range starts at id 1, the last one ends at the largest id.
+    The first range starts at id 1, the last one ends at the largest id. The rows here are the distinct prices, of
+    which a price list has few, so one ordered window is enough.
     """
     starts = prices.where(F.col(price_col).isNotNull()).groupBy(price_col).agg(F.min(id_col).alias("first_id"))
-    block = id_block(F.col("first_id"), id_width)
-    ranked = with_row_number(starts, [], ["first_id", price_col], block, "_rn")
-    ranked = with_neighbours(ranked, [], ["first_id", price_col], "first_id", block, next="_next")
+    along = Window.orderBy("first_id", price_col)
+    ranked = starts.withColumns({"_rn": F.row_number().over(along), "_next": F.lead("first_id").over(along)})
     top = prices.agg(F.max(id_col).alias("m"))
     return ranked.select(
         price_col,
@@ -90,13 +90,14 @@ def breakpoints(prices: DataFrame, id_col: str, price_col: str, id_width: int =
     )
 
 
-def fill_from_breakpoints(prices: DataFrame, id_col: str, price_col: str, out: str, id_width: int = 1_000_000) -> DataFrame:
+def fill_from_breakpoints(prices: DataFrame, id_col: str, price_col: str, out: str) -> DataFrame:
     """The price of the id range each row falls in. As-of fill: range starts are laid among the ids and the latest
-    start is carried forward, instead of comparing every id with every range."""
-    ranges = breakpoints(prices, id_col, price_col, id_width)
+    start is carried forward, instead of comparing every id with every range. Ids are cut at split points of their own, so
+    they may be dense, sparse or hashed."""
+    ranges = breakpoints(prices, id_col, price_col)
     marks = ranges.select(F.col("first_id").alias(id_col), F.col(price_col).alias("_price"), F.lit(0).alias("_kind"))
     rows = prices.select(id_col).distinct().select(id_col, F.lit(None).cast(prices.schema[price_col].dataType).alias("_price"), F.lit(1).alias("_kind"))
     laid = marks.unionByName(rows)
-    filled = with_last_known(laid, [], [id_col, "_kind"], "_price", id_block(F.col(id_col), id_width), out)
+    filled = with_last_known(laid, [], [id_col, "_kind"], "_price", range_bucket(F.col(id_col), split_points(prices, id_col)), out)
     by_id = filled.where("_kind = 1").select(id_col, out)
     return prices.join(by_id, id_col, "left")

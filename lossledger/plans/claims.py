@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lossledger.functions.rules import TAX_DIVISOR, local_date, minutes_between, money, month_start
 from lossledger.operators.joins import explode_active_months, fill_from_breakpoints, join_role, join_valid_at
-from lossledger.operators.ordered import first_per_key, id_block, time_slot, with_neighbours
+from lossledger.operators.ordered import first_per_key, range_bucket, split_points, time_slot, with_neighbours
 from lossledger.plans.collections import item_payments, items_of_types, settled_transactions
 from lossledger.plans.membership import Tables
 from lossledger.plans.premium import SMALL_PRODUCT
@@ -312,7 +312,7 @@ def video_reinsurance_price(consults: DataFrame, t: Tables) -> DataFrame:
 
 def impute_from_neighbours(rows: DataFrame, key: str, order: str, value: str, default: Column, out: str) -> DataFrame:
     """Own value, else the previous row's, else the next row's, else the default."""
-    near = with_neighbours(rows, [key], [order], value, id_block(F.col(order)), prev="_prev", next="_next")
+    near = with_neighbours(rows, [key], [order], value, range_bucket(F.col(order), split_points(rows, order)), prev="_prev", next="_next")
     return near.withColumn(out, F.coalesce(F.col(value), F.col("_prev"), F.col("_next"), default)).drop("_prev", "_next")
 
 

@@ -1,6 +1,7 @@
 """Shapes of physical plans that decide whether a query survives large tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SMALL
@@ -39,3 +40,33 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_semi_join_widens_nothing(spark):
     assert "LeftSemi" in plan(spark, "semi_join_in")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_aggregates_add_up_instead_of_multiplying(spark, no_broadcast):
+    """Every further key reads the table once more (the rows), and its summary was written."""
+    from lossledger.operators.ordered import with_key_aggregate
+    from lossledger.sources.tables import read_table
+
+    rows = read_table(spark, SMALL, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    scans = []
+    for key in ("o_custkey", "o_orderpriority", "o_orderstatus"):
+        rows = with_key_aggregate(rows, [key], {f"n_{key}": F.count("o_orderkey")})
+        text = rows._jdf.queryExecution().executedPlan().toString()
+        scans.append(text.count("orders.parquet"))
+    assert scans == [1, 1, 1]
+
+
+def test_records_collapse_in_one_grouping(spark, no_broadcast):
+    assert plan(spark, "collapse_latest").count("Exchange hashpartitioning") <= 5  # two joins of two sides and one grouping
+
+
+def test_price_ranges_fill_without_one_task_over_all_rows(spark, no_broadcast):
+    text = plan(spark, "asof_breakpoint_fill")
+    assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
