@@ -44,7 +44,20 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")
 
 
-@query("op5_jaccard_join")
+_SIMILAR = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(ws[i:i + 4], ' ') AS x FROM (SELECT rid, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.rid <> b.rid GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n u ON u.rid = a JOIN n v ON v.rid = b WHERE 5 * c >= 4 * (u.n + v.n - c)),
+r AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+l AS (SELECT a AS rid, min(b) AS label FROM r GROUP BY 1),
+k AS (SELECT a AS rid, count(*) AS n_links FROM e GROUP BY 1)
+SELECT d.doc_id, m.doc_id AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n, 0) AS n_shingles
+FROM d JOIN l USING (rid) JOIN d m ON m.rid = label LEFT JOIN k ON k.rid = d.rid LEFT JOIN n ON n.rid = d.rid"""
+
+
+@query("op5_jaccard_join", _SIMILAR)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.similar_documents(read_table(spark, sf, "documents")).select("doc_id", "class_id", "n_links", "n_shingles")
 
@@ -71,6 +84,19 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii.kind")), " ").alias("kinds"))
 
 
-@query("op10_passage_dedup")
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_PASSAGES = f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS rid, doc_id, {_WORDS} AS ws FROM documents),
+p AS (SELECT rid, ws, unnest(range(1, len(ws) - 18)) AS s FROM d WHERE len(ws) >= 20),
+g AS (SELECT rid, s, row_number() OVER (PARTITION BY array_to_string(ws[s:s + 19], ' ') ORDER BY rid, s) AS n FROM p),
+c AS (SELECT DISTINCT rid, s + k AS i FROM g, range(20) t(k) WHERE n > 1),
+r AS (SELECT a.rid, count(*) AS n_spans FROM c a ANTI JOIN c b ON a.rid = b.rid AND b.i = a.i - 1 GROUP BY 1),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+k AS (SELECT w.rid, string_agg(word, ' ' ORDER BY w.i) AS kept, count(*) AS n FROM w ANTI JOIN c ON w.rid = c.rid AND w.i = c.i GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM d LEFT JOIN k USING (rid) LEFT JOIN r USING (rid)"""
+
+
+@query("op10_passage_dedup", _PASSAGES)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return passages.without_repeats(read_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
