@@ -146,7 +146,7 @@ def full_name(*parts: str) -> Column:
     return F.concat(*cols[1:])
 
 
-ADDRESS_COLUMNS = ("address1", "neighborhood", "city", "zipcode")
+ADDRESS_COLUMNS = ("address1", "address2", "neighborhood", "city", "zipcode")
 
 
 def newest_address(addresses: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -214,6 +214,11 @@ def members_dim(members: DataFrame) -> DataFrame:
         "height_cm",
         "weight_kg",
         "date_of_birth",
+        "nickname",
+        "birth_country",
+        "birth_country_code",
+        "nationality_country_code",
+        "rfc",
         represented.alias("member_is_represented_by_user_id"),
     ).distinct()
 
@@ -261,9 +266,13 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
     doctors = t["doctor"].withColumn("doctor_name", full_name("first_name", "first_last_name", "second_last_name"))
     rows = join_role(rows, doctors, "provided_by_object_id", "id",
                      {"id": "_doctor", "doctor_name": "doctor_name", "descriptor": "doctor_descriptor", "is_active": "doctor_is_active",
-                      "specialization_fare_id": "_fare"}, when=tag == DOCTOR_TAG)
+                      "nickname": "doctor_nickname", "is_primary_care_doctor": "doctor_is_primary_care_doctor",
+                      "is_pediatrics_care_doctor": "doctor_is_pediatrics_care_doctor", "license_institution": "doctor_license_institution",
+                      "available_on_demand": "doctor_available_on_demand", "internal_notes": "doctor_internal_notes",
+                      "availability_hours": "doctor_availability_hours", "specialization_fare_id": "_fare"}, when=tag == DOCTOR_TAG)
     rows = join_role(rows, t["fare"], "_fare", "id", {"name": "doctor_specializationfare_name", "medical_specialization_id": "_spec"})
-    rows = join_role(rows, t["medical_specialization"], "_spec", "id", {"name": "doctor_specialization_name", "type": "doctor_specialization_type"})
+    rows = join_role(rows, t["medical_specialization"], "_spec", "id", {"name": "doctor_specialization_name", "type": "doctor_specialization_type",
+                      "description": "doctor_specialization_description", "is_primary_care": "doctor_specialization_is_primary_care"})
     rows = join_role(rows, specialities_by_doctor(t["doctor_specialist_detail"], t["medical_specialization"]), "_doctor", "doctor_id",
                      {"doctor_specializations": "doctor_specializations"})
     steps.append(("2 doctor", rows))
@@ -271,24 +280,29 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
 
     rows = join_role(rows, t["branch_office"], "provided_by_object_id", "id",
                      {"name": "provider_name", "provider_id": "_provider", "admin_user_id": "_admin"}, when=tag == OFFICE_TAG)
-    rows = join_role(rows, t["provider"], "_provider", "id", {"state": "provider_state", "category_id": "_category"})
+    rows = join_role(rows, t["provider"], "_provider", "id", {"state": "provider_state", "contract_category": "provider_contract_category",
+                      "website": "provider_website", "notes": "provider_notes", "category_id": "_category"})
     rows = join_role(rows, t["provider_category"], "_category", "id", {"name": "provider_category_name"})
     steps.append(("3 provider", rows))
 
     locations, zips = newest_location(t["location"]), zip_coordinates(t["zipcode"])
     by_id, by_doctor = newest_address(t["address"], ["id"]), newest_address(t["address"], ["doctor_id"])
     rows = join_role(rows, by_doctor, "_doctor", "doctor_id",
-                     {"address1": "doctor_address1", "neighborhood": "doctor_neighborhood", "city": "doctor_city", "zipcode": "doctor_zipcode"})
-    rows = join_role(rows, t["billing_info"].select("user_id", "address_id").distinct(), "_admin", "user_id", {"address_id": "_billing"})
+                     {"address1": "doctor_address1", "address2": "doctor_address2", "neighborhood": "doctor_neighborhood", "city": "doctor_city", "zipcode": "doctor_zipcode"})
+    # A billing address counts only for an administrator that is a known user.
+    rows = join_role(rows, t["app_user"].select("id").distinct(), "_admin", "id", {"id": "_user"})
+    rows = join_role(rows, t["billing_info"].select("user_id", "address_id").distinct(), "_user", "user_id", {"address_id": "_billing"})
     rows = join_role(rows, by_id, "_billing", "id",
-                     {"address1": "provider_address1", "neighborhood": "provider_address_neighborhood", "city": "provider_address_city",
+                     {"address1": "provider_address1", "address2": "provider_address2", "neighborhood": "provider_address_neighborhood", "city": "provider_address_city",
                       "zipcode": "provider_address_zipcode"})
     rows = join_role(rows, members_dim(t["member"]), "member_id", "id",
                      {"occupation": "member_occupation", "member_name": "member_name", "height_cm": "member_height_cm",
-                      "weight_kg": "member_weight_kg", "date_of_birth": "member_date_of_birth", "residence_address_id": "_residence",
+                      "weight_kg": "member_weight_kg", "date_of_birth": "member_date_of_birth", "nickname": "member_nickname",
+                      "birth_country": "member_birth_country", "birth_country_code": "member_birth_country_code",
+                      "nationality_country_code": "member_nationality_country_code", "rfc": "member_rfc", "residence_address_id": "_residence",
                       "member_is_represented_by_user_id": "member_is_represented_by_user_id"})
     rows = join_role(rows, by_id, "_residence", "id",
-                     {"address1": "member_address1", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
+                     {"address1": "member_address1", "address2": "member_address2", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
                       "zipcode": "member_address_zipcode"})
     steps.append(("4 addresses and member", rows))
     for role, zip_col in (("doctor", "doctor_zipcode"), ("provider", "provider_address_zipcode"), ("member", "member_address_zipcode")):
@@ -298,6 +312,7 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
     hidden = [c for c in rows.columns if c.startswith("_")]
     rows = (
         rows.withColumn("service_type", F.coalesce("service_type", "_paid_type"))
+        .withColumn("doctor_specialization_detail", F.col("doctor_specialization"))
         .withColumn("service_type_from_description", F.coalesce("_described", F.lit(OTHER_SERVICE)))
         .withColumnsRenamed({"age_at_subscription": "member_age_at_subscription", "gender": "member_gender"})
     )

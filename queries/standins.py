@@ -105,7 +105,10 @@ STANDINS: dict[str, str] = {
                c_mktsegment AS occupation, 'Name' || CAST(c_custkey AS STRING) AS first_name, 'Sur' || CAST(c_nationkey AS STRING) AS first_last_name,
                CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE 'Last' END AS second_last_name,
                150 + c_custkey % 45 AS height_cm, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 45 + c_custkey % 60 END AS weight_kg,
-               CASE WHEN c_custkey % 61 = 0 THEN TIMESTAMP '2000-01-01 00:00:00' END AS deleted
+               CASE WHEN c_custkey % 61 = 0 THEN TIMESTAMP '2000-01-01 00:00:00' END AS deleted,
+               CASE WHEN c_custkey % 4 = 0 THEN 'Nick' || CAST(c_custkey % 12 AS STRING) END AS nickname, 'Country ' || CAST(c_nationkey AS STRING) AS birth_country,
+               'C' || CAST(c_nationkey AS STRING) AS birth_country_code, 'C' || CAST((c_nationkey + c_custkey % 2) % 25 AS STRING) AS nationality_country_code,
+               CASE WHEN c_custkey % 5 <> 0 THEN 'RFC' || CAST(c_custkey AS STRING) END AS rfc
         FROM {customer}""",
     "non_ceded_plan": """SELECT 'hp-' || CAST(o_orderkey AS STRING) AS healthplan_uuid FROM {orders} WHERE o_orderkey % 50 = 7""",
     "non_ceded_service": """SELECT event_id AS service_id FROM {events} WHERE event_id % 70 = 9""",
@@ -167,14 +170,20 @@ STANDINS: dict[str, str] = {
         SELECT s_suppkey AS id, s_suppkey AS user_id, s_suppkey AS specialization_fare_id, CAST(s_nationkey AS BIGINT) AS provider_branch_office_id,
                'Doc' || CAST(s_suppkey AS STRING) AS first_name, 'A' || CAST(s_nationkey AS STRING) AS first_last_name,
                CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE 'B' END AS second_last_name, 'Descriptor ' || CAST(s_nationkey AS STRING) AS descriptor,
-               s_acctbal > 0 AS is_active
+               s_acctbal > 0 AS is_active, CASE WHEN s_suppkey % 3 = 0 THEN 'Dr ' || CAST(s_suppkey AS STRING) END AS nickname, s_suppkey % 2 = 0 AS is_primary_care_doctor,
+               s_suppkey % 5 = 0 AS is_pediatrics_care_doctor, 'School ' || CAST(s_nationkey % 6 AS STRING) AS license_institution, s_suppkey % 7 <> 0 AS available_on_demand,
+               CASE WHEN s_suppkey % 11 = 0 THEN 'note ' || CAST(s_suppkey AS STRING) END AS internal_notes, CAST(8 + s_suppkey % 4 AS STRING) || '-18' AS availability_hours
         FROM {supplier}""",
     "doctor_friend": """SELECT s_suppkey AS id, s_suppkey AS user_id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'T1' ELSE 'T2' END AS tier FROM {supplier}""",
     "branch_office": """
         SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(n_regionkey AS BIGINT) AS provider_id, CAST(n_nationkey AS BIGINT) AS admin_user_id
         FROM {nation}""",
     "provider": """
-        SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(r_regionkey % 2 AS BIGINT) AS category_id, 'ON' AS state FROM {region}""",
+        SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(r_regionkey % 2 AS BIGINT) AS category_id, 'ON' AS state,
+               'Contract ' || CAST(r_regionkey % 3 AS STRING) AS contract_category, CASE WHEN r_regionkey <> 2 THEN 'site' || CAST(r_regionkey AS STRING) END AS website,
+               CASE WHEN r_regionkey = 1 THEN 'a note' END AS notes
+        FROM {region}""",
+    "app_user": "SELECT c_custkey AS id FROM {customer} WHERE c_custkey % 8 <> 0",
     "provider_category": """
         SELECT DISTINCT CAST(r_regionkey % 2 AS BIGINT) AS id, 'Category ' || CAST(r_regionkey % 2 AS STRING) AS name FROM {region}""",
     "payroll_doctor": """
@@ -215,13 +224,14 @@ STANDINS: dict[str, str] = {
                50000 + s_suppkey * 100 AS amount_cents
         FROM {supplier}""",
     "medical_specialization": """
-        SELECT CAST(n_nationkey AS BIGINT) AS id, 'Spec ' || n_name AS name, CASE WHEN n_regionkey = 0 THEN 'SURGICAL' ELSE 'CLINICAL' END AS type FROM {nation}""",
+        SELECT CAST(n_nationkey AS BIGINT) AS id, 'Spec ' || n_name AS name, CASE WHEN n_regionkey = 0 THEN 'SURGICAL' ELSE 'CLINICAL' END AS type,
+               'About ' || n_name AS description, n_regionkey = 3 AS is_primary_care FROM {nation}""",
     "doctor_specialist_detail": """
         SELECT s_suppkey AS doctor_id, CAST(s_nationkey AS BIGINT) AS medical_specialization_id FROM {supplier}
         UNION ALL SELECT s_suppkey, CAST((s_nationkey + 7) % 30 AS BIGINT) FROM {supplier}""",
     "address": """
         SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey / 5 AS BIGINT) % 60 END AS doctor_id,
-               'Street ' || CAST(c_custkey AS STRING) AS address1, 'Hood ' || CAST(c_custkey % 30 AS STRING) AS neighborhood, 'City ' || CAST(c_nationkey AS STRING) AS city,
+               'Street ' || CAST(c_custkey AS STRING) AS address1, CASE WHEN c_custkey % 3 = 0 THEN 'Flat ' || CAST(c_custkey % 20 AS STRING) END AS address2, 'Hood ' || CAST(c_custkey % 30 AS STRING) AS neighborhood, 'City ' || CAST(c_nationkey AS STRING) AS city,
                CAST(10000 + c_custkey % 500 AS STRING) AS zipcode, TIMESTAMP '2020-01-01 00:00:00' + INTERVAL '1' HOUR * (c_custkey % 700) AS updated_at,
                CASE WHEN c_custkey % 25 = 10 THEN TIMESTAMP '2021-01-01 00:00:00' END AS deleted
         FROM {customer}""",

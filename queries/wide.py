@@ -33,7 +33,7 @@ _LATEST = [
 # Note columns differ between the notes of one service, so the newest event's rows tie on them; they are left out of the check.
 _WIDE = f"""WITH {ctes('medical_event', 'medical_note', 'service_payment', 'speciality_code', 'healthplan', 'application_item', 'application', 'coverage_ruling',
     'coverage_payout', 'payin_request', 'service_type', 'doctor', 'fare', 'medical_specialization', 'doctor_specialist_detail', 'doctor_friend', 'branch_office',
-    'provider', 'provider_category', 'address', 'location', 'zipcode', 'billing_info', 'member')},
+    'provider', 'provider_category', 'app_user', 'address', 'location', 'zipcode', 'billing_info', 'member')},
 cleaned AS (SELECT DISTINCT member_id, service_id, {_PLAIN}, {', '.join(_clean(c) for c in W.SENTINEL_COLUMNS)}
             FROM medical_event LEFT JOIN medical_note USING (member_id, service_id)),
 newest AS (SELECT member_id, service_id, services_health_plan_id AS healthplan_id, MAX(services_created_date) AS services_created_date, {', '.join(_latest(c) for c in _LATEST)},
@@ -50,15 +50,15 @@ mode AS (SELECT r.service_id, r.id, r.state, r.updated_at, payout_mode AS o, met
 modes AS (SELECT id, service_id, state, updated_at, CASE o WHEN 'DIRECT' THEN 'Pago directo' WHEN 'DIRECT_HOSPITAL' THEN 'Pago directo a hospital' WHEN 'REIMBURSEMENT' THEN 'Reembolso'
           WHEN 'COMPENSATION' THEN 'Compensación' ELSE o END AS payout_mode, CASE i WHEN 'CARD' THEN 'Pago con tarjeta' WHEN 'IN_SITU' THEN 'Pago in situ' END AS payin_mode FROM mode),
 mode_1 AS (SELECT * FROM modes QUALIFY ROW_NUMBER() OVER (PARTITION BY service_id ORDER BY updated_at DESC NULLS LAST, id DESC) = 1),
-addr_id AS (SELECT id, address1, neighborhood, city, zipcode FROM address WHERE deleted IS NULL),
-addr_doc AS (SELECT doctor_id, address1, neighborhood, city, zipcode FROM address WHERE deleted IS NULL AND doctor_id IS NOT NULL
+addr_id AS (SELECT id, address1, address2, neighborhood, city, zipcode FROM address WHERE deleted IS NULL),
+addr_doc AS (SELECT doctor_id, address1, address2, neighborhood, city, zipcode FROM address WHERE deleted IS NULL AND doctor_id IS NOT NULL
              QUALIFY ROW_NUMBER() OVER (PARTITION BY doctor_id ORDER BY updated_at DESC, id DESC) = 1),
 loc AS (SELECT zipcode, municipality, state_name, city FROM location WHERE is_available QUALIFY ROW_NUMBER() OVER (PARTITION BY zipcode ORDER BY is_available_updated_at DESC) = 1),
 zip AS (SELECT postal_code, longitude, latitude, admin_name1, admin_name2 FROM zipcode QUALIFY ROW_NUMBER() OVER (PARTITION BY postal_code ORDER BY admin_name1 DESC, admin_name2 DESC) = 1),
 specs AS (SELECT doctor_id, NULLIF(array_to_string(list_sort(list(DISTINCT name)), ', '), '') AS doctor_specializations
           FROM doctor_specialist_detail LEFT JOIN medical_specialization m ON m.id = medical_specialization_id GROUP BY 1),
 doc AS (SELECT *, first_name || ' ' || first_last_name || ' ' || second_last_name AS doctor_name FROM doctor),
-mem AS (SELECT id, residence_address_id, occupation, height_cm, weight_kg, date_of_birth, first_name || ' ' || first_last_name || ' ' || second_last_name AS member_name,
+mem AS (SELECT id, residence_address_id, occupation, height_cm, weight_kg, date_of_birth, nickname, birth_country, birth_country_code, nationality_country_code, rfc, first_name || ' ' || first_last_name || ' ' || second_last_name AS member_name,
         CASE WHEN user_id = represented_by_user_id OR user_id IS NULL THEN represented_by_user_id END AS represented FROM member WHERE deleted IS NULL),
 wide AS (SELECT DISTINCT n.service_id, n.member_id, n.healthplan_id, n.case_event_id, n.services_service_type_value, st.descripcion, n.services_diagnosis_icd, n.caseeventfinalletterdata_cie_codes,
          n.services_cpt, n.med_note_system, n.med_note_motive, n.services_specification, n.services_provided_by_content_type_id AS tag,
@@ -67,7 +67,10 @@ wide AS (SELECT DISTINCT n.service_id, n.member_id, n.healthplan_id, n.case_even
          ms.name AS spec_name, specs.doctor_specializations, df.name AS doctorfriend_name, bo.name AS provider_name, pr.state AS provider_state, pc.name AS provider_category_name,
          ad.address1 AS doctor_address1, ap.address1 AS provider_address1, am.address1 AS member_address1, ld.municipality AS doctor_location_municipality,
          lp.state_name AS provider_location_state, lm.city AS member_location_city, zd.longitude AS doctor_longitude, zp.latitude AS provider_latitude, zm.admin_name2 AS member_admin_name2,
-         mem.member_name, mem.occupation, mem.height_cm, mem.weight_kg, mem.represented, p.first_day, p.last_day, p.types, p.subtotal, p.vertical, p.age, p.gender
+         mem.member_name, mem.occupation, mem.height_cm, mem.weight_kg, mem.represented, d.nickname AS doctor_nickname, d.is_primary_care_doctor, d.is_pediatrics_care_doctor, d.license_institution, d.available_on_demand, d.internal_notes,
+         d.availability_hours, n.doctor_specialization, ms.description AS spec_description, ms.is_primary_care AS spec_primary, pr.contract_category, pr.website, pr.notes,
+         ad.address2 AS doctor_address2, ap.address2 AS provider_address2, am.address2 AS member_address2, mem.nickname AS member_nickname, mem.birth_country, mem.birth_country_code,
+         mem.nationality_country_code, mem.rfc, n.services_created_date, n.services_process_state, p.first_day, p.last_day, p.types, p.subtotal, p.vertical, p.age, p.gender
          FROM newest n JOIN paid p USING (member_id, service_id, healthplan_id)
          LEFT JOIN healthplan h ON h.id = n.healthplan_id LEFT JOIN application_item ai ON ai.id = h.health_plan_application_item_id LEFT JOIN application ac ON ac.id = ai.application_id
          LEFT JOIN mode_1 mo ON mo.service_id = n.service_id LEFT JOIN service_type st ON st.code = n.services_service_type_value
@@ -76,7 +79,7 @@ wide AS (SELECT DISTINCT n.service_id, n.member_id, n.healthplan_id, n.case_even
          LEFT JOIN doctor_friend df ON df.id = n.services_provided_by_object_id AND n.services_provided_by_content_type_id = 58
          LEFT JOIN branch_office bo ON bo.id = n.services_provided_by_object_id AND n.services_provided_by_content_type_id = 57
          LEFT JOIN provider pr ON pr.id = bo.provider_id LEFT JOIN provider_category pc ON pc.id = pr.category_id
-         LEFT JOIN addr_doc ad ON ad.doctor_id = d.id LEFT JOIN billing_info bi ON bi.user_id = bo.admin_user_id LEFT JOIN addr_id ap ON ap.id = bi.address_id
+         LEFT JOIN addr_doc ad ON ad.doctor_id = d.id LEFT JOIN app_user au ON au.id = bo.admin_user_id LEFT JOIN billing_info bi ON bi.user_id = au.id LEFT JOIN addr_id ap ON ap.id = bi.address_id
          LEFT JOIN mem ON mem.id = n.member_id LEFT JOIN addr_id am ON am.id = mem.residence_address_id
          LEFT JOIN loc ld ON ld.zipcode = ad.zipcode LEFT JOIN loc lp ON lp.zipcode = ap.zipcode LEFT JOIN loc lm ON lm.zipcode = am.zipcode
          LEFT JOIN zip zd ON zd.postal_code = ad.zipcode LEFT JOIN zip zp ON zp.postal_code = ap.zipcode LEFT JOIN zip zm ON zm.postal_code = am.zipcode)"""
@@ -112,7 +115,7 @@ def payment_summary(spark, sf):
 
 @query(
     "dim_latest_address",
-    f"""{_WIDE} SELECT doctor_id, a.address1, a.neighborhood, a.zipcode, municipality, state_name, l.city, CAST(longitude AS DOUBLE) AS longitude, admin_name2
+    f"""{_WIDE} SELECT doctor_id, a.address1, a.address2, a.neighborhood, a.zipcode, municipality, state_name, l.city, CAST(longitude AS DOUBLE) AS longitude, admin_name2
         FROM addr_doc a LEFT JOIN loc l USING (zipcode) LEFT JOIN zip ON postal_code = a.zipcode""",
 )
 def dim_latest_address(spark, sf):
@@ -140,7 +143,14 @@ _CHECKED = {
     "doctor_location_municipality": "doctor_location_municipality", "provider_location_state": "provider_location_state", "member_location_city": "member_location_city",
     "doctor_longitude": "CAST(doctor_longitude AS DOUBLE)", "provider_latitude": "CAST(provider_latitude AS DOUBLE)", "member_admin_name2": "member_admin_name2",
     "member_name": "member_name", "member_occupation": "occupation", "member_height_cm": "height_cm", "member_weight_kg": "weight_kg",
-    "member_is_represented_by_user_id": "represented", "transaction_date_min": "CAST(first_day AS VARCHAR)", "transaction_date_max": "CAST(last_day AS VARCHAR)",
+    "member_is_represented_by_user_id": "represented", "doctor_nickname": "doctor_nickname", "doctor_is_primary_care_doctor": "is_primary_care_doctor",
+    "doctor_is_pediatrics_care_doctor": "is_pediatrics_care_doctor", "doctor_license_institution": "license_institution", "doctor_available_on_demand": "available_on_demand",
+    "doctor_internal_notes": "internal_notes", "doctor_availability_hours": "availability_hours", "doctor_specialization": "doctor_specialization",
+    "doctor_specialization_detail": "doctor_specialization", "doctor_specialization_description": "spec_description", "doctor_specialization_is_primary_care": "spec_primary",
+    "provider_contract_category": "contract_category", "provider_website": "website", "provider_notes": "notes", "doctor_address2": "doctor_address2",
+    "provider_address2": "provider_address2", "member_address2": "member_address2", "member_nickname": "member_nickname", "member_birth_country": "birth_country",
+    "member_birth_country_code": "birth_country_code", "member_nationality_country_code": "nationality_country_code", "member_rfc": "rfc",
+    "services_created_date": "CAST(services_created_date AS VARCHAR)", "services_state": "services_process_state", "transaction_date_min": "CAST(first_day AS VARCHAR)", "transaction_date_max": "CAST(last_day AS VARCHAR)",
     "array_transaction_type": "types", "subtotal": "CAST(subtotal AS DOUBLE)", "vertical": "vertical", "member_age_at_subscription": "age", "member_gender": "gender",
 }
 
