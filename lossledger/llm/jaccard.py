@@ -126,16 +126,27 @@ def _keys(parents: Column, tokens: Column) -> Column:
     return F.transform(F.arrays_zip(parents.alias("p"), tokens.alias("t")), lambda x: F.xxhash64(x["p"], x["t"]))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it for every element; a plain column would be computed again for each."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _below(parents: Column, tokens: Column, above: Column) -> Column:
+    return F.transform(F.arrays_zip(parents.alias("p"), tokens.alias("t")), lambda x: F.xxhash64(F.get(above, x["p"].cast("int")), x["t"]))
+
+
 def _under(parents: Column, tokens: Column, above: Column) -> Column:
-    return F.transform(F.arrays_zip(parents.alias("p"), tokens.alias("t")), lambda x: F.struct(F.get(above, x["p"].cast("int")).alias("above"), F.xxhash64(F.get(above, x["p"].cast("int")), x["t"]).alias("key")))
+    """(key above, key) of each path."""
+    pairs = F.arrays_zip(parents.alias("p"), tokens.alias("t"))
+    return _let(above, lambda keys: F.transform(pairs, lambda x: F.struct(F.get(keys, x["p"].cast("int")).alias("above"), F.xxhash64(F.get(keys, x["p"].cast("int")), x["t"]).alias("key"))))
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
     """(rep, bucket, n) of every bucket with two sets or more, none of which has the members of another."""
-    reps = reps.withColumn("k1", _keys(F.col("p1"), F.col("t1")))
-    reps = reps.withColumn("u2", _under(F.col("p2"), F.col("t2"), F.col("k1")))
-    reps = reps.withColumn("u3", _under(F.col("p3"), F.col("t3"), F.col("u2.key")))
-    rows = reps.select("rep", F.explode("k1").alias("key"))
+    first = _keys(F.col("p1"), F.col("t1"))
+    second = _let(first, lambda keys: _below(F.col("p2"), F.col("t2"), keys))
+    under = {2: _under(F.col("p2"), F.col("t2"), first), 3: _under(F.col("p3"), F.col("t3"), second)}
+    rows = reps.select("rep", F.explode(first).alias("key"))
     done = None
     for level in range(1, DEPTH + 1):
         rows = materialise(rows.distinct(), f"paths-{level}")
@@ -147,7 +158,7 @@ def _buckets(reps: DataFrame) -> DataFrame:
         done = here if done is None else done.unionByName(here)
         if level < DEPTH:
             large = sizes.where(F.col("n") > SMALL).select(F.col("key").alias("above"))
-            below = reps.select("rep", F.explode(f"u{level + 1}").alias("u")).select("rep", "u.above", "u.key")
+            below = reps.select("rep", F.explode(under[level + 1]).alias("u")).select("rep", "u.above", "u.key")
             rows = below.join(large, "above", "left_semi").select("rep", "key")
     return materialise(done, "buckets")
 
