@@ -152,14 +152,17 @@ def _buckets(reps: DataFrame) -> DataFrame:
         rows = materialise(rows.distinct(), f"paths-{level}")
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("a"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("b"))
         sizes = materialise(sizes.where("n > 1"), f"sizes-{level}")
-        final = sizes if level == DEPTH else sizes.where(F.col("n") <= SMALL)
-        final = final.groupBy("n", "a", "b").agg(F.min("key").alias("key"))
-        here = rows.join(final.select("key", "n"), "key").select("rep", F.col("key").alias("bucket"), "n")
-        done = here if done is None else done.unionByName(here)
+        final = F.col("n") > 1 if level == DEPTH else F.col("n") <= SMALL
+        kept = sizes.where(final).groupBy("n", "a", "b").agg(F.min("key").alias("key")).select("key", "n", F.lit(True).alias("final"))
         if level < DEPTH:
-            large = sizes.where(F.col("n") > SMALL).select(F.col("key").alias("above"))
-            below = reps.select("rep", F.explode(under[level + 1]).alias("u")).select("rep", "u.above", "u.key")
-            rows = below.join(large, "above", "left_semi").select("rep", "key")
+            kept = kept.unionByName(sizes.where(~final).select("key", "n", F.lit(False).alias("final")))
+        shared = materialise(rows.join(kept, "key"), f"shared-{level}")
+        here = shared.where("final").select("rep", F.col("key").alias("bucket"), "n")
+        done = here if done is None else done.unionByName(here)
+        if level < DEPTH:  # a set goes on with the paths below its large buckets
+            large = shared.where("NOT final").groupBy("rep").agg(F.collect_set("key").alias("large"))
+            below = reps.join(large, "rep").select("rep", "large", F.explode(under[level + 1]).alias("u"))
+            rows = below.where(F.array_contains("large", F.col("u.above"))).select("rep", "u.key")
     return materialise(done, "buckets")
 
 
