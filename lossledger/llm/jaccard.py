@@ -33,7 +33,9 @@ RECALL = 0.99999
 DEPTH = 3
 #: Sets that are compared at once; larger buckets are split by further tokens, and at the last depth into blocks.
 SMALL = 64
-BLOCK = 256
+BLOCK = 1024
+#: Values that a comparison of sets holds at once.
+COLUMNS = 2048
 #: Elements of sets that are hashed at once while paths are sampled.
 AT_ONCE = 1_000_000
 _TOP = 2.0**64
@@ -179,23 +181,29 @@ def _groups(buckets: DataFrame, tasks: int) -> DataFrame:
     return rows.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)).cast("int"))
 
 
-def _incidence(lists: list[np.ndarray]) -> np.ndarray:
-    """Which list holds which value, for values that two lists or more hold."""
+def _in_common(lists: list[np.ndarray]) -> np.ndarray:
+    """How many values each two lists (of distinct values) have in common; counted for a few thousand values at a time."""
     values = np.concatenate(lists) if lists else np.zeros(0)
     owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    kinds, at, n = np.unique(values, return_inverse=True, return_counts=True)
-    column = np.cumsum(n > 1) - 1
+    _, at, n = np.unique(values, return_inverse=True, return_counts=True)
+    column = (np.cumsum(n > 1) - 1)[at]
     shared = n[at] > 1
-    out = np.zeros((len(lists), int((n > 1).sum())), np.float32)
-    out[owner[shared], column[at[shared]]] = 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(lists), len(lists)), np.float32)
+    for first in range(0, int((n > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        held = np.zeros((len(lists), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - first] = 1
+        out += held @ held.T
     return out
 
 
-def _candidates(block: np.ndarray, earlier: list[np.ndarray]) -> np.ndarray:
+def _candidates(block: np.ndarray | None, earlier: list[np.ndarray]) -> np.ndarray:
     """Pairs of a group that belong to it: of different blocks, if it has two, and without an earlier bucket in common."""
-    held = _incidence(earlier)
-    pairs = (held @ held.T) < 0.5
-    if block[0] != block[-1] or len(set(block.tolist())) > 1:
+    pairs = _in_common(earlier) < 0.5
+    if block is not None:
         pairs &= block[:, None] != block[None, :]
     return np.triu(pairs, 1)
 
@@ -215,7 +223,7 @@ def _needed(table: pa.Table) -> pa.Table:
     keep = []
     for rows in _group_cuts(table):
         one = i[rows[0]] == j[rows[0]]
-        pairs = _candidates(block[rows] if not one else np.zeros(len(rows), int), [np.array(earlier[r], np.int64) for r in rows])
+        pairs = _candidates(None if one else block[rows], [np.array(earlier[r], np.int64) for r in rows])
         keep.append(rows[pairs.any(0) | pairs.any(1)])
     return table.take(pa.array(np.concatenate(keep) if keep else np.zeros(0, np.int64)))
 
@@ -230,9 +238,8 @@ def _linked(table: pa.Table) -> pa.Table:
         if len(rows) < 2:
             continue
         one = i[rows[0]] == j[rows[0]]
-        pairs = _candidates(block[rows] if not one else np.zeros(len(rows), int), [np.array(earlier[r], np.int64) for r in rows])
-        held = _incidence([sets[r] for r in rows])
-        common = np.rint(held @ held.T).astype(np.int64)
+        pairs = _candidates(None if one else block[rows], [np.array(earlier[r], np.int64) for r in rows])
+        common = np.rint(_in_common([sets[r] for r in rows])).astype(np.int64)
         total = n[rows][:, None] + n[rows][None, :] - common
         pairs &= SIMILAR[1] * common >= SIMILAR[0] * total
         a, b = np.nonzero(pairs)
