@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Every item gives its word n-grams. One pass over the corpus counts the documents that hold each of them; of every
-``STRIDE`` neighbouring n-grams of an item the rarest stays a seed, so any ``NGRAM + STRIDE - 1`` untouched words of a
-leaked item still hold one, while common phrases start few alignments. A second pass looks the seeds up, gathers the hits
-of an item by their diagonal, and aligns the item's words with the passage around them. Both passes leave rows where they
-are. The items are shared with all tasks in blocks of bounded size, however large the benchmark is.
+Every word n-gram of an item is a seed, so a copy with any ``NGRAM`` words in a row left untouched is found, however
+common those words are and whatever else the corpus holds. One pass looks the seeds up, gathers the hits of an item by
+their diagonal, and aligns the item's words with the passage around them. Passages that lack too many of the item's words
+to reach the wanted score are not aligned; that bound is exact. The pass leaves rows where they are. The items are shared
+with all tasks in blocks of bounded size, however large the benchmark is.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from lossledger.llm.columns import plain_words, slices
 from lossledger.llm.hashing import Spans
 
 NGRAM = 3
-STRIDE = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: An item has leaked if its best alignment has this share of the score of a full copy.
 LEAKED = 0.5
@@ -53,17 +52,6 @@ class Items:
         order = np.argsort(grams, kind="stable")
         return cls([i for i, _ in rows], words, grams[order], item[order], place[order])
 
-    def rare(self, counts: dict[int, int]) -> Items:
-        """Only the rarest n-gram of every ``STRIDE`` neighbours."""
-        n = np.array([counts.get(int(g.astype(np.int64)), 0) for g in self.grams], np.int64)
-        by_place = np.lexsort((self.place, self.item))
-        keep = np.zeros(len(n), bool)
-        for rows in np.split(by_place, np.flatnonzero(np.diff(self.item[by_place])) + 1) if len(n) else ():
-            for k in range(max(1, len(rows) - STRIDE + 1)):
-                near = rows[k : k + STRIDE]
-                keep[near[np.lexsort((self.grams[near], n[near]))[0]]] = True
-        return Items(self.ids, self.words, self.grams[keep], self.item[keep], self.place[keep])
-
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``grams`` and seeds that are equal."""
         lo = np.searchsorted(self.grams, grams, "left")
@@ -97,14 +85,17 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
     return score, int(j), end, same
 
 
-def _best(item: np.ndarray, words: np.ndarray, diagonals: np.ndarray) -> tuple[float, int, int, int]:
-    """The best alignment around the hits' diagonals: share of the full score, start, end, equal words."""
+def _best(item: np.ndarray, words: np.ndarray, diagonals: np.ndarray, leaked: float) -> tuple[float, int, int, int]:
+    """The best alignment around the hits' diagonals: share of the full score, start, end, equal words. Surroundings that
+    can't reach ``leaked`` are passed over: each word of the item that they lack takes away its match."""
     m = len(item)
     pad = m // 2 + 8
     diagonals = np.sort(diagonals)
     best = (0.0, 0, 0, 0)
     for near in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > pad) + 1):
         lo, hi = max(0, int(near[0]) - pad), min(len(words), int(near[-1]) + m + pad)
+        if np.isin(item, words[lo:hi]).sum() / m < leaked:
+            continue
         span = m * (1 - MATCH // GAP)  # no alignment of a positive score reaches further
         stretch = max(STRETCH, 8 * m)
         while True:
@@ -125,26 +116,6 @@ def _grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return words, at, Spans(words).hash(starts, starts + NGRAM), starts
 
 
-def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each n-gram of the items occurs; at most a row for each n-gram reaches the driver."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.unique(items.grams))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        total = np.zeros(len(wanted), np.int64)
-        for batch in slices(batches):
-            _, at, grams, starts = _grams(batch)
-            seed = np.minimum(np.searchsorted(wanted, grams), max(0, len(wanted) - 1))
-            hit = np.flatnonzero(wanted[seed] == grams) if len(wanted) else np.zeros(0, int)
-            row = np.searchsorted(at, starts[hit], "right") - 1
-            total += np.bincount(np.unique(np.stack([row, seed[hit]], 1), axis=0)[:, 1], minlength=len(wanted)) if len(hit) else 0
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].astype(np.int64)), pa.array(total[some])], ["gram", "n"])
-
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "gram long, n long")
-    return {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-
-
 def _with_leaks(docs: DataFrame, items: Items, leaked: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -152,18 +123,20 @@ def _with_leaks(docs: DataFrame, items: Items, leaked: float) -> DataFrame:
         items = shared.value
         for batch in slices(batches):
             words, at, grams, starts = _grams(batch)
-            where, seed = items.hits(grams)
-            begin = starts[where]
-            row, item, diagonal = np.searchsorted(at, begin, "right") - 1, items.item[seed], begin - items.place[seed]
-            order = np.lexsort((diagonal, item, row))
-            row, item, diagonal = row[order], item[order], diagonal[order]
             leaks: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            cuts = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0)) + 1
-            for part in np.split(np.arange(len(row)), cuts) if len(row) else ():
-                r, k = int(row[part[0]]), int(item[part[0]])
-                score, a, b, same = _best(items.words[k], words[at[r] : at[r + 1]], diagonal[part] - at[r])
-                if score >= leaked:
-                    leaks[r].append({"item_id": items.ids[k], "score": score, "start": a, "end": b, "n_same": same})
+            some = np.flatnonzero(np.isin(grams, items.grams))
+            rows = np.searchsorted(at, starts[some], "right") - 1
+            for near in np.split(some, np.flatnonzero(np.diff(rows)) + 1) if len(some) else ():  # the hits of one text at a time
+                r = int(np.searchsorted(at, starts[near[0]], "right")) - 1
+                where, seed = items.hits(grams[near])
+                item, diagonal = items.item[seed], starts[near][where] - items.place[seed] - at[r]
+                order = np.lexsort((diagonal, item))
+                item, diagonal = item[order], diagonal[order]
+                for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
+                    k = int(item[part[0]])
+                    score, a, b, same = _best(items.words[k], words[at[r] : at[r + 1]], diagonal[part], leaked)
+                    if score >= leaked:
+                        leaks[r].append({"item_id": items.ids[k], "score": score, "start": a, "end": b, "n_same": same})
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32()), ("n_same", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, kind)], [*batch.schema.names, "leaks"])
 
@@ -186,7 +159,6 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, leaked: float = LEAKED, bl
     for block in range(blocks):
         part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         items = Items.of([(r["item_id"], r["text"]) for r in part.sort("item_id", "text").collect()])
-        items = items.rare(_document_counts(docs, items))
         more = _with_leaks(docs if found is None else found.withColumnRenamed("leaks", "_leaks"), items, leaked)
         found = more if found is None else more.withColumn("leaks", F.concat("_leaks", "leaks")).drop("_leaks")
     return found

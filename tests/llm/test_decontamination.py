@@ -71,6 +71,25 @@ def test_planted_copies(spark, planted):
     assert not any((d, i) in got for d in clean for i, _ in items[:5])
 
 
+def test_three_untouched_words_suffice(spark):
+    """Copies with an edit after every third or fourth word, alone and beside fuller copies that hold their n-grams too."""
+    rng = random.Random(5)
+    items = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(12 + k))) for k in range(8)]
+
+    def edited(text, every, replace):
+        if replace:  # every so many words, one is another
+            return " ".join("other" if i % (every + 1) == every else w for i, w in enumerate(text.split()))
+        return " ".join(f"{w} extra" if i % every == every - 1 else w for i, w in enumerate(text.split()))
+
+    copies = [(1000 + 10 * k + j, f"lead in {edited(t, n, r)} and out", 1) for k, t in items for j, (n, r) in enumerate([(3, False), (4, False), (3, True)])]
+    fuller = [(2000 + k, t, 1) for k, t in items] + [(3000 + k, " ".join(t.split()[k % 3 :]), 1) for k, t in items]
+    b = spark.createDataFrame(items, ITEMS)
+    for docs in (copies, copies + fuller):
+        got = {(r["doc_id"], r["item_id"]): r["score"] for r in dc.leak_rows(spark.createDataFrame(docs, DOCS).repartition(3), b).collect()}
+        want = {(d, k): s for d, t, _ in docs for k, i in items if (s := plain_score(i, t)) >= dc.LEAKED}
+        assert len(want) >= len(docs) and got == pytest.approx(want)
+
+
 def test_blocks_change_nothing(spark, planted):
     docs, items, out = planted
     df, bench = spark.createDataFrame([(d, t, 1) for d, t in out], DOCS), spark.createDataFrame(items, ITEMS)
