@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import decontamination, jaccard, language, licenses, line_rules, packing, passages, pseudonyms, repeats, token_files
+from lossledger.llm import decontamination, grace, jaccard, language, licenses, line_rules, packing, passages, pseudonyms, ranked_search, repeats, token_files, whitening
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,18 @@ FROM d LEFT JOIN k USING (rid) LEFT JOIN r USING (rid)"""
 @query("op10_passage_dedup", _PASSAGES)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return passages.without_repeats(read_table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
+
+
+@query("op13_exact_dedup", grace.SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return grace.exact_copies(read_table(spark, sf, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf, "embeddings"))
+
+
+@query("op11_ranked_search", ranked_search.SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
