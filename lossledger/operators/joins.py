@@ -7,9 +7,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossledger.functions.rules import OPEN_END
-from lossledger.operators.ordered import range_bucket, split_points, with_last_known
+from lossledger.operators.ordered import id_block, range_bucket, split_points
+from lossledger.sources.tables import materialise
 
 
 def join_role(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Mapping[str, str], when: Column | None = None) -> DataFrame:
@@ -73,31 +75,51 @@ def join_member_of(left: DataFrame, key: str, right: DataFrame, array_col: str,
     return left.join(flat, left[key] == flat["_el"], how).drop("_el")
 
 
-def breakpoints(prices: DataFrame, id_col: str, price_col: str) -> DataFrame:
+def _id_ranges(df: DataFrame, id_col: str, width: int | None) -> Column:
+    """Cuts ids into blocks of ``width``, or at split points into about as many ranges as a shuffle has partitions."""
+    return id_block(F.col(id_col), width) if width else range_bucket(F.col(id_col), split_points(df, id_col))
+
+
+def breakpoints(prices: DataFrame, id_col: str, price_col: str, width: int | None = None) -> DataFrame:
     """Distinct prices ordered by the smallest id that has them, as contiguous id ranges.
 
-    The first range starts at id 1, the last one ends at the largest id. The rows here are the distinct prices, of
-    which a price list has few, so one ordered window is enough.
+    The first range starts at id 1, the last one ends at the largest id. Prices are ordered range by range; what follows a
+    range is the first id of the next range that has any, so one row per range reaches the driver.
     """
-    starts = prices.where(F.col(price_col).isNotNull()).groupBy(price_col).agg(F.min(id_col).alias("first_id"))
-    along = Window.orderBy("first_id", price_col)
-    ranked = starts.withColumns({"_rn": F.row_number().over(along), "_next": F.lead("first_id").over(along)})
-    top = prices.agg(F.max(id_col).alias("m"))
+    spark = prices.sparkSession
+    known = prices.where(F.col(price_col).isNotNull() & F.col(id_col).isNotNull())
+    starts = materialise(known.groupBy(price_col).agg(F.min(id_col).alias("first_id")), "price-starts")
+    starts = starts.withColumn("_range", _id_ranges(starts, "first_id", width))
+    begins = sorted(starts.groupBy("_range").agg(F.min("first_id")).collect())
+    after = [b[1] for b in begins[1:]] + [prices.agg(F.max(id_col) + 1).first()[0]]
+    follows = spark.createDataFrame([(b[0], a) for b, a in zip(begins, after)], "_range long, _after long")
+    along = Window.partitionBy("_range").orderBy("first_id", price_col)
+    ranked = starts.withColumns({"_rn": F.row_number().over(along), "_next": F.lead("first_id").over(along)}).join(F.broadcast(follows), "_range")
+    very_first = (F.col("_rn") == 1) & (F.col("_range") == F.lit(begins[0][0] if begins else None).cast("long"))
     return ranked.select(
         price_col,
-        F.when(F.col("_rn") == 1, F.lit(1)).otherwise(F.col("first_id")).cast("bigint").alias("first_id"),
-        F.coalesce(F.col("_next") - 1, top.scalar()).cast("bigint").alias("last_id"),
+        F.when(very_first, F.lit(1)).otherwise(F.col("first_id")).cast("bigint").alias("first_id"),
+        (F.coalesce("_next", "_after") - 1).cast("bigint").alias("last_id"),
     )
 
 
-def fill_from_breakpoints(prices: DataFrame, id_col: str, price_col: str, out: str) -> DataFrame:
+def fill_from_breakpoints(prices: DataFrame, id_col: str, price_col: str, out: str, width: int | None = None) -> DataFrame:
     """The price of the id range each row falls in. As-of fill: range starts are laid among the ids and the latest
     start is carried forward, instead of comparing every id with every range. Ids are cut at split points of their own, so
-    they may be dense, sparse or hashed."""
-    ranges = breakpoints(prices, id_col, price_col)
+    they may be dense, sparse or hashed; the price that holds when a range begins comes from the last earlier range that
+    has a start, so one row per range reaches the driver. Of prices that start at one id the last in order holds."""
+    kind = prices.schema[price_col].dataType
+    ranges = breakpoints(prices, id_col, price_col, width).where("last_id >= first_id")
     marks = ranges.select(F.col("first_id").alias(id_col), F.col(price_col).alias("_price"), F.lit(0).alias("_kind"))
-    rows = prices.select(id_col).distinct().select(id_col, F.lit(None).cast(prices.schema[price_col].dataType).alias("_price"), F.lit(1).alias("_kind"))
-    laid = marks.unionByName(rows)
-    filled = with_last_known(laid, [], [id_col, "_kind"], "_price", range_bucket(F.col(id_col), split_points(prices, id_col)), out)
-    by_id = filled.where("_kind = 1").select(id_col, out)
-    return prices.join(by_id, id_col, "left")
+    rows = prices.select(id_col).where(F.col(id_col).isNotNull()).distinct().select(id_col, F.lit(None).cast(kind).alias("_price"), F.lit(1).alias("_kind"))
+    laid = materialise(marks.unionByName(rows), "laid-prices").withColumn("_range", _id_ranges(rows, id_col, width))
+    last, carried = None, []
+    newest = F.max_by("_price", F.when(F.col("_kind") == 0, F.col(id_col)))
+    for bucket, price in sorted(laid.groupBy("_range").agg(newest).collect(), key=lambda r: r[0]):
+        carried.append((bucket, last))
+        last = price if price is not None else last
+    fields = T.StructType([T.StructField("_range", T.LongType()), T.StructField("_carried", kind)])
+    before = prices.sparkSession.createDataFrame(carried, fields)
+    inside = Window.partitionBy("_range").orderBy(id_col, "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    filled = laid.withColumn("_latest", F.last("_price", ignorenulls=True).over(inside)).where("_kind = 1").join(F.broadcast(before), "_range")
+    return prices.join(filled.select(id_col, F.coalesce("_latest", "_carried").alias(out)), id_col, "left")

@@ -67,6 +67,11 @@ def test_records_collapse_in_one_grouping(spark, no_broadcast):
     assert plan(spark, "collapse_latest").count("Exchange hashpartitioning") <= 5  # two joins of two sides and one grouping
 
 
+@pytest.mark.parametrize("name", ["breakpoint_ranges", "asof_breakpoint_fill"])
+def test_prices_are_ordered_range_by_range(spark, name):
+    assert "SinglePartition" not in plan(spark, name)
+
+
 def test_price_ranges_fill_without_one_task_over_all_rows(spark, no_broadcast):
     text = plan(spark, "asof_breakpoint_fill")
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
