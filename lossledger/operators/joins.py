@@ -16,10 +16,18 @@ from lossledger.sources.tables import materialise
 
 def join_role(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, columns: Mapping[str, str], when: Column | None = None) -> DataFrame:
     """Left join one dimension in one role. ``columns`` maps dimension columns to output names, so the same
-    dimension can be joined many times; ``when`` restricts the fact rows that may match (a type tag)."""
+    dimension can be joined many times; ``when`` restricts the fact rows that may match (a type tag).
+
+    Rows without a key, and those of other tags, match nothing. In a shuffle they would all meet at the hash of NULL, so
+    they are spread by a second key, which is 0 for rows that can match and in the dimension.
+    """
     key = F.col(fact_key) if when is None else F.when(when, F.col(fact_key))
-    side = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(o) for c, o in columns.items()])
-    return fact.withColumn("_fact_key", key).join(side, F.col("_fact_key") == F.col("_dim_key"), "left").drop("_fact_key", "_dim_key")
+    others = [c for c in fact.columns if c != fact_key][:1]
+    spread = F.when(key.isNull(), F.xxhash64(fact_key, *others)).otherwise(0)
+    side = dim.select(F.col(dim_key).alias("_dim_key"), F.lit(0).cast("bigint").alias("_dim_spread"), *[F.col(c).alias(o) for c, o in columns.items()])
+    keyed = fact.withColumn("_fact_key", key).withColumn("_fact_spread", spread)
+    found = keyed.join(side, (F.col("_fact_key") == F.col("_dim_key")) & (F.col("_fact_spread") == F.col("_dim_spread")), "left")
+    return found.drop("_fact_key", "_fact_spread", "_dim_key", "_dim_spread")
 
 
 def join_by_type(fact: DataFrame, type_col: str, id_col: str, targets: Mapping[int, tuple[DataFrame, str, Mapping[str, str]]]) -> DataFrame:

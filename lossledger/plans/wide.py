@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossledger.functions.rules import joined, nonempty, sentinel_to_null
 from lossledger.operators.aggregates import distinct_array, latest_by_key, repeated_text
@@ -240,26 +241,46 @@ def newest_ruling(modes: DataFrame) -> DataFrame:
     return first_per_key(modes, ["service_id"], [F.col("updated_at").desc_nulls_last(), F.col("id").desc()])
 
 
-def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps: list[tuple[str, DataFrame]] | None = None) -> DataFrame:
+class JoinAudit:
+    """Counts rows and sums an amount at several places of one plan, while it runs once: left joins on one row per key
+    must leave both as they are."""
+
+    def __init__(self, amount: str):
+        self._amount, self._seen, self._kind = amount, [], "double"
+
+    def watch(self, rows: DataFrame, step: str) -> DataFrame:
+        seen = Observation()
+        self._seen.append((step, seen))
+        kind = rows.schema[self._amount].dataType
+        self._kind = "decimal(38,2)" if isinstance(kind, T.DecimalType) else "long" if isinstance(kind, T.IntegralType) else "double"
+        return rows.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(self._amount).cast(self._kind)).cast(self._kind).alias("total"))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(step, n_rows, total) of each place; waits until the watched plan has run."""
+        found = [(step, seen.get["n_rows"], seen.get["total"]) for step, seen in self._seen]
+        return spark.createDataFrame(found, f"step string, n_rows long, total {self._kind}")
+
+
+def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, audit: JoinAudit | None = None) -> DataFrame:
     """One wide row per paid service with medical, provider, doctor, member, plan and payment attributes.
 
     A service with several rulings takes the payment modes of the newest one; ``all_rulings`` repeats the service for
-    each of them instead. The rows after each group of joins are added to ``steps``, for ``join_audit``.
+    each of them instead, and only then can rows be alike. ``audit`` counts the rows after each group of joins.
     """
-    steps = [] if steps is None else steps
+    watched = audit.watch if audit else lambda rows, step: rows
     medical = collapse_records(clean_records(t["medical_event"], t["medical_note"]), t["speciality_code"])
     paid = payment_summary(payments)
     paid = paid.withColumnRenamed("service_type", "_paid_type")
     # The inner join is on plain equality: a service without a plan has no premium side.
     rows = medical.join(paid, list(KEYS))
-    steps.append(("0 paid services", rows))
+    rows = watched(rows, "0 paid services")
 
     rows = join_role(rows, plan_owners(t["healthplan"], t["application_item"], t["application"]), "healthplan_id", "id",
                      {"relationship_beneficiary_with_owner": "relationship_beneficiary_with_owner", "owner_type": "owner_type"})
     modes = payment_modes(t["coverage_ruling"], t["coverage_payout"], t["payin_request"])
     modes = modes if all_rulings else newest_ruling(modes)
     rows = join_role(rows, modes, "service_id", "service_id", {"payout_mode": "payout_mode", "payin_mode": "payin_mode"})
-    steps.append(("1 plan and rulings", rows))
+    rows = watched(rows, "1 plan and rulings")
     rows = join_role(rows, t["service_type"], "services_service_type_value", "code", {"descripcion": "_described"})
 
     tag = F.col("provided_by_content_type_id")
@@ -275,7 +296,7 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
                       "description": "doctor_specialization_description", "is_primary_care": "doctor_specialization_is_primary_care"})
     rows = join_role(rows, specialities_by_doctor(t["doctor_specialist_detail"], t["medical_specialization"]), "_doctor", "doctor_id",
                      {"doctor_specializations": "doctor_specializations"})
-    steps.append(("2 doctor", rows))
+    rows = watched(rows, "2 doctor")
     rows = join_role(rows, t["doctor_friend"], "provided_by_object_id", "id", {"name": "doctorfriend_name"}, when=tag == FRIEND_TAG)
 
     rows = join_role(rows, t["branch_office"], "provided_by_object_id", "id",
@@ -283,7 +304,7 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
     rows = join_role(rows, t["provider"], "_provider", "id", {"state": "provider_state", "contract_category": "provider_contract_category",
                       "website": "provider_website", "notes": "provider_notes", "category_id": "_category"})
     rows = join_role(rows, t["provider_category"], "_category", "id", {"name": "provider_category_name"})
-    steps.append(("3 provider", rows))
+    rows = watched(rows, "3 provider")
 
     locations, zips = newest_location(t["location"]), zip_coordinates(t["zipcode"])
     by_id, by_doctor = newest_address(t["address"], ["id"]), newest_address(t["address"], ["doctor_id"])
@@ -304,10 +325,10 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
     rows = join_role(rows, by_id, "_residence", "id",
                      {"address1": "member_address1", "address2": "member_address2", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
                       "zipcode": "member_address_zipcode"})
-    steps.append(("4 addresses and member", rows))
+    rows = watched(rows, "4 addresses and member")
     for role, zip_col in (("doctor", "doctor_zipcode"), ("provider", "provider_address_zipcode"), ("member", "member_address_zipcode")):
         rows = _with_place(rows, role, zip_col, locations, zips)
-    steps.append(("5 places", rows))
+    rows = watched(rows, "5 places")
 
     hidden = [c for c in rows.columns if c.startswith("_")]
     rows = (
@@ -316,11 +337,12 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, steps:
         .withColumn("service_type_from_description", F.coalesce("_described", F.lit(OTHER_SERVICE)))
         .withColumnsRenamed({"age_at_subscription": "member_age_at_subscription", "gender": "member_gender"})
     )
-    return rows.drop(*hidden, "provided_by_object_id", "provided_by_content_type_id", "services_service_type_value").distinct()
+    rows = rows.drop(*hidden, "provided_by_object_id", "provided_by_content_type_id", "services_service_type_value")
+    return rows.distinct() if all_rulings else rows
 
 
 def join_audit(steps: Sequence[tuple[str, DataFrame]], amount: str) -> DataFrame:
-    """(step, rows, total) after each join, to see that no left join repeats or loses a row."""
+    """(step, rows, total) of tables that are there already; for places within one plan ``JoinAudit`` needs no second run."""
     out = None
     for name, df in steps:
         one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(amount).alias("total")).select(F.lit(name).alias("step"), "n_rows", "total")

@@ -167,7 +167,8 @@ def wide_fact(spark, sf):
         SELECT step, n_rows, total FROM one, (SELECT unnest(['0 paid services', '1 plan and rulings', '2 doctor', '3 provider', '4 addresses and member', '5 places']) AS step) s""",
 )
 def join_preservation_audit(spark, sf):
-    """No join of the wide table repeats or loses a service or its money: every step has the counts of the first."""
-    t, steps = Standins(spark, sf), []
-    W.wide_fact(t, t["service_payment"], steps=steps)
-    return W.join_audit(steps, "subtotal")
+    """No join of the wide table repeats or loses a service or its money: every step has the counts of the first. All
+    counts come from one run of the plan."""
+    t, audit = Standins(spark, sf), W.JoinAudit("subtotal")
+    W.wide_fact(t, t["service_payment"], audit=audit).write.format("noop").mode("overwrite").save()
+    return audit.report(spark)

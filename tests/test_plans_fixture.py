@@ -152,6 +152,27 @@ def test_left_joins_keep_rows_and_sums(spark):
 
     audit = W.join_audit([("before", fact), ("after", join_role(fact, dim, "k", "id", {"name": "n"}))], "amount").collect()
     assert {(r.n_rows, r.total) for r in audit} == {(3, 35)}
+    watched = W.JoinAudit("amount")
+    rows = watched.watch(join_role(watched.watch(fact, "before"), dim.union(dim), "k", "id", {"name": "n"}), "after")
+    assert rows.count() == 4
+    assert [tuple(r) for r in watched.report(spark).collect()] == [("before", 3, 35), ("after", 4, 45)]
+
+
+def test_rows_without_a_key_are_spread(spark):
+    from lossledger.operators.joins import join_role
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fact = spark.range(4000).selectExpr("id", "id % 3 AS tag", "id % 50 AS k")
+        dim = spark.range(50).selectExpr("id", "concat('n', id) AS name")
+        found = join_role(fact, dim, "k", "id", {"name": "n"}, when=F.col("tag") == 0)
+        assert found.where("(tag = 0 AND n = concat('n', k)) OR (tag > 0 AND n IS NULL)").count() == 4000
+        sizes = [r[1] for r in found.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count_if(F.col("tag") > 0)).collect()]
+        assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 START, AS_OF = D("2024-01-01"), D("2024-08-15")
