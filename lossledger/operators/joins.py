@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lossledger.functions.rules import OPEN_END
-from lossledger.operators.ordered import id_block, range_bucket, split_points
+from lossledger.operators.ordered import always_zero, id_block, range_bucket, split_points
 from lossledger.sources.tables import materialise
 
 
@@ -24,7 +24,7 @@ def join_role(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, colu
     key = F.col(fact_key) if when is None else F.when(when, F.col(fact_key))
     others = [c for c in fact.columns if c != fact_key][:1]
     spread = F.when(key.isNull(), F.xxhash64(fact_key, *others)).otherwise(0)
-    side = dim.select(F.col(dim_key).alias("_dim_key"), F.lit(0).cast("bigint").alias("_dim_spread"), *[F.col(c).alias(o) for c, o in columns.items()])
+    side = dim.select(F.col(dim_key).alias("_dim_key"), always_zero(F.col(dim_key)).alias("_dim_spread"), *[F.col(c).alias(o) for c, o in columns.items()])
     keyed = fact.withColumn("_fact_key", key).withColumn("_fact_spread", spread)
     found = keyed.join(side, (F.col("_fact_key") == F.col("_dim_key")) & (F.col("_fact_spread") == F.col("_dim_spread")), "left")
     return found.drop("_fact_key", "_fact_spread", "_dim_key", "_dim_spread")

@@ -160,6 +160,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 HOT_SHARE = 1 / 1000
 
 
+def always_zero(*cols: Column) -> Column:
+    """0, computed from columns: a constant would be folded away, and with it its part in a join's partitioning."""
+    return F.pmod(F.xxhash64(*cols), F.lit(1).cast("bigint"))
+
+
 def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
     """Join a per-key summary (one row per key, with the number of ``rows`` of the key) back to the rows.
 
@@ -178,7 +183,7 @@ def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count
     found = rows.join(hot, reduce(lambda a, b: a & b, [rows[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys]), "left")
     spread = F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.lit(2**62)) + 1
     found = found.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
-    cold = summary.select(*[F.col(k).alias(f"_c_{k}") for k in keys], packed.alias("_cold"), F.lit(0).cast("bigint").alias("_zero"))
+    cold = summary.select(*[F.col(k).alias(f"_c_{k}") for k in keys], packed.alias("_cold"), always_zero(*[F.col(k) for k in keys]).alias("_zero"))
     same = [found[k].eqNullSafe(cold[f"_c_{k}"]) for k in keys] + [found["_salt"] == cold["_zero"]]
     both = found.join(cold, reduce(lambda a, b: a & b, same), "left")
     value = F.coalesce("_hot", "_cold")

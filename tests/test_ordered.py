@@ -76,3 +76,17 @@ def test_breakpoints_against_brute_force(spark, width):
     assert got == want
     filled = {r.id: r.f for r in fill_from_breakpoints(df, "id", "price", "f", width).collect()}
     assert filled == {i: next(p for p, (a, b) in want.items() if a <= i <= b) for i in prices}
+
+
+def test_a_hot_key_stays_spread_when_its_aggregate_is_joined_back(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(8000).selectExpr("id", "if(id % 2 = 0, -1, id) AS k")
+        found = O.with_key_aggregate(df, ["k"], {"n": F.count("*")})
+        assert found.where("n = if(k = -1, 4000, 1)").count() == 8000
+        sizes = [r[1] for r in found.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count_if(F.col("k") == -1)).collect()]
+        assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
