@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
@@ -77,6 +77,50 @@ def encode_label(df: DataFrame, codes: DataFrame, column: str, out: str) -> Data
     return found.withColumn(out, F.coalesce("_code", F.lit(0)).cast("bigint")).drop("_value", "_code")
 
 
+#: Vocabularies of up to so many values are comparisons in the plan; larger ones are joined.
+IN_PLAN = 256
+
+
+def code_of(x: Column, known: Sequence[tuple[str, int]]) -> Column:
+    """The code of a text among a few known ones, sorted: a balanced comparison tree; 0 for any other and for NULL."""
+
+    def tree(lo: int, hi: int) -> Column:
+        if hi - lo == 1:
+            return F.when(x == F.lit(known[lo][0]), F.lit(known[lo][1])).otherwise(F.lit(0))
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(known[mid][0]), tree(lo, mid)).otherwise(tree(mid, hi))
+
+    return (tree(0, len(known)) if known else F.lit(0)).cast("bigint")
+
+
+@dataclass(frozen=True)
+class Codes:
+    """Codes of several features: all in a table, those of small vocabularies also here."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+    small: dict[str, list[tuple[str, int]]]
+
+    @classmethod
+    def of(cls, table: DataFrame) -> Codes:
+        sizes = {r[0]: r[1] for r in table.groupBy("feature").agg(F.max("code")).collect()}
+        small: dict[str, list[tuple[str, int]]] = {f: [] for f, n in sizes.items() if n <= IN_PLAN}
+        if small:  # at most IN_PLAN rows for each feature
+            for r in table.where(F.col("feature").isin(list(small))).collect():
+                small[r["feature"]].append((r["value"], r["code"]))
+        return cls(table, sizes, {f: sorted(v, key=lambda p: p[0].encode()) for f, v in small.items()})
+
+    def encode(self, df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+        """Adds codes; ``columns`` maps features to output names. One projection for all small vocabularies, and a join
+        for each large one."""
+        few = {out: code_of(F.col(c).cast("string"), self.small.get(c, [])) for c, out in columns.items() if self.sizes.get(c, 0) <= IN_PLAN}
+        df = df.withColumns(few) if few else df
+        for c, out in columns.items():
+            if out not in few:
+                df = encode_label(df, self.table.where(F.col("feature") == c), c, out)
+        return df
+
+
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str, list[float]]:
     """Interpolated quantiles of several columns, exact at any size, in one pass over the table.
 
@@ -158,6 +202,19 @@ class FeatureSpec:
     crosses: tuple[tuple[str, ...], ...] = ()
     passed: tuple[str, ...] = ()
 
+    def as_dict(self) -> dict:
+        return asdict(self)
+
+    @classmethod
+    def from_dict(cls, raw: Mapping) -> FeatureSpec:
+        return cls(
+            labels=tuple(raw.get("labels", ())),
+            buckets=tuple((c, n) for c, n in raw.get("buckets", ())),
+            scaled=tuple(raw.get("scaled", ())),
+            crosses=tuple(tuple(x) for x in raw.get("crosses", ())),
+            passed=tuple(raw.get("passed", ())),
+        )
+
 
 @dataclass
 class FeatureModel:
@@ -165,11 +222,10 @@ class FeatureModel:
     and the mean of each number."""
 
     spec: FeatureSpec
-    codes: DataFrame | None = None
+    codes: Codes | None = None
     cuts: dict[str, list[float]] = field(default_factory=dict)
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
-    categories: DataFrame | None = None
-    sizes: dict[str, int] = field(default_factory=dict)
+    categories: Codes | None = None
     means: dict[str, float] = field(default_factory=dict)
 
     @classmethod
@@ -178,7 +234,7 @@ class FeatureModel:
         and means that follow from them."""
         model = cls(spec)
         if spec.labels:
-            model.codes = materialise(code_table(df, spec.labels), "codes")
+            model.codes = Codes.of(materialise(code_table(df, spec.labels), "codes"))
         asked: dict[str, list[float]] = {}
         for c, n in spec.buckets:
             asked.setdefault(c, []).extend(cut_probs(n))
@@ -193,8 +249,7 @@ class FeatureModel:
                 model.scale[c] = (median, q3 - q1)
         rows = model.transform(df)
         if model.category_columns():
-            model.categories = materialise(code_table(rows, model.category_columns()), "categories")
-            model.sizes = {r[0]: r[1] for r in model.categories.groupBy("feature").agg(F.max("code")).collect()}
+            model.categories = Codes.of(materialise(code_table(rows, model.category_columns()), "categories"))
         if model.numeric_columns():
             found = rows.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in model.numeric_columns()]).first()
             model.means = {c: found[c] or 0.0 for c in model.numeric_columns()}
@@ -202,9 +257,7 @@ class FeatureModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds the coded columns: <c>_code, <c>_bucket, <c>_scaled and crosses as a_x_b."""
-        out = df
-        for c in self.spec.labels:
-            out = encode_label(out, self.codes.where(F.col("feature") == c), c, f"{c}_code")
+        out = self.codes.encode(df, {c: f"{c}_code" for c in self.spec.labels}) if self.spec.labels else df
         added = {}
         for c, cuts in self.cuts.items():
             added[f"{c}_bucket"] = bucket_label(F.col(c).cast("double"), cuts)
@@ -220,6 +273,10 @@ class FeatureModel:
     def category_columns(self) -> list[str]:
         return [f"{c}_bucket" for c in self.cuts] + ["_x_".join(x) for x in self.spec.crosses]
 
+    def size(self, category: str) -> int:
+        """Known values of a category column."""
+        return self.categories.sizes.get(category, 0)
+
     def assemble(self, df: DataFrame, out: str = "features") -> DataFrame:
         """One vector per row: numbers as they are (NULL as the mean in training), and a slot of its own for every
         category; slot 0 of a column is for NULL and for what training had not."""
@@ -227,17 +284,22 @@ class FeatureModel:
         numbers, kinds = self.numeric_columns(), self.category_columns()
         rows = rows.withColumns({f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(self.means[c])) for c in numbers})
         inputs, slots = [f"_n_{c}" for c in numbers], [f"_s_{c}" for c in kinds]
-        for c in kinds:
-            rows = encode_label(rows, self.categories.where(F.col("feature") == c), c, f"_s_{c}")
-            # with the number of slots in the column's description, the encoder needs no pass over the rows
-            known = {"ml_attr": {"type": "nominal", "name": f"_s_{c}", "num_vals": self.sizes.get(c, 0) + 1}}
-            rows = rows.withColumn(f"_s_{c}", F.col(f"_s_{c}").cast("double").alias(f"_s_{c}", metadata=known))
         if kinds:
+            rows = self.categories.encode(rows, {c: f"_s_{c}" for c in kinds})
+            # with the number of slots in the column's description, the encoder needs no pass over the rows
+            known = {c: {"ml_attr": {"type": "nominal", "name": f"_s_{c}", "num_vals": self.size(c) + 1}} for c in kinds}
+            rows = rows.withColumns({f"_s_{c}": F.col(f"_s_{c}").cast("double").alias(f"_s_{c}", metadata=known[c]) for c in kinds})
             encoder = OneHotEncoder(inputCols=slots, outputCols=[f"_o_{c}" for c in kinds], dropLast=False)
             rows, inputs = encoder.fit(rows).transform(rows), [*inputs, *encoder.getOutputCols()]
         rows = VectorAssembler(inputCols=inputs, outputCol=out).transform(rows)
         return rows.drop(*inputs, *slots)
 
+    def inputs(self) -> tuple[list[str], list[int]]:
+        """The inputs in order, and for every place of the vector which of them it belongs to."""
+        names = [*self.numeric_columns(), *self.category_columns()]
+        widths = [1] * len(self.numeric_columns()) + [self.size(c) + 1 for c in self.category_columns()]
+        return names, [i for i, n in enumerate(widths) for _ in range(n)]
+
     def feature_table(self, spark: SparkSession) -> DataFrame:
         """(pos, processed_input, category) of every place in the vector; numbers have no category."""
         places, at = [(i, c, None) for i, c in enumerate(self.numeric_columns())], len(self.numeric_columns())
@@ -245,34 +307,35 @@ class FeatureModel:
         for c in self.category_columns():
             first[c] = at
             places.append((at, c, "(none)"))
-            at += self.sizes.get(c, 0) + 1
+            at += self.size(c) + 1
         out = spark.createDataFrame(places, "pos long, processed_input string, category string")
         if self.categories is None:
             return out
         begin = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])[F.col("feature")]
-        return out.unionByName(self.categories.select((begin + F.col("code")).alias("pos"), F.col("feature").alias("processed_input"), F.col("value").alias("category")))
+        return out.unionByName(self.categories.table.select((begin + F.col("code")).alias("pos"), F.col("feature").alias("processed_input"), F.col("value").alias("category")))
+
+    def numbers(self) -> dict:
+        """What is fitted besides the code tables."""
+        return {"cuts": self.cuts, "scale": self.scale, "means": self.means}
+
+    def code_tables(self) -> dict[str, DataFrame]:
+        return {name: c.table for name, c in (("codes", self.codes), ("categories", self.categories)) if c is not None}
+
+    @classmethod
+    def restored(cls, spec: FeatureSpec, numbers: Mapping, table: Callable[[str], DataFrame]) -> FeatureModel:
+        codes = Codes.of(table("codes")) if spec.labels else None
+        categories = Codes.of(table("categories")) if spec.buckets or spec.crosses else None
+        return cls(spec, codes, numbers["cuts"], {c: tuple(v) for c, v in numbers["scale"].items()}, categories, numbers["means"])
 
     def save(self, path: str) -> None:
-        """The code table as parquet, the numbers as one JSON row."""
+        """The code tables as parquet, the numbers as one JSON row."""
         spark = SparkSession.getActiveSession()
-        state = json.dumps({"spec": asdict(self.spec), "cuts": self.cuts, "scale": self.scale, "sizes": self.sizes, "means": self.means})
+        state = json.dumps({"spec": self.spec.as_dict(), **self.numbers()})
         spark.createDataFrame([(state,)], "state string").write.mode("overwrite").json(os.path.join(path, "state"))
-        if self.codes is not None:
-            save_table(self.codes, os.path.join(path, "codes"))
-        if self.categories is not None:
-            save_table(self.categories, os.path.join(path, "categories"))
+        for name, table in self.code_tables().items():
+            save_table(table, os.path.join(path, name))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeatureModel:
         state = json.loads(spark.read.schema("state string").json(os.path.join(path, "state")).first()[0])
-        raw = state["spec"]
-        spec = FeatureSpec(
-            labels=tuple(raw["labels"]),
-            buckets=tuple((c, n) for c, n in raw["buckets"]),
-            scaled=tuple(raw["scaled"]),
-            crosses=tuple(tuple(x) for x in raw["crosses"]),
-            passed=tuple(raw["passed"]),
-        )
-        codes = spark.read.parquet(os.path.join(path, "codes")) if spec.labels else None
-        categories = spark.read.parquet(os.path.join(path, "categories")) if spec.buckets or spec.crosses else None
-        return cls(spec, codes, state["cuts"], {c: tuple(v) for c, v in state["scale"].items()}, categories, state["sizes"], state["means"])
+        return cls.restored(FeatureSpec.from_dict(state["spec"]), state, lambda name: spark.read.parquet(os.path.join(path, name)))
