@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -66,3 +67,87 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """
     folder = _SCOPE.get() or work_folder(df.sparkSession)
     return save_table(df, os.path.join(folder, f"{label}-{uuid.uuid4().hex}"))
+
+
+# --- tables and models that are replaced as a whole ---------------------------------------------------------------
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the published versions' pointers, in order."""
+    place, files = _files(spark, os.path.join(path, "_versions"))
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.getPath().getName().isdigit()) if files.exists(place) else []
+
+
+def _point(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Publish a version under a number, whole or not at all; False if the number is taken."""
+    jvm = spark._jvm
+    draft, files = _files(spark, os.path.join(path, "_versions", f"draft-{uuid.uuid4().hex}"))
+    out = files.create(draft)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    target = jvm.org.apache.hadoop.fs.Path(path, f"_versions/{number:012d}")
+    never = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    never[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, target, never)
+    except Py4JJavaError as e:
+        files.delete(draft, False)
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        return False
+    return True
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Create or replace what lies at ``path``: ``write`` fills a folder of its own, and only then a pointer to it gets the
+    next number. Readers resolve the highest number, so they see the old version or the new one, never a part, and what
+    is written may be made from the old version. A writer that fails leaves no pointer. Of several at once each gets a
+    number of its own, and the last one holds. Needs a store whose rename fails when the target exists."""
+    folder = f"data-{uuid.uuid4().hex}"
+    write(os.path.join(path, folder))
+    number = int((_versions(spark, path) or ["0"])[-1]) + 1
+    while not _point(spark, path, number, folder):
+        number += 1
+    return os.path.join(path, folder)
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder of the current version."""
+    names = _versions(spark, path)
+    if not names:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return os.path.join(path, spark.read.text(os.path.join(path, "_versions", names[-1])).first()[0])
+
+
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """CREATE OR REPLACE TABLE: publish the rows as a new version, and read it."""
+    return df.sparkSession.read.schema(df.schema).parquet(publish(df.sparkSession, path, df.write.parquet))
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(published(spark, path))
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` versions, pointers first, and drafts of failed writers that no pointer names and
+    that are older than the kept versions. Returns how many folders went. A reader of an old version fails, so keep what may be read."""
+    names = _versions(spark, path)
+    place, files = _files(spark, path)
+    kept = {spark.read.text(os.path.join(path, "_versions", n)).first()[0] for n in names[-keep:]}
+    if not kept:
+        return 0
+    oldest = min(files.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(path, f)).getModificationTime() for f in kept)
+    for n in names[:-keep]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, f"_versions/{n}"), False)
+    gone = 0
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith("data-") and name not in kept and status.getModificationTime() <= oldest:
+            files.delete(status.getPath(), True)
+            gone += 1
+    return gone

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from lossledger.functions.rules import to_money
 from lossledger.models import cluster as K
+from lossledger.models import components as V
 from lossledger.models import embed as E
 from lossledger.models import features as X
+from lossledger.models import graph as T
 from lossledger.models import regress as G
-from lossledger.sources.tables import materialise
+from lossledger.models import stages as S
+from lossledger.sources.tables import materialise, publish, published, work_folder
 from queries.registry import Tables, query, sql_ratio
 from queries.standins import Standins, ctes
 
@@ -144,34 +150,69 @@ def text_card(spark, sf):
     return rows.select("doc_id", card.alias("content"))
 
 
-def _embedded(spark, sf):
-    docs = Tables(spark, sf).documents.select("doc_id", "text")
-    return E.embed(docs, E.embedding_stages("text", "vector", 128).fit(docs), "vector")
+@query(
+    "text_embedding",
+    r"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents WHERE text IS NOT NULL),
+            s AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 15) AS BIGINT) % 262144 AS slot, COUNT(*) AS tf FROM (SELECT doc_id, unnest(ws) AS w FROM t) GROUP BY 1, 2),
+            f AS (SELECT slot, ln((SELECT COUNT(*) + 1 FROM t) / (COUNT(*) + 1)) AS idf FROM s GROUP BY 1),
+            v AS (SELECT doc_id, COUNT(*) AS n_slots, CAST(SUM(slot) AS BIGINT) AS slot_sum, MAX(tf * idf) AS top, SQRT(SUM(tf * idf * tf * idf)) AS size FROM s JOIN f USING (slot) GROUP BY 1)
+       SELECT t.doc_id, 262144 AS n_dims, COALESCE(n_slots, 0) AS n_slots, COALESCE(slot_sum, 0) AS slot_sum, CASE WHEN size > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length,
+              COALESCE(ROUND(CASE WHEN size > 0 THEN top / size ELSE 0 END, 6), 0) AS largest FROM t LEFT JOIN v USING (doc_id)""",
+)
+def text_embedding(spark, sf):
+    docs = Tables(spark, sf).documents.select("doc_id", "text").where(F.col("text").isNotNull())
+    rows = V.WordVectors(inputCol="text", outputCol="vector").fit(docs).transform(docs)
+    values, slots = F.col("vector.values"), F.col("vector.indices")
+    square = F.aggregate(F.transform(values, lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
+    total = F.aggregate(slots, F.lit(0).cast("long"), lambda a, b: a + b)
+    return rows.select(
+        "doc_id", F.lit(V.SLOTS).alias("n_dims"), F.size(slots).cast("long").alias("n_slots"), total.alias("slot_sum"), F.round(square, 6).alias("length"),
+        F.round(F.coalesce(F.array_max(values), F.lit(0.0)), 6).alias("largest"),
+    )
 
 
-@query("text_embedding")
-def text_embedding(spark, sf):
-    rows = _embedded(spark, sf)
-    square = F.aggregate(F.transform("vector", lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
-    return rows.select("doc_id", F.size("vector").alias("n_dims"), F.round(square, 6).alias("length"))
+def _components(spark, sf, k):
+    rows = Tables(spark, sf).embeddings.select("vec_id", "embedding")
+    return rows, V.PrincipalComponents(inputCol="embedding", size=64, k=k).fit(rows)
 
 
-def _reduced(spark, sf, k=32):
-    rows = E.as_vectors(Tables(spark, sf).embeddings, "embedding")
-    return rows, E.reduction_stages("vector", "reduced", k).fit(rows)
+_POSITIONS = "x AS (SELECT vec_id, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"
 
 
-@query("pca_fit")
+@query(
+    "pca_fit",
+    f"""WITH {_POSITIONS}, v AS (SELECT SUM(v) AS whole FROM (SELECT var_pop(x) AS v FROM x GROUP BY pos))
+        SELECT component::INTEGER AS component, ROUND(whole, 9) AS whole_variance, TRUE AS unit_length, TRUE AS has_its_variance, TRUE AS uncorrelated, TRUE AS not_above_the_one_before
+        FROM v, range(1, 33) t(component)""",
+)
 def pca_fit(spark, sf):
-    rows, model = _reduced(spark, sf)
-    shares = [(i + 1, float(v)) for i, v in enumerate(model.stages[-1].explainedVariance.toArray())]
-    return spark.createDataFrame(shares, "component int, share double")
+    """Unit directions whose coordinates have the stated variances and no covariance, largest first: the components."""
+    rows, model = _components(spark, sf, 32)
+    seen = model.transform(rows)
+    names = model.columns()
+    pairs = [F.covar_pop(a, b) for i, a in enumerate(names) for b in names[i:]]
+    found = iter(seen.agg(*[p.alias(f"c{i}") for i, p in enumerate(pairs)]).first())
+    cov = {(i, j): next(found) for i in range(len(names)) for j in range(i, len(names))}
+    slack = 1e-9 * model.whole
+    out = []
+    for i, v in enumerate(model.variances):
+        apart = all(abs(c) < slack for (a, b), c in cov.items() if a != b and i in (a, b))
+        unit = abs(float(model.components[:, i] @ model.components[:, i]) - 1) < 1e-9
+        out.append((i + 1, round(model.whole, 9), unit, abs(cov[i, i] - float(v)) < slack, apart, i == 0 or bool(v <= model.variances[i - 1])))
+    return spark.createDataFrame(out, "component int, whole_variance double, unit_length boolean, has_its_variance boolean, uncorrelated boolean, not_above_the_one_before boolean")
 
 
-@query("pca_project")
+@query(
+    "pca_project",
+    f"""WITH {_POSITIONS}, m AS (SELECT pos, AVG(x) AS m FROM x GROUP BY 1)
+        SELECT vec_id, 64 AS n_components, ROUND(SUM((x - m) * (x - m)), 6) AS square FROM x JOIN m USING (pos) GROUP BY 1""",
+)
 def pca_project(spark, sf):
-    rows, model = _reduced(spark, sf)
-    return E.component_columns(model.transform(rows).select("vec_id", "reduced"), "reduced", 32)
+    """With all components the coordinates keep every vector's distance from the mean."""
+    rows, model = _components(spark, sf, 64)
+    seen = model.project(rows, "coordinates")
+    square = F.aggregate(F.transform("coordinates", lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
+    return seen.select("vec_id", F.size("coordinates").alias("n_components"), F.round(square, 6).alias("square"))
 
 
 @query(
@@ -189,22 +230,44 @@ def embedding_join(spark, sf):
 
 
 def _clustered(spark, sf):
-    rows, model = _fitted(spark, sf)
-    assembled = materialise(model.assemble(rows), "features")
-    return assembled, K.cluster_stages().fit(assembled)
+    model, last = S.fit_staged(_payments(spark, sf), [S.FeatureEstimator(SPEC), K.CostClusters()])
+    return model.stages[-1], last
 
 
-@query("kmeans_fit")
+@query(
+    "kmeans_fit",
+    f"""WITH {ctes('service_payment')} SELECT COUNT(*) AS n_rows, CAST(SUM(subtotal) AS DOUBLE) AS cost, TRUE AS centres_are_means, TRUE AS cost_never_rises, TRUE AS within_limits FROM service_payment""",
+)
 def kmeans_fit(spark, sf):
-    assembled, model = _clustered(spark, sf)
-    sizes = K.assign_cluster(assembled, model).groupBy("centroid_id").agg(F.count("*").alias("n"), F.sum(to_money(F.col("subtotal"))).alias("cost"))
-    return sizes.withColumn("training_cost", F.lit(float(model.stages[-1].summary.trainingCost)))
+    """The centres are the means, here taken by a plain grouping, of the rows that the last round assigned to each."""
+    model, last = _clustered(spark, sf)
+    rows = model.assign(model.scaled(last, "place"), model.before, "centroid_id")
+    cells = rows.select("centroid_id", F.posexplode("place").alias("pos", "x")).groupBy("centroid_id", "pos").agg(F.avg("x").alias("x"))
+    centres = model.centre_table(spark).select("centroid_id", F.posexplode("centre").alias("pos", "c"))
+    both = centres.join(cells, ["centroid_id", "pos"], "left")
+    means = both.agg(F.bool_and(F.col("x").isNull() | (F.abs(F.col("x") - F.col("c")) < 1e-9)).alias("centres_are_means"))
+    sums = model.transform(last).groupBy("centroid_id").agg(F.count("*").alias("n"), F.sum(to_money(F.col("subtotal"))).alias("cost"))
+    sums = sums.agg(F.sum("n").alias("n_rows"), F.sum("cost").cast("double").alias("cost"), (F.max("centroid_id") <= 40).alias("few"))
+    falls = all(b <= a * (1 + 1e-12) for a, b in zip(model.costs, model.costs[1:]))
+    return sums.join(means).select("n_rows", "cost", "centres_are_means", F.lit(falls).alias("cost_never_rises"), (F.col("few") & F.lit(len(model.costs) <= 30)).alias("within_limits"))
+
+
+def _is_nearest(spark, model, rows):
+    """Rows with their cluster, and whether a plain comparison with all centres finds none nearer."""
+    rows = model.scaled(model.transform(rows), "place")
+    rows = K.nearest_centre(rows, "place", model.centre_table(spark), "centroid_id", "centre", "nearest_id", "nearest_gap")
+    own = F.element_at(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centres]), F.col("centroid_id"))
+    gap = F.aggregate(F.zip_with("place", own, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    return rows.withColumn("is_nearest", gap <= F.col("nearest_gap") + 1e-9)
 
 
-@query("kmeans_assign")
+@query(
+    "kmeans_assign",
+    f"WITH {ctes('service_payment')} SELECT member_id, service_id, CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(subtotal AS DOUBLE) AS subtotal, TRUE AS is_nearest FROM service_payment",
+)
 def kmeans_assign(spark, sf):
-    assembled, model = _clustered(spark, sf)
-    return K.assign_cluster(assembled, model).select("member_id", "service_id", "transaction_date", "subtotal", "centroid_id")
+    model, last = _clustered(spark, sf)
+    return _is_nearest(spark, model, last).select("member_id", "service_id", "transaction_date", "subtotal", "is_nearest")
 
 
 @query(
@@ -261,39 +324,205 @@ def cluster_purity(spark, sf):
     return K.cluster_purity(rows, "c_nationkey", ["o_orderpriority", "c_name", "year"])
 
 
-def _regressed(spark, sf, spec=SPEC, l1=1.0, l2=0.0):
-    rows, model = _fitted(spark, sf, spec)
-    assembled = materialise(model.assemble(rows), "features")
-    return model, assembled, G.linear_regression(l1, l2).fit(assembled)
+def _payments(spark, sf):
+    return Standins(spark, sf)["service_payment"].withColumn("subtotal", F.col("subtotal").cast("double"))
+
+
+VARIANTS = {"v1": (SPEC, 1.0, 0.0), "v2": (SPEC_SMALL, 0.6, 0.4)}
 
 
-@query("linreg_fit")
+def _regressed(spark, sf, variant="v1"):
+    """(features, regression, rows with assembled features)"""
+    spec, l1, l2 = VARIANTS[variant]
+    model, last = S.fit_staged(_payments(spark, sf), [S.FeatureEstimator(spec), G.CostRegression(l1, l2)])
+    return model.stages[0].model, model.stages[1], last
+
+
+_BUCKETS = "b AS (SELECT list_distinct(quantile_cont(age_at_subscription, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS cuts FROM service_payment)"
+_BUCKET_OF = "'bin_' || (1 + len(list_filter(cuts, lambda c: c <= age_at_subscription)))"
+_PLACES = f"""{_BUCKETS}, c AS (SELECT DISTINCT unnest([('age_at_subscription_bucket', {_BUCKET_OF}), ('gender_x_vertical', gender || '_' || vertical), ('business_group_x_vertical', business_group || '_' || vertical)]) AS c
+    FROM service_payment, b), places AS (SELECT c[1] AS processed_input, c[2] AS category FROM c WHERE c[2] IS NOT NULL
+    UNION ALL SELECT unnest(['age_at_subscription_bucket', 'gender_x_vertical', 'business_group_x_vertical']), '(none)'
+    UNION ALL SELECT unnest(['service_type_code', 'gender_code', 'business_group_size_code', 'ipc_schema_code', 'transaction_type_code', 'business_name_code', 'age_at_subscription_scaled', 'product_id_scaled']), NULL)"""
+
+
+@query(
+    "linreg_fit",
+    f"""WITH {ctes('service_payment')}, {_PLACES}, n AS (SELECT COUNT(*) AS n, SUM(CASE WHEN processed_input IN ('age_at_subscription_bucket', 'service_type_code', 'gender_code', 'transaction_type_code') THEN 1 ELSE 0 END) AS few FROM places)
+        SELECT model, n_places, COUNT(subtotal) AS n_rows, ROUND(AVG(CAST(subtotal AS DOUBLE)), 6) AS mean_prediction, 0::BIGINT AS n_not_optimal
+        FROM service_payment, (SELECT 'v1' AS model, n::BIGINT AS n_places FROM n UNION ALL SELECT 'v2', few::BIGINT FROM n) GROUP BY 1, 2""",
+)
 def linreg_fit(spark, sf):
-    """Both model variants, evaluated on their training rows."""
-    out = None
-    for name, spec, l1, l2 in (("v1", SPEC, 1.0, 0.0), ("v2", SPEC_SMALL, 0.6, 0.4)):
-        _, assembled, fitted = _regressed(spark, sf, spec, l1, l2)
-        one = G.regression_metrics(fitted.transform(assembled), "subtotal", "predicted_subtotal").withColumn("model", F.lit(name))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Both variants: no weight misses the condition of the penalised optimum, and the mean prediction is the mean."""
+    out = []
+    for name in VARIANTS:
+        _, fitted, last = _regressed(spark, sf, name)
+        seen = fitted.transform(last).agg(F.count("subtotal"), F.avg("predicted_subtotal")).first()
+        missed = fitted.optimality(last).where(~F.col("holds")).count()
+        out.append((name, len(fitted.weights), seen[0], round(seen[1], 6), missed))
+    return spark.createDataFrame(out, "model string, n_places long, n_rows long, mean_prediction double, n_not_optimal long")
+
+
+@query(
+    "linreg_penalty",
+    f"""WITH {ctes('service_payment')}, m AS (SELECT COUNT(*) AS n, stddev_pop(product_id) AS s, AVG(product_id) AS mx, AVG(CAST(subtotal AS DOUBLE)) AS my, COUNT(*) * covar_pop(product_id, CAST(subtotal AS DOUBLE)) / stddev_pop(product_id) AS c FROM service_payment),
+            w AS (SELECT model, SIGN(c) * GREATEST(ABS(c) - l1, 0) / (n + l2) / s AS w, mx, my FROM m, (VALUES ('v1', 1.0, 0.0), ('v2', 0.6, 0.4), ('strong', 700.0, 5000.0), ('none left', 1000000.0, 0.0)) t(model, l1, l2))
+        SELECT model, ROUND(w, 9) AS weight, ROUND(my - w * mx, 6) AS intercept FROM w""",
+)
+def linreg_penalty(spark, sf):
+    """With one input the optimum has a closed form: the penalty means what it says, at every strength."""
+    rows = VectorAssembler(inputCols=["product_id"], outputCol="features").transform(_payments(spark, sf).select("product_id", "subtotal"))
+    out = []
+    for name, l1, l2 in (("v1", 1.0, 0.0), ("v2", 0.6, 0.4), ("strong", 700.0, 5000.0), ("none left", 1e6, 0.0)):
+        fitted = G.CostRegression(l1, l2).fit(rows)
+        out.append((name, round(float(fitted.weights[0]), 9), round(float(fitted.regression.intercept), 6)))
+    return spark.createDataFrame(out, "model string, weight double, intercept double")
 
 
-@query("linreg_predict")
+@query(
+    "linreg_predict",
+    f"WITH {ctes('service_payment')} SELECT member_id, service_id, CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(subtotal AS DOUBLE) AS subtotal, TRUE AS adds_up FROM service_payment",
+)
 def linreg_predict(spark, sf):
-    _, assembled, fitted = _regressed(spark, sf)
-    return fitted.transform(assembled).select("member_id", "service_id", "transaction_date", "subtotal", "predicted_subtotal")
+    """Every prediction is the baseline plus what the row's inputs add."""
+    features, fitted, last = _regressed(spark, sf)
+    rows = fitted.with_attributions(fitted.transform(last), features)
+    total = F.aggregate("attributions", F.lit(fitted.baseline), lambda a, b: a + b)
+    return rows.select("member_id", "service_id", "transaction_date", "subtotal", (F.abs(total - F.col("predicted_subtotal")) < 1e-9).alias("adds_up"))
 
 
-@query("model_weights")
+@query("model_weights", f"WITH {ctes('service_payment')}, {_PLACES} SELECT processed_input, category, TRUE AS is_optimal FROM places")
 def model_weights(spark, sf):
-    model, assembled, fitted = _regressed(spark, sf)
-    return G.model_weights(fitted, model.feature_table(spark), assembled)
+    """Every place of the vector, and whether its weight meets the condition of the penalised optimum."""
+    features, fitted, last = _regressed(spark, sf)
+    return features.feature_table(spark).join(fitted.optimality(last), "pos").select("processed_input", "category", F.col("holds").alias("is_optimal"))
 
 
-@query("weight_report_fitted")
+@query(
+    "weight_report_fitted",
+    f"""WITH {ctes('service_payment')}, {_PLACES} SELECT processed_input, COUNT(category) AS n_categories, TRUE AS is_mean, TRUE AS top_is_largest FROM places GROUP BY 1""",
+)
 def weight_report_fitted(spark, sf):
-    """The report on a fitted model's own weights."""
-    return G.weight_report(G.category_weights(model_weights(spark, sf)))
+    """The report on a fitted model's own weights, beside the weights it is made of."""
+    features, fitted, _ = _regressed(spark, sf)
+    weights = fitted.weight_table(features, spark)
+    report = G.weight_report(G.category_weights(weights)).select("processed_input", F.col("weight").alias("_w"), "top_category")
+    both = weights.join(report, "processed_input").groupBy("processed_input")
+    largest = F.max(F.when(F.col("category") == F.col("top_category"), F.col("weight")))
+    return both.agg(
+        F.count("category").alias("n_categories"), (F.abs(F.avg("weight") - F.first("_w")) < 1e-9).alias("is_mean"),
+        F.coalesce(largest == F.max("weight"), F.count("category") == 0).alias("top_is_largest"),
+    )
+
+
+EXPLAINED = X.FeatureSpec(crosses=(("service_type",),), passed=("age_at_subscription",))
+#: Least squares on one number and one category: the slope is that within the categories, and each has its own level.
+_EXPLAINED = f"""WITH {ctes('service_payment')}, p AS (SELECT member_id, service_id, transaction_date, service_type AS g, age_at_subscription AS x, CAST(subtotal AS DOUBLE) AS y FROM service_payment),
+    c AS (SELECT g, COUNT(*) AS n, AVG(x) AS gx, AVG(y) AS gy, COUNT(*) * covar_pop(x, y) AS xy, COUNT(*) * var_pop(x) AS xx FROM p GROUP BY 1),
+    s AS (SELECT SUM(xy) / SUM(xx) AS slope, SUM(n * gx) / SUM(n) AS mx, SUM(n * gy) / SUM(n) AS my FROM c),
+    l AS (SELECT g, (gy - my) - slope * (gx - mx) AS of_g FROM c, s),
+    a AS (SELECT p.*, my, slope * (x - mx) AS of_x, of_g FROM p JOIN l USING (g), s)"""
+
+
+def _explained(spark, sf):
+    model, last = S.fit_staged(_payments(spark, sf), [S.FeatureEstimator(EXPLAINED), G.CostRegression(0.0, 0.0)])
+    return model.stages[0].model, model.stages[1], last
+
+
+@query(
+    "explain_fitted",
+    f"""{_EXPLAINED} SELECT member_id, service_id, CAST(transaction_date AS VARCHAR) AS transaction_date, ROUND(my, 6) AS baseline, ROUND(my + of_x + of_g, 4) AS predicted,
+        CASE WHEN ABS(of_x) > ABS(of_g) THEN 'age_at_subscription|service_type' ELSE 'service_type|age_at_subscription' END AS features,
+        ROUND(CASE WHEN ABS(of_x) > ABS(of_g) THEN of_x ELSE of_g END, 4) AS largest, ROUND(CASE WHEN ABS(of_x) > ABS(of_g) THEN of_g ELSE of_x END, 4) AS second FROM a""",
+)
+def explain_fitted(spark, sf):
+    features, fitted, last = _explained(spark, sf)
+    top = F.col("top_feature_attributions")
+    return fitted.explain(last, features).select(
+        "member_id", "service_id", "transaction_date", F.round("baseline_prediction", 6).alias("baseline"), F.round("predicted_subtotal", 4).alias("predicted"),
+        top["feature"].alias("features"), F.round(top["attribution"][0], 4).alias("largest"), F.round(top["attribution"][1], 4).alias("second"),
+    )
+
+
+@query(
+    "global_attribution_fitted",
+    f"{_EXPLAINED} SELECT 'age_at_subscription' AS feature, ROUND(AVG(ABS(of_x)), 6) AS attribution FROM a UNION ALL SELECT 'service_type', ROUND(AVG(ABS(of_g)), 6) FROM a",
+)
+def global_attribution_fitted(spark, sf):
+    features, fitted, last = _explained(spark, sf)
+    return fitted.global_attribution(last, features).withColumn("attribution", F.round("attribution", 6))
+
+
+@query(
+    "feature_pipeline",
+    f"""WITH {ctes('service_payment')}, {_LABEL_CTES} SELECT member_id, service_id, CAST(transaction_date AS VARCHAR) AS transaction_date, {_LABELS}, TRUE AS predicts_alike FROM service_payment p {_LABEL_JOINS}""",
+)
+def feature_pipeline(spark, sf):
+    """One artifact of features and regression, published, resolved, loaded, and put to all rows."""
+    rows = _payments(spark, sf)
+    model, last = S.fit_staged(rows, [S.FeatureEstimator(SPEC), G.CostRegression()])
+    path = f"{work_folder(spark)}/model-{uuid.uuid4().hex}"
+    publish(spark, path, lambda folder: model.write().save(folder))
+    loaded = PipelineModel.load(published(spark, path))
+    mine = model.stages[-1].transform(loaded.transform(rows).withColumnRenamed("predicted_subtotal", "_loaded"))
+    alike = F.abs(F.col("predicted_subtotal") - F.col("_loaded")) < 1e-9
+    return mine.select("member_id", "service_id", "transaction_date", *[f"{c}_code" for c in SPEC.labels], alike.alias("predicts_alike"))
+
+
+_CARD_KEYS = ("member_id", "service_id")
+CARD_SLOTS, CARD_COMPONENTS = 1 << 14, 8
+
+
+def _cards(spark, sf):
+    """One card for each service that has a medical record."""
+    fields = ("caseevent_category", "caseevent_class", "doctor_specialization", "services_diagnosis_icd", "services_cpt", "services_specification")
+    records = Standins(spark, sf)["medical_event"].groupBy(*_CARD_KEYS).agg(*[F.min(f).alias(f) for f in fields])
+    return records.select(*_CARD_KEYS, E.text_card([(f.replace("_", " "), E.text_or_empty(f)) for f in fields]).alias("content"))
+
+
+def _with_text(spark, sf, model):
+    return T.fit_with_text(_payments(spark, sf), _cards(spark, sf), _CARD_KEYS, "content", SPEC, model, CARD_COMPONENTS, CARD_SLOTS)
+
+
+_TEXT_ROWS = f"""WITH {ctes('service_payment', 'medical_event')}, k AS (SELECT DISTINCT member_id, service_id FROM medical_event)
+    SELECT p.member_id, p.service_id, CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(subtotal AS DOUBLE) AS subtotal, k.service_id IS NOT NULL AS has_vector"""
+_TEXT_FROM = "FROM service_payment p LEFT JOIN k ON k.member_id = p.member_id AND k.service_id = p.service_id"
+
+
+@query("linreg_embed_predict", f"{_TEXT_ROWS}, TRUE AS adds_up {_TEXT_FROM}")
+def linreg_embed_predict(spark, sf):
+    """Cards, vectors, components, features, regression: every row is predicted, those without a vector too."""
+    models, last = _with_text(spark, sf, G.CostRegression())
+    features, fitted = models.model.stages[0].model, models.model.stages[1]
+    rows = fitted.with_attributions(fitted.transform(last), features)
+    total = F.aggregate("attributions", F.lit(fitted.baseline), lambda a, b: a + b)
+    alike = F.abs(total - F.col("predicted_subtotal")) < 1e-9
+    return rows.select("member_id", "service_id", "transaction_date", "subtotal", F.col("principal_component_1").isNotNull().alias("has_vector"), alike.alias("adds_up"))
+
+
+@query("kmeans_embed_assign", f"{_TEXT_ROWS}, TRUE AS is_nearest {_TEXT_FROM}")
+def kmeans_embed_assign(spark, sf):
+    models, last = _with_text(spark, sf, K.CostClusters())
+    rows = _is_nearest(spark, models.model.stages[1], last)
+    return rows.select("member_id", "service_id", "transaction_date", "subtotal", F.col("principal_component_1").isNotNull().alias("has_vector"), "is_nearest")
+
+
+@query(
+    "cluster_report_fitted",
+    f"""WITH {ctes('service_payment')} SELECT CAST(SUM(subtotal) AS DOUBLE) AS cost, COUNT(*) AS n_rows, COUNT(DISTINCT service_type) AS n_types, TRUE AS types_are_known, TRUE AS clusters_agree, TRUE AS purity_is_mean FROM service_payment""",
+)
+def cluster_report_fitted(spark, sf):
+    """Cost, profile and purity by the fitted clusters of the text variant, and what they must add up to."""
+    models, last = _with_text(spark, sf, K.CostClusters())
+    rows = materialise(models.model.stages[1].transform(last).withColumn("amount", to_money(F.col("subtotal"))), "clustered")
+    costs = K.cost_by_cluster(rows, "centroid_id", "amount")
+    profile = K.cluster_profile(rows, "centroid_id", ["service_type", "gender"], ["service_id"], "amount")
+    purity = K.cluster_purity(rows, "centroid_id", ["service_type"]).first()[0]
+    found = profile.select(F.explode("array_service_type").alias("t"))
+    sums = costs.agg(F.sum("subtotal").cast("double").alias("cost"), F.count("*").alias("k"))
+    sizes = profile.agg(F.avg(F.size("array_service_type")).alias("types"), F.bool_and(F.col("subtotal").isNotNull()).alias("known"), F.count("*").alias("k2"))
+    one = sums.join(sizes).join(found.agg(F.count_distinct("t").alias("n_types"))).join(rows.agg(F.count("*").alias("n_rows")))
+    return one.select("cost", "n_rows", "n_types", F.col("known").alias("types_are_known"), (F.col("k") == F.col("k2")).alias("clusters_agree"), (F.abs(F.col("types") - F.lit(purity)) < 0.051).alias("purity_is_mean"))
 
 
 @query(

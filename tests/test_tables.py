@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from lossledger.sources.tables import materialise, work_folder, work_tables
+from lossledger.sources.tables import current_table, drop_old_versions, materialise, publish, published, replace_table, work_folder, work_tables
 
 
 class _Conf:
@@ -35,3 +35,46 @@ def test_tables_of_a_block_are_dropped_at_its_end(spark):
         table = materialise(spark.range(5).toDF("n"), "numbers")
         assert table.count() == 5 and os.listdir(folder)
     assert not os.path.exists(folder)
+
+
+def test_a_table_is_replaced_from_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        current_table(spark, path)
+    replace_table(spark.range(5).toDF("n"), path)
+    old = current_table(spark, path)
+    new = replace_table(old.selectExpr("n + 10 AS n"), path)
+    assert sorted(r.n for r in old.collect()) == [0, 1, 2, 3, 4]  # who read the old version still does
+    assert sorted(r.n for r in new.collect()) == sorted(r.n for r in current_table(spark, path).collect()) == [10, 11, 12, 13, 14]
+    replace_table(current_table(spark, path).where("n > 12"), path)
+    assert drop_old_versions(spark, path, keep=1) == 2 and sorted(r.n for r in current_table(spark, path).collect()) == [13, 14]
+
+
+def test_a_writer_that_fails_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3).toDF("n"), path)
+    before = published(spark, path)
+
+    def dies(folder):
+        spark.range(9).toDF("n").write.parquet(folder)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        publish(spark, path, dies)
+    assert published(spark, path) == before and current_table(spark, path).count() == 3
+
+
+def test_writers_at_once_get_numbers_of_their_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def overtaken(folder):
+        spark.range(1).toDF("n").write.parquet(folder)
+        replace_table(spark.range(2).toDF("n"), path)  # publishes while this one still writes
+
+    publish(spark, path, overtaken)
+    assert current_table(spark, path).count() == 1
+    assert sorted(os.listdir(os.path.join(path, "_versions")))[-1] >= "000000000002"
+
+    from lossledger.sources import tables
+
+    assert not tables._point(spark, path, 1, "data-x")  # a number is given once
