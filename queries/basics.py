@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lossledger.functions.rules import local_date
 from lossledger.models.features import AGE_BANDS, age_band
 from lossledger.operators.spines import day_spine, month_end_spine
-from lossledger.sources.tables import save_table, work_folder
+from lossledger.sources.tables import current_table, replace_table, save_table, work_folder
 from queries.registry import Tables, query, sql_local_date
 
 
@@ -86,6 +86,19 @@ def ctas_roundtrip(spark, sf):
     return saved.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count("*").alias("n"), F.sum("premium").alias("premium"))
 
 
+@query(
+    "replace_from_itself",
+    """SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2 AS DOUBLE) AS premium FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) > 100000""",
+)
+def replace_from_itself(spark, sf):
+    """A table that is replaced by what a query makes of it."""
+    path = os.path.join(work_folder(spark), f"replaced-{uuid.uuid4().hex}")
+    replace_table(Tables(spark, sf).orders.select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("premium")), path)
+    doubled = current_table(spark, path).where("premium > 100000").select("o_orderkey", (F.col("premium") * 2).cast("decimal(18,2)").alias("premium"))
+    replace_table(doubled, path)
+    return current_table(spark, path)
+
+
 @query("distinct_rows", "SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
 def distinct_rows(spark, sf):
     return Tables(spark, sf).orders.select("o_custkey", "o_orderstatus").distinct()
