@@ -4,12 +4,13 @@ A text's word shingles are cut into blocks, and windows of a few blocks overlap
 blocks of about a third of its length, so each copy lies whole in one window that is not much longer. Each window's
 MinHash values come from block minima, and each value is a band of its own: a window that shares the least share of
 shingles a copy can have collides in at least one of the bands with the probability asked for. A retrieved template is
-then looked for word by word in that text: a stretch that holds at least ``CONTAINED`` of its distinct shingles is a match.
-Rows stay where they are.
+then looked for word by word in that text: a stretch no longer than the template and its allowance for insertions (a block
+or two, as the windows have) that holds at least ``CONTAINED`` of its distinct shingles is a match. Rows stay where they are.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,11 +23,12 @@ from pyspark.sql.types import StructType
 
 from lossledger.llm.columns import plain_words, slices
 from lossledger.llm.hashing import Spans
+from lossledger.sources.tables import materialise
 
 SHINGLE = 5
 CONTAINED = 0.8
 COLLIDE = 0.9999
-#: Characters of all templates together; they are shared with every task.
+#: Characters of the templates that are shared with every task at a time; more of them are scanned for block by block.
 MOST_CHARS = 16_000_000
 
 #: Notices in common use, as their licenses give them.
@@ -48,6 +50,29 @@ TEMPLATES = (
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("SPDX-MIT", "SPDX-License-Identifier: MIT"),
+    ("SPDX-Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("SPDX-BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("SPDX-BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("SPDX-GPL-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("SPDX-GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("SPDX-LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("SPDX-LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("SPDX-AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("SPDX-MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("SPDX-EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("SPDX-BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("BSD-2-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:'),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("WTFPL", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed."),
     ("all-rights-reserved", "All rights reserved."),
 )
 
@@ -71,8 +96,13 @@ class Template:
 
     @property
     def blocks(self) -> int:
-        """Blocks in a window: the template's own, and one more for the way it lies across them."""
-        return -(-self.length // self.block) + (self.block > 1)
+        """Blocks in a window: the template's own, one more for the way it lies across them, and one for insertions."""
+        return -(-self.length // self.block) + 2 * (self.block > 1)
+
+    @property
+    def reach(self) -> int:
+        """Shingles of a stretch that lies whole in one window wherever it begins: the most that a copy may take up."""
+        return self.block * (self.blocks - 1) + 1 if self.block > 1 else self.length
 
     @property
     def least(self) -> float:
@@ -130,7 +160,7 @@ def _retrieved(index: Index, hashes: dict[int, tuple[np.ndarray, np.ndarray]], n
             cells[slot] = _order(own, band)
             low = cells.reshape(total, block).min(1) if block > 1 else cells.copy()
             window = low.copy()
-            for k in range(1, blocks):  # windows end with their row: later blocks count only in the same one
+            for k in range(1, min(blocks, total)):  # windows end with their row: later blocks count only in the same one
                 same = block_row[k:] == block_row[:-k]
                 window[: total - k] = np.where(same, np.minimum(window[: total - k], low[k:]), window[: total - k])
             keys = {}
@@ -144,37 +174,84 @@ def _retrieved(index: Index, hashes: dict[int, tuple[np.ndarray, np.ndarray]], n
 
 
 def _verified(template: Template, own: np.ndarray) -> list[tuple[int, int, float]]:
-    """Stretches of a text (its shingles in order) that contain the template: first word, end, share of its shingles."""
-    at = np.searchsorted(template.shingles, own)
-    hit = np.flatnonzero(template.shingles[np.minimum(at, len(template.shingles) - 1)] == own)
-    out = []
-    for part in np.split(hit, np.flatnonzero(np.diff(hit) > template.length) + 1) if len(hit) else ():
-        share = len(np.unique(own[part])) / len(template.shingles)
-        if share >= CONTAINED:
-            out.append((int(part[0]), int(part[-1]) + template.size, share))
-    return out
+    """Stretches of a text (its shingles in order) that contain the template: first word, end, share of its shingles.
+
+    Of all stretches within the template's reach the one that holds most of its shingles is taken, of equal ones the
+    shorter, then the earlier; then, of those that share no word with it, the next."""
+    at = np.minimum(np.searchsorted(template.shingles, own), len(template.shingles) - 1)
+    hit = np.flatnonzero(template.shingles[at] == own)
+    least = CONTAINED * len(template.shingles)
+    last = np.searchsorted(hit, hit + template.reach) - 1
+    if not len(hit) or (last - np.arange(len(hit)) + 1).max() < least:
+        return []
+    which, held, distinct, end = at[hit].tolist(), {}, 0, -1
+    found = []
+    for i, j in enumerate(last.tolist()):
+        while end < j:
+            end += 1
+            held[which[end]] = held.get(which[end], 0) + 1
+            distinct += held[which[end]] == 1
+        if distinct >= least:
+            found.append((i, j, distinct))
+        held[which[i]] -= 1
+        distinct -= held[which[i]] == 0
+    stretches = []
+    for i, j, distinct in found:
+        seen: set[int] = set()
+        for k in range(i, j + 1):  # the end comes nearer as long as no shingle is lost
+            seen.add(which[k])
+            if len(seen) == distinct:
+                break
+        stretches.append((-distinct, int(hit[k] - hit[i]), int(hit[i]), int(hit[k]) + template.size))
+    out: list[tuple[int, int, float]] = []
+    taken: list[tuple[int, int]] = []
+    for distinct, _, first, stop in sorted(stretches):
+        place = bisect.bisect(taken, (first, stop))
+        if (place == 0 or taken[place - 1][1] <= first) and (place == len(taken) or stop <= taken[place][0]):
+            taken.insert(place, (first, stop))
+            out.append((first, stop, -distinct / len(template.shingles)))
+    return sorted(out)
+
+
+def _blocks(templates: DataFrame, most: int) -> Iterator[list[tuple[str, str | None]]]:
+    """Templates in blocks of about ``most`` characters, read block by block."""
+    held, size = [], 0
+    for r in templates.select("license", "text").toLocalIterator():
+        held.append((r["license"], r["text"]))
+        size += len(r["text"] or "")
+        if size >= most:
+            yield held
+            held, size = [], 0
+    yield held
 
 
-def with_licenses(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
+def with_licenses(docs: DataFrame, templates: DataFrame | None = None, most: int = MOST_CHARS) -> DataFrame:
     """``docs`` with ``licenses``: license, start, end (in words) and containment of every stretch that holds a template,
     in order of their start.
 
     ``templates`` has license and text; by default it is the list above. Words are runs of letters and digits in lower
     case. Null and empty texts hold none, nor does a template without a word match; a column named ``licenses`` is
-    replaced, other columns and repeated rows pass through, an empty table gives an empty one. Copies of a template with
-    less than its length between them count as one stretch.
+    replaced, other columns and repeated rows pass through, an empty table gives an empty one. Stretches of one template
+    share no word. Templates beyond ``most`` characters are taken in blocks; between blocks the documents are written.
     """
     docs = docs.drop("licenses").withColumn("text", F.col("text").cast("string"))
-    rows = TEMPLATES
-    if templates is not None:
-        chars = templates.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-        if chars > MOST_CHARS:
-            raise ValueError(f"templates hold {chars} characters; they are shared with every task, {MOST_CHARS} at most")
-        rows = [(r["license"], r["text"]) for r in templates.select("license", "text").collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(Index.of(list(rows)))
+    blocks = _blocks(templates, most) if templates is not None else iter([list(TEMPLATES)])
+    more = StructType.fromDDL("licenses array<struct<license:string,start:int,end:int,containment:double>>")
+    out, first = docs, True
+    for rows in blocks:
+        if not (rows or first):
+            break
+        if not first:
+            out = materialise(out, "licenses")
+        index = Index.of(rows)
+        out, first = out.mapInArrow(_scan(index, first), StructType([*docs.schema.fields, *more.fields])), False
+    return out
+
+
+def _scan(index: Index, first: bool):
+    """Add the matches of one block of templates to what the rows have."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         sizes = sorted({t.size for t in index.templates})
         for batch in slices(batches):
             words, at = plain_words(batch.column(batch.schema.get_field_index("text")).fill_null(""))
@@ -184,7 +261,9 @@ def with_licenses(docs: DataFrame, templates: DataFrame | None = None) -> DataFr
                 row = np.searchsorted(at, starts, "right") - 1
                 inside = starts + size <= at[row + 1] if len(starts) else np.zeros(0, bool)
                 hashes[size] = spans.hash(starts[inside], starts[inside] + size), row[inside]
-            found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            columns, names = list(batch.columns), list(batch.schema.names)
+            found: list[list[dict]] = [[] for _ in range(batch.num_rows)] if first else columns.pop().to_pylist()
+            names = names if first else names[:-1]
             for r, k in sorted(_retrieved(index, hashes, batch.num_rows)):
                 template = index.templates[k]
                 own, own_row = hashes[template.size]
@@ -194,10 +273,9 @@ def with_licenses(docs: DataFrame, templates: DataFrame | None = None) -> DataFr
             for matches in found:
                 matches.sort(key=lambda x: (x["start"], x["end"], x["license"]))
             kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("containment", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "licenses"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, kind)], [*names, "licenses"])
 
-    more = StructType.fromDDL("licenses array<struct<license:string,start:int,end:int,containment:double>>")
-    return docs.mapInArrow(work, StructType([*docs.schema.fields, *more.fields]))
+    return work
 
 
 def license_rows(docs: DataFrame) -> DataFrame:

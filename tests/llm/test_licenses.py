@@ -14,21 +14,28 @@ def shingles(text, size):
     return [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
 
 
-def plain(text):
+def plain(text, templates=None):
+    """Every stretch within reach, each counted anew; the fullest first, of equal ones the shorter, then the earlier."""
     out = []
-    for name, template in ls.TEMPLATES:
+    for name, template in templates or ls.TEMPLATES:
         size = min(ls.SHINGLE, len(re.findall(r"[^\W_]+", template)))
         own, wanted = shingles(text, size), shingles(template, size)
+        block = 1 << max(0, (len(wanted) // 2).bit_length() - 1) if len(wanted) > 3 else 1
+        reach = block * (-(-len(wanted) // block) + 1) + 1 if block > 1 else len(wanted)
         at = [i for i, s in enumerate(own) if s in set(wanted)]
-        part: list[int] = []
-        for i in [*at, None]:
-            if part and (i is None or i - part[-1] > len(wanted)):
-                share = len({own[k] for k in part}) / len(set(wanted))
-                if share >= ls.CONTAINED:
-                    out.append((name, part[0], part[-1] + size, share))
-                part = []
-            if i is not None:
-                part.append(i)
+        spans = []
+        for n, i in enumerate(at):
+            seen = set()
+            for j in at[n:]:
+                if j - i < reach:
+                    seen.add(own[j])
+                    if len(seen) >= ls.CONTAINED * len(set(wanted)):
+                        spans.append((-len(seen), j - i, i, j + size))
+        taken = []
+        for few, _, a, b in sorted(spans):
+            if all(b <= c or d <= a for c, d in taken):
+                taken.append((a, b))
+                out.append((name, a, b, -few / len(set(wanted))))
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
@@ -51,6 +58,23 @@ def test_bands_meet_their_probability():
         assert t.block * (t.blocks - (t.block > 1)) >= t.length
 
 
+def test_a_template_spread_thin_is_no_match(spark):
+    """Every shingle of a notice, each some foreign words from the next, holds none of it; a few insertions don't hide it."""
+    words = max(ls.TEMPLATES, key=lambda t: t[0] == "GPL-2.0")[1].split()
+    rows = [(gap, " ".join(" ".join(words[i : i + 5] + [f"foreign{i}x{k}" for k in range(gap)]) for i in range(len(words) - 4))) for gap in (10, 25, 40, 55)]
+    rows += [(100, " ".join([*words[:20], "one", "two", *words[20:]])), (101, " ".join([*words[:9], *words[12:]]))]
+    found = {r["doc_id"]: r["licenses"] for r in ls.with_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(not found[gap] for gap in (10, 25, 40, 55))
+    assert all("GPL-2.0" in {x["license"] for x in found[k]} for k in (100, 101))
+
+
+def test_templates_in_blocks(spark):
+    table = spark.createDataFrame(list(ls.TEMPLATES), "license string, text string").repartition(3)
+    docs = spark.createDataFrame([(k, f"so {t} and {u}") for k, ((_, t), (_, u)) in enumerate(zip(ls.TEMPLATES, ls.TEMPLATES[1:]))], "doc_id long, text string")
+    want = {r["doc_id"]: r["licenses"] for r in ls.with_licenses(docs).collect()}
+    assert {r["doc_id"]: r["licenses"] for r in ls.with_licenses(docs, table, most=1500).collect()} == want and all(want.values())
+
+
 def test_own_templates(spark):
     own = spark.createDataFrame([("mine", "my very own license text here"), ("none", None)], "license string, text string")
     docs = spark.createDataFrame([(1, "x my very own license text here y")], "doc_id long, text string")
