@@ -9,10 +9,11 @@ file isn't one task's window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ BLOCK_BYTES = 1 << 19
 WIDTH = 2
 #: Blocks scanned together before the scan over groups.
 GROUP = 1024
+#: Bytes of a file that a task reads in one go, and the most tasks that read files.
+STRETCH, MOST_TASKS = 1 << 27, 100_000
 
 
 def write_token_files(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_OF_DOCUMENT, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -34,7 +37,7 @@ def write_token_files(docs: DataFrame, vocabulary: str | None = None, end_id: in
     Returns the blocks (file, block, data) and the listing (file, ordinal, doc_id) of documents in the order in which
     they stand in their file. Spellings of special tokens in a text are plain text, so the end id never comes from one.
     A null text has no tokens but its end id. Blocks are rows of a table, since every store that Spark reaches can hold
-    those; ``read_flat_files`` gives the same rows for files made elsewhere.
+    those; ``read_flat_files`` gives the same rows for files made elsewhere, of any length.
     """
     path = vocabulary_path(vocabulary)
     kind = f"<u{width}"
@@ -68,13 +71,35 @@ def write_token_files(docs: DataFrame, vocabulary: str | None = None, end_id: in
     return written.select("file", "block", "data"), listing.select("file", (F.col("first") + F.col("at")).alias("ordinal"), "doc_id")
 
 
-def read_flat_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks (file, block, data) of binary files under ``path``; Spark reads each file whole, so a file must be small
-    enough for one row (2 GB at most)."""
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
-    numbers = F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / block_bytes))
-    blocks = files.select(F.col("path").alias("file"), "content", F.explode(numbers).alias("block"))
-    return blocks.select("file", "block", F.expr(f"substring(content, int(block) * {block_bytes} + 1, {block_bytes})").alias("data"))
+def _open(path: str):
+    """A file of any store that Arrow knows, to seek in."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, inside = pafs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def read_flat_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES, stretch: int = STRETCH, opened: Callable = _open) -> DataFrame:
+    """Blocks (file, block, data) of the flat files under ``path``, however long. Only names and lengths are listed; a task
+    opens the file (``opened(path)`` gives something to seek and read in), goes to its own stretch and reads that."""
+    files = spark.read.format("binaryFile").load(path).where("length > 0").select(F.col("path").alias("file"), "length")
+    each = max(1, stretch // block_bytes)
+    starts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / block_bytes), F.lit(each).cast("long"))
+    stretches = files.select("file", F.explode(starts).alias("first"))
+    # as many tasks as stretches, up to a bound
+    parts = max(1, min(stretches.count(), MOST_TASKS))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with opened(file) as f:
+                    f.seek(first * block_bytes)
+                    for block in range(first, first + each):
+                        data = f.read(block_bytes)
+                        if data:
+                            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block]), pa.array([data], pa.binary())], ["file", "block", "data"])
+
+    return stretches.repartition(parts, "file", "first").mapInArrow(read, "file string, block long, data binary")
 
 
 def document_spans(blocks: DataFrame, end_id: int = END_OF_DOCUMENT, width: int = WIDTH, group: int = GROUP) -> DataFrame:

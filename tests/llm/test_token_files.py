@@ -44,6 +44,22 @@ def test_flat_files_on_disk(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(r[1:] for r in plain_spans("", ids.tolist(), 3))
 
 
+def test_a_file_beyond_two_gigabytes(spark, tmp_path):
+    """Most of the file is a hole; ends of documents lie before, in and after what fits into one row."""
+    end, size = 49407, (1 << 31) + (1 << 28)
+    places = [10, 1 << 20, (1 << 30) - 1, (1 << 30) + 5, size // 2 - 1]  # in tokens of two bytes
+    with open(tmp_path / "large file.bin", "wb") as f:
+        f.truncate(size)
+        for at in places:
+            f.seek(2 * at)
+            f.write(np.array([end], "<u2").tobytes())
+    (tmp_path / "small.bin").write_bytes(np.array([1, 2, end], "<u2").tobytes())
+    blocks = token_files.read_flat_files(spark, str(tmp_path), block_bytes=1 << 24)
+    got = sorted((r["start"], r["n_tokens"], r["ended"]) for r in token_files.document_spans(blocks).where("n_tokens <> 2").collect())
+    starts = [0, *(p + 1 for p in places[:-1])]
+    assert got == [(a, b - a, True) for a, b in zip(starts, places)]
+
+
 def test_counts_of_documents(spark):
     full = Tokenizer.from_file(vocabulary_path())
     full.encode_special_tokens = True
