@@ -80,7 +80,7 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op9_pseudonyms")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
-    done = pseudonyms.with_pseudonyms(read_table(spark, sf, "documents"))
+    done = pseudonyms.with_pseudonyms(read_table(spark, sf, "documents"), pseudonyms.configured_key(spark))
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_pii"), F.array_join(F.array_sort(F.array_distinct("pii.kind")), " ").alias("kinds"))
 
 

@@ -50,8 +50,29 @@ def test_against_plain_code(spark, folder):
         ids = full.encode(pseudonyms.replace(t)[0], add_special_tokens=False).ids + [1]
         for k, at in enumerate(range(0, len(ids), 4096)):
             want.add((d, k, zlib.crc32(np.array(ids[at : at + 4096], "<u4").tobytes())))
+    spark.conf.set(pseudonyms.KEY_SETTING, pseudonyms.TRIAL_KEY.hex())
     rows = corpus_pipeline.run(spark, folder).collect()
+    spark.conf.unset(pseudonyms.KEY_SETTING)
     assert {(r["doc_id"], r["piece"], r["ids_crc32"]) for r in rows} == want and len(rows) == len(want)
     places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in rows)
     for (s, o, n), (s2, o2, _) in zip(places, places[1:]):
         assert (o2 == o + n) if s == s2 else o2 == 0
+
+
+def test_work_tables_go(spark, folder):
+    """Of all tables that the stages write, those that the result reads are left."""
+    import os
+
+    from lossledger.sources.tables import work_folder
+
+    before = set(os.listdir(work_folder(spark)))
+    rows = corpus_pipeline.run(spark, folder)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(work_folder(spark))) - before}
+    assert left <= {"pieces", "length-counts", "pseudonyms"} and rows.count()
+
+
+def test_rows_without_an_id_and_more_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(20)
+    more = docs.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat(text, ' and no id') AS text", "lang", "source", "n_chars").limit(2).unionByName(docs).selectExpr("*", "1 AS pii", "2 AS rejected", "'z' AS leaks")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, more, folder).schema.names == more.schema.names, name
