@@ -6,11 +6,13 @@ Every stage takes what the one before it kept, written as Parquet and read again
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossledger.llm import decontamination, jaccard, language, packing, pseudonyms
-from lossledger.sources.tables import materialise, read_table
+from lossledger.sources.tables import drop_table, read_table, save_table, work_folder, work_tables
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,8 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in them replaced by pseudonyms of the same format (and length)."""
-    return pseudonyms.with_pseudonyms(docs).select(*docs.columns)
+    """All documents, personal data in them replaced by pseudonyms of the same format (and length), with the session's key."""
+    return pseudonyms.with_pseudonyms(docs, pseudonyms.configured_key(spark)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +53,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages one after the other. What a stage writes on the way goes once its own result is written, and that goes
+    once the next stage's is; the last stage's tables stay for the reader of the result."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        kept = f"{work_folder(spark)}/{name.replace(' ', '-')}-{uuid.uuid4().hex}"
+        with work_tables(spark):
+            docs = save_table(stage(spark, docs, sf_dir), kept)
+        if before:
+            drop_table(spark, before)
+        before = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -44,8 +44,13 @@ def work_tables(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _SCOPE.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_table(spark, folder)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table, or a folder of them."""
+    place, files = _files(spark, path)
+    files.delete(place, True)
 
 
 def save_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
