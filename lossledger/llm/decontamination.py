@@ -3,14 +3,16 @@
 Every word n-gram of an item is a seed, so a copy with any ``NGRAM`` words in a row left untouched is found, however
 common those words are and whatever else the corpus holds. One pass looks the seeds up, gathers the hits of an item by
 their diagonal, and aligns the item's words with the passage around them. Passages that lack too many of the item's words
-to reach the wanted score are not aligned; that bound is exact. The pass leaves rows where they are. The items are shared
-with all tasks in blocks of bounded size, however large the benchmark is.
+to reach the wanted score are not aligned. That bound is exact, and it is taken for all items that share a text's seeds at
+once (first over the whole text, then over each passage), so a common opening of many items costs little. The pass leaves
+rows where they are. The items are shared with all tasks in blocks of bounded size, one block after the other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from lossledger.llm.columns import plain_words, slices
 from lossledger.llm.hashing import Spans
+from lossledger.sources.tables import materialise
 
 NGRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -30,13 +33,17 @@ BLOCK_CHARS = 16_000_000
 #: A passage is aligned in stretches of so many words (or eight items' length), which overlap by more than an alignment can span.
 STRETCH = 4096
 
+#: Hits that are worked on at once, and passages.
+HITS, PASSAGES = 2_000_000, 20_000
+
 _LEAKS = "leaks array<struct<item_id:long,score:double,start:int,end:int,n_same:int>>"
 
 
 @dataclass
 class Items:
     ids: list[int | None]
-    words: list[np.ndarray]
+    flat: np.ndarray  # the words of all items
+    at: np.ndarray  # where each item's words begin
     grams: np.ndarray  # sorted seed hashes, one for each place
     item: np.ndarray
     place: np.ndarray
@@ -50,15 +57,28 @@ class Items:
         item = np.repeat(np.arange(len(rows)), [len(s) for s in starts])
         place = np.concatenate(starts) if rows else np.zeros(0, int)
         order = np.argsort(grams, kind="stable")
-        return cls([i for i, _ in rows], words, grams[order], item[order], place[order])
-
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``grams`` and seeds that are equal."""
-        lo = np.searchsorted(self.grams, grams, "left")
-        found = np.flatnonzero(self.grams[np.minimum(lo, len(self.grams) - 1)] == grams) if len(self.grams) else np.zeros(0, int)
-        n = np.searchsorted(self.grams, grams[found], "right") - lo[found]
-        at = np.repeat(found, n)
-        return at, np.repeat(lo[found], n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        return cls([i for i, _ in rows], hashes, at, grams[order], item[order], place[order])
+
+    def hits(self, grams: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``grams`` and seeds that are equal, of the items from ``first`` up to ``last``. Seeds of one hash
+        stand by item, so those items' are a range."""
+        lo, hi = np.searchsorted(self.grams, grams, "left"), np.searchsorted(self.grams, grams, "right")
+        if first or last < len(self.at) - 1:
+            key = np.searchsorted(self.distinct, grams).astype(np.int64) * len(self.at)
+            lo = np.maximum(lo, np.searchsorted(self.by_item, key + first))
+            hi = np.minimum(hi, np.searchsorted(self.by_item, key + last))
+        n = np.maximum(hi - lo, 0)
+        at = np.repeat(np.arange(len(grams)), n)
+        return at, np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+
+    @cached_property
+    def distinct(self) -> np.ndarray:
+        return np.unique(self.grams)
+
+    @cached_property
+    def by_item(self) -> np.ndarray:
+        """Seeds as (number of the hash, item), in order."""
+        return np.searchsorted(self.distinct, self.grams).astype(np.int64) * len(self.at) + self.item
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
@@ -85,26 +105,63 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
     return score, int(j), end, same
 
 
-def _best(item: np.ndarray, words: np.ndarray, diagonals: np.ndarray, leaked: float) -> tuple[float, int, int, int]:
-    """The best alignment around the hits' diagonals: share of the full score, start, end, equal words. Surroundings that
-    can't reach ``leaked`` are passed over: each word of the item that they lack takes away its match."""
-    m = len(item)
-    pad = m // 2 + 8
-    diagonals = np.sort(diagonals)
-    best = (0.0, 0, 0, 0)
-    for near in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > pad) + 1):
-        lo, hi = max(0, int(near[0]) - pad), min(len(words), int(near[-1]) + m + pad)
-        if np.isin(item, words[lo:hi]).sum() / m < leaked:
-            continue
-        span = m * (1 - MATCH // GAP)  # no alignment of a positive score reaches further
-        stretch = max(STRETCH, 8 * m)
-        while True:
-            score, a, b, same = align(item, words[lo : min(hi, lo + stretch)])
-            best = max(best, (score / (MATCH * m), lo + a, lo + b, same), key=lambda x: (x[0], -x[1]))
-            if lo + stretch >= hi:
-                break
-            lo += stretch - span
-    return best
+def _best(item: np.ndarray, words: np.ndarray, lo: int, hi: int) -> tuple[float, int, int, int]:
+    """The best alignment within words lo to hi: share of the full score, start, end, equal words."""
+    m, best = len(item), (0.0, 0, 0, 0)
+    span = m * (1 - MATCH // GAP)  # no alignment of a positive score reaches further
+    stretch = max(STRETCH, 8 * m)
+    while True:
+        score, a, b, same = align(item, words[lo : min(hi, lo + stretch)])
+        best = max(best, (score / (MATCH * m), lo + a, lo + b, same), key=lambda x: (x[0], -x[1]))
+        if lo + stretch >= hi:
+            return best
+        lo += stretch - span
+
+
+def _spread(at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all words of some items, one item after the other, and where each item's begin."""
+    sizes = at[which + 1] - at[which]
+    begin = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) - np.repeat(begin - at[which], sizes), begin
+
+
+def _passages(items: Items, words: np.ndarray, item: np.ndarray, diagonal: np.ndarray, leaked: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Item, first word and end of the passages of a text that may reach ``leaked``, from the hits (by item, then
+    diagonal): neighbouring diagonals make a passage, and each word of the item that it lacks takes away its match."""
+    n = len(words)
+    distinct, number = np.unique(words, return_inverse=True)
+    candidates = np.unique(item)
+    place, begin = _spread(items.at, candidates)
+    rank = np.minimum(np.searchsorted(distinct, items.flat[place]), len(distinct) - 1)
+    there = distinct[rank] == items.flat[place]
+    sizes = items.at[candidates + 1] - items.at[candidates]
+    likely = np.zeros(len(items.at) - 1, bool)
+    likely[candidates] = np.add.reduceat(there.astype(np.int64), begin) / sizes >= leaked
+    good = likely[item]
+    item, diagonal = item[good], diagonal[good]
+    if not len(item):
+        return item, item, item
+    size = items.at[item + 1] - items.at[item]
+    pad = size // 2 + 8
+    new = np.r_[True, (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > pad[1:])]
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(item)] - 1
+    of, lo = item[first], np.maximum(0, diagonal[first] - pad[first])
+    hi = np.minimum(n, diagonal[last] + size[last] + pad[last])
+    order = np.argsort(number, kind="stable")
+    where = number.ravel()[order] * (n + 1) + order  # places of each word, word after word
+    keep = np.zeros(len(of), bool)
+    for a in range(0, len(of), PASSAGES):
+        part = slice(a, a + PASSAGES)
+        place, begin = _spread(items.at, of[part])
+        sizes = items.at[of[part] + 1] - items.at[of[part]]
+        rank = np.minimum(np.searchsorted(distinct, items.flat[place]), len(distinct) - 1)
+        known = distinct[rank] == items.flat[place]
+        next_one = np.searchsorted(where, rank * (n + 1) + np.repeat(lo[part], sizes))
+        inside = known & (next_one < len(where))
+        inside &= where[np.minimum(next_one, len(where) - 1)] < rank * (n + 1) + np.repeat(hi[part], sizes)
+        keep[part] = np.add.reduceat(inside.astype(np.int64), begin) / sizes >= leaked
+    return of[keep], lo[keep], hi[keep]
 
 
 def _grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,11 +173,10 @@ def _grams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return words, at, Spans(words).hash(starts, starts + NGRAM), starts
 
 
-def _with_leaks(docs: DataFrame, items: Items, leaked: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _leaks(items: Items, leaked: float, key: str | None):
+    """Rows with their leaks; with a ``key`` only that column, and only rows that have some."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
         for batch in slices(batches):
             words, at, grams, starts = _grams(batch)
             leaks: list[list[dict]] = [[] for _ in range(batch.num_rows)]
@@ -128,19 +184,39 @@ def _with_leaks(docs: DataFrame, items: Items, leaked: float) -> DataFrame:
             rows = np.searchsorted(at, starts[some], "right") - 1
             for near in np.split(some, np.flatnonzero(np.diff(rows)) + 1) if len(some) else ():  # the hits of one text at a time
                 r = int(np.searchsorted(at, starts[near[0]], "right")) - 1
-                where, seed = items.hits(grams[near])
-                item, diagonal = items.item[seed], starts[near][where] - items.place[seed] - at[r]
-                order = np.lexsort((diagonal, item))
-                item, diagonal = item[order], diagonal[order]
-                for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
-                    k = int(item[part[0]])
-                    score, a, b, same = _best(items.words[k], words[at[r] : at[r + 1]], diagonal[part], leaked)
+                own = words[at[r] : at[r + 1]]
+                best: dict[int, tuple[float, int, int, int]] = {}
+                for k, lo, hi in _found(items, own, grams[near], starts[near] - at[r], leaked):
+                    best[k] = max(best.get(k, (0.0, 0, 0, 0)), _best(items.flat[items.at[k] : items.at[k + 1]], own, lo, hi), key=lambda x: (x[0], -x[1]))
+                for k, (score, a, b, same) in sorted(best.items()):
                     if score >= leaked:
                         leaks[r].append({"item_id": items.ids[k], "score": score, "start": a, "end": b, "n_same": same})
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32()), ("n_same", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, kind)], [*batch.schema.names, "leaks"])
-
-    return docs.mapInArrow(work, StructType([*docs.schema.fields, *StructType.fromDDL(_LEAKS).fields]))
+            if key is None:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, kind)], [*batch.schema.names, "leaks"])
+            else:
+                full = [i for i, x in enumerate(leaks) if x]
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(key)).take(pa.array(full, pa.int64())), pa.array([leaks[i] for i in full], kind)], [key, "leaks"])
+
+    return work
+
+
+def _found(items: Items, own: np.ndarray, grams: np.ndarray, starts: np.ndarray, leaked: float) -> Iterator[tuple[int, int, int]]:
+    """Passages of a text that may hold a copy, from its seeds: (item, first word, end). Very many hits are taken in parts
+    of whole items."""
+    lo, hi = np.searchsorted(items.grams, grams, "left"), np.searchsorted(items.grams, grams, "right")
+    cuts = [0, len(items.at) - 1]
+    if (hi - lo).sum() > HITS:  # items' numbers at which about equally many hits part
+        distinct = np.unique(grams)
+        sizes = np.bincount(items.item[np.concatenate([np.arange(a, b) for a, b in zip(np.searchsorted(items.grams, distinct), np.searchsorted(items.grams, distinct, "right"))])], minlength=len(items.at) - 1)
+        parts = int((hi - lo).sum()) // HITS + 1
+        cuts = np.unique(np.r_[0, np.searchsorted(np.cumsum(sizes), np.arange(1, parts) * (sizes.sum() / parts)), len(items.at) - 1]).tolist()
+    for first, last in zip(cuts, cuts[1:]):
+        where, seed = items.hits(grams, first, last)
+        item, diagonal = items.item[seed], starts[where] - items.place[seed]
+        order = np.lexsort((diagonal, item))
+        if len(order):
+            yield from zip(*(x.tolist() for x in _passages(items, own, item[order], diagonal[order], leaked)))
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, leaked: float = LEAKED, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -149,19 +225,26 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, leaked: float = LEAKED, bl
 
     Words are runs of letters and digits in lower case. Null texts hold nothing; items with fewer words than an n-gram
     have no seeds and match nothing; equal items are found each; a column named ``leaks`` is replaced and all others, as
-    well as repeated rows, pass through; an empty benchmark or corpus gives no leaks.
+    well as repeated rows, pass through; an empty benchmark or corpus gives no leaks. A benchmark beyond ``block_chars``
+    goes block by block: each block's leaks are written (rows without any are not), then joined to the documents.
     """
     docs = docs.drop("leaks").withColumn("text", F.col("text").cast("string"))
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     chars = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-chars // block_chars))
-    found = None
-    for block in range(blocks):
-        part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        items = Items.of([(r["item_id"], r["text"]) for r in part.sort("item_id", "text").collect()])
-        more = _with_leaks(docs if found is None else found.withColumnRenamed("leaks", "_leaks"), items, leaked)
-        found = more if found is None else more.withColumn("leaks", F.concat("_leaks", "leaks")).drop("_leaks")
-    return found
+
+    def block_of(number: int) -> Items:
+        part = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
+        return Items.of([(r["item_id"], r["text"]) for r in part.sort("item_id", "text").collect()])
+
+    if blocks == 1:
+        schema = StructType([*docs.schema.fields, *StructType.fromDDL(_LEAKS).fields])
+        return docs.mapInArrow(_leaks(block_of(0), leaked, None), schema)
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = [materialise(rows.select("_row", "text").mapInArrow(_leaks(block_of(k), leaked, "_row"), f"_row long, {_LEAKS}"), "leaks") for k in range(blocks)]
+    every = reduce(DataFrame.unionByName, found).groupBy("_row").agg(F.flatten(F.collect_list("leaks")).alias("leaks"))
+    none = F.array().cast(StructType.fromDDL(_LEAKS)["leaks"].dataType)
+    return rows.join(every, "_row", "left").withColumn("leaks", F.coalesce("leaks", none)).drop("_row")
 
 
 def leak_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -90,12 +90,38 @@ def test_three_untouched_words_suffice(spark):
         assert len(want) >= len(docs) and got == pytest.approx(want)
 
 
+def test_many_items_that_share_an_opening(spark, monkeypatch):
+    """5,000 items that begin alike, and a text that holds the opening 50 times: little time, and the same leaks in parts."""
+    import time
+
+    rng = random.Random(9)
+    opening = "which of the following"
+    items = [(k, f"{opening} {' '.join(f'w{rng.randrange(10**6)}' for _ in range(14))}") for k in range(5000)]
+    text = " ".join(f"{opening} {' '.join(f'v{rng.randrange(10**4)}' for _ in range(60))}" for _ in range(50))
+    text += " " + items[17][1] + " filler " + " ".join(items[40][1].split()[:14])
+    own = dc.Items.of(items)
+
+    def leaks():
+        import pyarrow as pa
+
+        batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+        began = time.perf_counter()
+        rows = next(dc._leaks(own, dc.LEAKED, None)(iter([batch]))).column(1).to_pylist()[0]
+        return [(r["item_id"], r["score"]) for r in rows], time.perf_counter() - began
+
+    found, seconds = leaks()
+    assert found == [(17, 1.0), (40, pytest.approx(14 / 18))] and seconds < 4
+    monkeypatch.setattr(dc, "HITS", 7000)
+    monkeypatch.setattr(dc, "PASSAGES", 1000)
+    assert leaks()[0] == found
+
+
 def test_blocks_change_nothing(spark, planted):
     docs, items, out = planted
     df, bench = spark.createDataFrame([(d, t, 1) for d, t in out], DOCS), spark.createDataFrame(items, ITEMS)
 
     def rows(**k):
-        return sorted((r["doc_id"], sorted(tuple(x) for x in r["leaks"])) for r in dc.with_leaks(df, bench, **k).collect())
+        return sorted((r["doc_id"], r["text"], sorted(tuple(x) for x in r["leaks"])) for r in dc.with_leaks(df, bench, **k).collect())
 
     assert rows() == rows(block_chars=3000)
 
