@@ -36,7 +36,7 @@ SMALL = 64
 BLOCK = 1024
 #: Values that a comparison of sets holds at once.
 COLUMNS = 2048
-#: Elements of sets that are hashed at once while paths are sampled.
+#: Elements of sets that are hashed at once while paths are sampled, or compared at once.
 AT_ONCE = 1_000_000
 _TOP = 2.0**64
 
@@ -200,6 +200,20 @@ def _in_common(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _tokens_in_common(sets: list[np.ndarray]) -> np.ndarray:
+    """The same for sorted tokens, however many: a range of their values at a time, so that a comparison of long texts
+    holds little more than the tokens themselves."""
+    parts = sum(map(len, sets)) // AT_ONCE + 1
+    if parts == 1:
+        return _in_common(sets)
+    bounds = [(1 << 32) * k // parts for k in range(parts + 1)]
+    cuts = [np.searchsorted(x, bounds) for x in sets]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for k in range(parts):
+        out += _in_common([x[c[k] : c[k + 1]] for x, c in zip(sets, cuts)])
+    return out
+
+
 def _candidates(block: np.ndarray | None, earlier: list[np.ndarray]) -> np.ndarray:
     """Pairs of a group that belong to it: of different blocks, if it has two, and without an earlier bucket in common."""
     pairs = _in_common(earlier) < 0.5
@@ -239,7 +253,7 @@ def _linked(table: pa.Table) -> pa.Table:
             continue
         one = i[rows[0]] == j[rows[0]]
         pairs = _candidates(None if one else block[rows], [np.array(earlier[r], np.int64) for r in rows])
-        common = np.rint(_in_common([sets[r] for r in rows])).astype(np.int64)
+        common = np.rint(_tokens_in_common([sets[r] for r in rows])).astype(np.int64)
         total = n[rows][:, None] + n[rows][None, :] - common
         pairs &= SIMILAR[1] * common >= SIMILAR[0] * total
         a, b = np.nonzero(pairs)

@@ -132,7 +132,8 @@ def pack(pieces: DataFrame, sequence_tokens: int = SEQUENCE_TOKENS) -> DataFrame
         return pd.DataFrame({"sequence_id": run[:, 3] + nth // run[:, 4], "offset": run[:, 5] + nth % run[:, 4] * length})
 
     keys = per_task.select(F.col("task").alias("_task"), F.col("length").alias("_length"), F.col("before").alias("_before"))
-    ranked = pieces.join(keys, (pieces["task"] == keys["_task"]) & (pieces["length"] == keys["_length"]))
+    # a merge join: the table of counts grows with the tasks, so it is never sent to all of them
+    ranked = pieces.join(keys.hint("merge"), (pieces["task"] == keys["_task"]) & (pieces["length"] == keys["_length"]))
     placed = ranked.withColumn("_place", place(F.col("length"), F.col("nth") + F.col("_before")))
     kept = [F.col(c) for c in pieces.columns if c not in ("task", "nth")]
     return placed.select(*kept, F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))

@@ -99,3 +99,18 @@ def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (4, 5), (5, 6), (7, 6), (20, 20)]
     got = {r["node"]: r["label"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 1 for k in range(1, 8)}, 10: 10, 11: 10}
+
+
+def test_long_sets_are_compared_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 2**32, 6000, dtype=np.uint32)
+    sets = [np.unique(np.r_[common, rng.integers(0, 2**32, 2000 + k, dtype=np.uint32)]) for k in range(500)]
+    tracemalloc.start()
+    got = jaccard._tokens_in_common(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # 4,000,000 tokens
+    for a, b in ((0, 1), (3, 490), (77, 78)):
+        assert got[a, b] == len(np.intersect1d(sets[a], sets[b]))
