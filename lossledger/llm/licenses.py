@@ -107,8 +107,8 @@ class Template:
     @property
     def least(self) -> float:
         """The least similarity of a window with a copy that holds ``CONTAINED`` of the shingles."""
-        common = CONTAINED * len(self.shingles)
-        return common / (self.block * self.blocks + len(self.shingles) - common) if self.block > 1 else CONTAINED * len(self.shingles) / (self.blocks + (1 - CONTAINED) * len(self.shingles))
+        common = math.ceil(CONTAINED * len(self.shingles) - 1e-9)
+        return common / (self.block * self.blocks + len(self.shingles) - common)
 
 
 @dataclass
@@ -127,11 +127,11 @@ class Index:
                 out.append(Template(name, int(size), np.unique(own), len(own)))
         return cls(out)
 
-    def classes(self) -> dict[tuple[int, int, int], list[int]]:
-        """Templates by what their windows have in common: words in a shingle, shingles in a block, blocks."""
-        out: dict[tuple[int, int, int], list[int]] = {}
+    def classes(self) -> dict[tuple[int, int], dict[int, list[int]]]:
+        """Templates by what their windows have in common: words in a shingle and shingles in a block, then blocks."""
+        out: dict[tuple[int, int], dict[int, list[int]]] = {}
         for k, t in enumerate(self.templates):
-            out.setdefault((t.size, t.block, t.blocks), []).append(k)
+            out.setdefault((t.size, t.block), {}).setdefault(t.blocks, []).append(k)
         return out
 
 
@@ -141,9 +141,9 @@ def _order(hashes: np.ndarray, band: int) -> np.ndarray:
 
 
 def _retrieved(index: Index, hashes: dict[int, tuple[np.ndarray, np.ndarray]], n_rows: int) -> set[tuple[int, int]]:
-    """(row, template) of which a window and the template agree in a band."""
+    """(row, template) of which a window and the template agree in a band. Windows of more blocks grow from those of fewer."""
     out: set[tuple[int, int]] = set()
-    for (size, block, blocks), members in index.classes().items():
+    for (size, block), widths in index.classes().items():
         own, own_row = hashes[size]
         if not len(own):
             continue
@@ -155,21 +155,23 @@ def _retrieved(index: Index, hashes: dict[int, tuple[np.ndarray, np.ndarray]], n
         total = int(in_blocks.sum())
         block_row = np.repeat(np.arange(n_rows), in_blocks)
         cells = np.full(total * block, np.iinfo(np.uint64).max, np.uint64)
-        bands = bands_for(min(index.templates[k].least for k in members))
-        for band in range(bands):
+        bands = {w: bands_for(min(index.templates[k].least for k in members)) for w, members in widths.items()}
+        for band in range(max(bands.values())):
             cells[slot] = _order(own, band)
             low = cells.reshape(total, block).min(1) if block > 1 else cells.copy()
-            window = low.copy()
-            for k in range(1, min(blocks, total)):  # windows end with their row: later blocks count only in the same one
-                same = block_row[k:] == block_row[:-k]
-                window[: total - k] = np.where(same, np.minimum(window[: total - k], low[k:]), window[: total - k])
-            keys = {}
-            for k in members:
-                keys.setdefault(int(_order(index.templates[k].shingles, band).min()), []).append(k)
-            sorted_keys = np.array(sorted(keys), np.uint64)
-            at = np.minimum(np.searchsorted(sorted_keys, window), len(sorted_keys) - 1)
-            for w in np.flatnonzero(sorted_keys[at] == window):
-                out.update((int(block_row[w]), k) for k in keys[int(window[w])])
+            window, reach = low.copy(), 1
+            for width in sorted(w for w in widths if band < bands[w]):
+                while reach < min(width, total):  # windows end with their row: later blocks count only in the same one
+                    same = block_row[reach:] == block_row[:-reach]
+                    np.minimum(window[: total - reach], low[reach:], out=window[: total - reach], where=same)
+                    reach += 1
+                keys: dict[int, list[int]] = {}
+                for k in widths[width]:
+                    keys.setdefault(int(_order(index.templates[k].shingles, band).min()), []).append(k)
+                sorted_keys = np.array(sorted(keys), np.uint64)
+                at = np.minimum(np.searchsorted(sorted_keys, window), len(sorted_keys) - 1)
+                for w in np.flatnonzero(sorted_keys[at] == window):
+                    out.update((int(block_row[w]), k) for k in keys[int(window[w])])
     return out
 
 
