@@ -36,8 +36,8 @@ SMALL = 64
 BLOCK = 1024
 #: Values that a comparison of sets holds at once.
 COLUMNS = 2048
-#: Elements of sets that are hashed at once while paths are sampled, or compared at once.
-AT_ONCE = 1_000_000
+#: Elements of sets that are hashed at once while paths are sampled (few enough to stay in a core's cache), or compared at once.
+SAMPLED, AT_ONCE = 1 << 16, 1_000_000
 _TOP = 2.0**64
 
 
@@ -86,7 +86,7 @@ def _sampled(hashes: np.ndarray, at: np.ndarray, runs: int) -> list[tuple[np.nda
         row = levels[-1][0]
         nth = np.arange(len(row)) - np.searchsorted(row, row)  # of the path in its row
         done, n = [], np.cumsum(sizes[row])
-        cuts = np.unique(np.r_[0, np.searchsorted(n, np.arange(AT_ONCE, n[-1] if len(n) else 0, AT_ONCE)), len(row)])
+        cuts = np.unique(np.r_[0, np.searchsorted(n, np.arange(SAMPLED, n[-1] if len(n) else 0, SAMPLED)), len(row)])
         for a, b in zip(cuts[:-1], cuts[1:]):
             size = sizes[row[a:b]]
             path = np.repeat(np.arange(a, b), size)
