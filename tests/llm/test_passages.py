@@ -68,6 +68,15 @@ def test_nulls_and_repeated_ids(spark):
     assert sorted((str(d), n, k) for d, n, k, _ in rows) == [("5", 25, 25), ("5", 25, 25), ("None", 1, 0), ("None", 25, 0)]
 
 
+def test_texts_of_one_id_come_in_their_order(spark):
+    line = " ".join(f"w{i}" for i in range(25))
+    start = "the same beginning of more than sixty-four bytes, so that rows share a range "
+    docs = [(d, f"{head}{x} {line} {d}") for d in (None, 5, 6, 7, 8) for x in ("b", "a", "c") for head in ("", start)]
+    want = plain(sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode())))
+    assert Counter(got(spark, docs)) == Counter(want)
+    assert sum(n == 0 for _, _, n, _ in want) == 1
+
+
 def test_packing_round_trip():
     a, b, c, d = np.array([5, 2**63 + 1], np.uint64), np.array([-7, 9], np.int64), np.array([3, -4], np.int32), np.array([1, 0], np.uint8)
     for x, y in zip((a, b, c, d), an.unpack(an.pack(a, b, c, d))):
