@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Arrow batches are worked on in slices of about so many bytes of text; one longer text is a slice of its own.
 SLICE_BYTES = 2_000_000
+#: For work that holds many numbers for each byte and gains nothing from larger slices.
+SHORT_SLICE = 500_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: What parts words once a text is in lower case: all ASCII but letters and digits.

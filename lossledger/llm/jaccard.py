@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.llm import anchors as an
-from lossledger.llm.columns import flat, slices, word_spans
+from lossledger.llm.columns import SHORT_SLICE, flat, slices, word_spans
 from lossledger.llm.hashing import Spans, mix
 from lossledger.sources.tables import materialise
 
@@ -110,7 +110,7 @@ def _lists(row: np.ndarray, values: np.ndarray, n: int, kind) -> pa.Array:
 
 def _paths(texts: DataFrame, runs: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SHORT_SLICE):
             hashes, at = shingle_sets(batch.column(2))
             keys = [Spans(hashes, lane).hash(at[:-1], at[1:]).astype(np.int64) for lane in (0, 1)]
             columns = [batch.column(0), batch.column(1), pa.array(np.diff(at), pa.int32()), *map(pa.array, keys)]
@@ -300,7 +300,7 @@ def _tokens(rows: DataFrame) -> DataFrame:
     """A row for each group a set is needed in, with the set's tokens (the upper half of its shingles' hashes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SHORT_SLICE):
             hashes, at = shingle_sets(batch.column(batch.schema.get_field_index("text")))
             tokens = (hashes >> np.uint64(32)).astype("<u4")
             sets = pa.array([tokens[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
