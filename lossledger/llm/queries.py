@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import decontamination, grace, jaccard, language, licenses, line_rules, packing, passages, pseudonyms, ranked_search, repeats, token_files, whitening
+from lossledger.llm import decontamination, grace, jaccard, language, licenses, line_rules, packing, passages, pseudonyms, ranked_search, repeat_groups, repeats, token_files, whitening
 from lossledger.sources.tables import read_table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.without_repeats(read_table(spark, sf, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query("op3b_repeat_groups")
+def op3b(spark: SparkSession, sf: str) -> DataFrame:
+    return repeat_groups.repeat_groups(read_table(spark, sf, "documents"))
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(read_table(spark, sf, "documents").select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score", "entropy", "n_grams", "rejected")

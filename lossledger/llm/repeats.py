@@ -155,13 +155,11 @@ class Extents:
         self.suffix = order
         self.left = [0] * len(before)
         self.right = [0] * len(before)
-        self.groups: set[tuple[int, int, tuple[int, ...]]] | None = None
 
     def join(self, a: list[int], b: list[int], depth: int) -> list[int]:
         """Two child intervals meet in one whose suffixes share ``depth`` bytes. Their suffixes are ordered by what
         precedes them; where neighbours of different children differ on the left, a repeat is maximal to both sides."""
         large, small = (a, b) if len(a) >= len(b) else (b, a)
-        met = set()
         for rank in small:
             k = bisect_left(large, rank)
             for other in large[max(0, k - 1) : k + 1]:
@@ -170,22 +168,10 @@ class Extents:
                 if left + depth >= WINDOW:
                     for x in (i, j):
                         self.left[x], self.right[x] = max(self.left[x], left), max(self.right[x], depth)
-                    met.add((left, rank))
         for rank in small:
             insort(large, rank)
-        if self.groups is not None:
-            self.groups.update((left, depth, self.alike(large, bisect_left(large, rank), left)) for left, rank in met)
         return large
 
-    def alike(self, ranks: list[int], at: int, left: int) -> tuple[int, ...]:
-        """All suffixes of an interval that share ``left`` bytes before the anchor with the one at ``at``."""
-        own, a, b = self.before[self.suffix[ranks[at]]], at, at + 1
-        while a and _common(own, self.before[self.suffix[ranks[a - 1]]]) >= left:
-            a -= 1
-        while b < len(ranks) and _common(own, self.before[self.suffix[ranks[b]]]) >= left:
-            b += 1
-        return tuple(self.suffix[r] for r in ranks[a:b])
-
     def scan(self, common: list[int]) -> None:
         """Stack scan over the common prefixes of neighbours in suffix order; ``common[i]`` is that of i - 1 and i."""
         stack = [(0, [self.rank[0]])]
@@ -199,51 +185,6 @@ class Extents:
                 stack.append((depth, [self.rank[i]]))
 
 
-def repeat_groups(docs: DataFrame) -> DataFrame:
-    """Maximal repeats with all their occurrences: repeat (SHA-1 of its bytes), length, capped, doc_id, start.
-
-    A row is an occurrence of a string of 200 bytes or more that stands at two places at least and can't be longer to
-    either side for all of them. Strings are seen within the surroundings of an anchor (128 bytes before it, 200 from it
-    on); ``capped`` ones end there, and longer repeats come as overlapping pieces, one for each anchor. All occurrences
-    of every nested repeat are listed, so the table can be much larger than the text; the removal above needs only how
-    far each occurrence extends and never makes it.
-    """
-    texts, size = an.numbered(docs)
-    buckets = an.buckets_for(size, an.ANCHOR_BUCKET // 8)
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, at = flat(batch.column(1))
-            own, row, spans = anchors_of(data, at)
-            row = row[own]
-            low, high = np.maximum(at[row], own - LEFT), np.minimum(at[row + 1], own + WINDOW)
-            key = spans.hash(own, own + ANCHOR)
-            yield an.table_of(an.by_bucket((key % np.uint64(buckets)).astype(np.int64), key, batch.column(0).to_numpy()[row].astype(np.int64), (own - at[row]).astype(np.int32), _contexts(data, own, low, high)))
-
-    def group(table: pa.Table) -> pa.Table:
-        key, ids, place, context = an.gather(table["payload"], 4)
-        context = context.reshape(-1, LEFT + WINDOW)
-        before, after = np.ascontiguousarray(context[:, LEFT - 1 :: -1]), np.ascontiguousarray(context[:, LEFT:])
-        order = np.lexsort((after.view(f"S{WINDOW}").ravel(), key))
-        out: list[list] = [[], [], [], [], []]
-        for part in np.split(order, np.flatnonzero(np.diff(key[order].astype(np.int64))) + 1):
-            found = Extents(before[part])
-            found.groups = set()
-            found.scan([0, *(_common(after[a], after[b]) for a, b in zip(part[:-1], part[1:]))])
-            for left, right, members in found.groups:
-                text = (context[part[members[0]], LEFT - left : LEFT + right] - np.uint8(1)).tobytes()
-                name, capped = hashlib.sha1(text).hexdigest(), left == LEFT or right == WINDOW
-                for m in members:
-                    for column, value in zip(out, (name, left + right, capped, ids[part[m]], place[part[m]] - left)):
-                        column.append(value)
-        kinds = [pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
-        return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], ["repeat", "length", "capped", "id", "start"])
-
-    rows = texts.select("id", "text").mapInArrow(suffixes, an.PACKED).groupBy("bucket").applyInArrow(group, "repeat string, length int, capped boolean, id long, start int")
-    rows = rows.groupBy("repeat", "length", "id", "start").agg(F.min("capped").alias("capped"))
-    return rows.join(texts.select("id", "doc_id"), "id").select("repeat", "length", "capped", "doc_id", "start")
-
-
 def _contexts(data: np.ndarray, here: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The bytes around each anchor, aligned at it and raised by one: 0 is beyond the text, which has no byte 255."""
     out = np.zeros((len(here), LEFT + WINDOW), np.uint8)
@@ -338,6 +279,17 @@ def _remove(ids, doc_ids, texts, payloads) -> pa.Table:
     return pa.table(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
 
+def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The numbered texts, what of them lies in a string that stands anywhere else too (packed for the texts' buckets),
+    and the number of those buckets."""
+    texts, size = an.numbered(docs)
+    buckets, text_buckets = an.buckets_for(size, an.ANCHOR_BUCKET), an.buckets_for(size, an.TEXT_BUCKET)
+    met = an.grouped(_anchors(texts, buckets, text_buckets), lambda p, _: an.meet(p, text_buckets, both=True))
+    around = an.with_texts(texts, met, text_buckets, _surroundings(buckets, text_buckets), an.PACKED)
+    extended = an.grouped(around, _sorted_suffixes(buckets, text_buckets))
+    return texts, an.grouped(extended, lambda p, _, work=_equal_windows(text_buckets): work(p)), text_buckets
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed runs of bytes: start, end) and kept.
 
@@ -346,10 +298,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     bytes; null is empty; texts below 200 bytes keep all. Equal rows are occurrences of each other, whatever their
     doc_id, and null doc_ids stay null. Other columns are ignored; an empty table gives an empty one.
     """
-    texts, size = an.numbered(docs)
-    buckets, text_buckets = an.buckets_for(size, an.ANCHOR_BUCKET), an.buckets_for(size, an.TEXT_BUCKET)
-    met = an.grouped(_anchors(texts, buckets, text_buckets), lambda p, _: an.meet(p, text_buckets, both=True))
-    around = an.with_texts(texts, met, text_buckets, _surroundings(buckets, text_buckets), an.PACKED)
-    extended = an.grouped(around, _sorted_suffixes(buckets, text_buckets))
-    equal = an.grouped(extended, lambda p, _, work=_equal_windows(text_buckets): work(p))
+    texts, equal, text_buckets = covered(docs)
     return an.with_texts(texts, equal, text_buckets, _remove, RESULT)

@@ -95,29 +95,3 @@ def test_equal_windows_share_an_anchor():
     for a, b in ((300, 900), (0, 1300)):
         for s in range(0, 200, 7):
             assert {p - a for p in own if a + s <= p <= a + s + repeats.LEFT} & {p - b for p in own if b + s <= p <= b + s + repeats.LEFT}
-
-
-def test_groups_list_all_occurrences(spark):
-    rng = random.Random(8)
-
-    def noise(n):
-        return "".join(rng.choice("abcdefghij ") for _ in range(n))
-
-    shared, longer = noise(200), noise(260)
-    docs = [(1, noise(90) + shared + noise(40)), (2, noise(7) + shared + noise(300)), (3, shared), (4, noise(50) + longer), (5, longer + noise(9) + longer), (6, noise(500))]
-    rows = repeats.repeat_groups(spark.createDataFrame([(d, t, 1, 2) for d, t in docs], SCHEMA)).collect()
-    texts, by = {d: t.encode() for d, t in docs}, defaultdict(set)
-    for r in rows:
-        by[r["repeat"], r["length"], r["capped"]].add((r["doc_id"], r["start"]))
-    for (name, length, capped), places in by.items():
-        found = {texts[d][s : s + length] for d, s in places}
-        assert len(found) == 1 and len(places) > 1 and hashlib.sha1(found.copy().pop()).hexdigest() == name
-        string = found.pop()
-        assert places == {(d, s) for d, t in texts.items() for s in range(len(t)) if t[s : s + length] == string}
-        if not capped:
-            ends = [(texts[d][s - 1 : s] if s else d, texts[d][s + length : s + length + 1] or -d) for d, s in places]
-            assert len({a for a, _ in ends}) > 1 and len({b for _, b in ends}) > 1
-    assert any(p == {(1, 90), (2, 7), (3, 0)} for (_, n, _), p in by.items() if n == 200)
-    covered = {(d, i) for (_, n, _), p in by.items() for d, s in p for i in range(s, s + n)}
-    want = {r[0]: r[2] for r in plain(docs)}
-    assert Counter(d for d, _ in covered) == Counter({d: n for d, n in want.items() if n})
