@@ -5,7 +5,7 @@ counts. A model is a set of sorted arrays of n-gram hashes, one per order, with
 language, and the weights with which each context backs off. Models that are too large to share with every task are tables
 instead, to which the n-grams of the texts are joined; either way all counts are kept and a text gets the same answer. A
 text is scored by its cross-entropy per symbol under each language; the lowest wins. The text is rejected if even that is far above what texts of that language and length have,
-by a calibration on labelled rows.
+by a calibration on all labelled rows.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ BITS = 12  # of a symbol
 UNKNOWN = "und"
 #: Log-probabilities (n-grams x languages, four at least) that are shared with every task; larger models are joined as tables.
 SHARED_VALUES = 4_000_000
-#: Labelled rows on which the rejection is calibrated, about.
-CALIBRATION_ROWS = 20_000
+#: Steps in which cross-entropies are summed for the calibration.
+STEP = 2.0**-20
 #: Standard deviations above the mean cross-entropy of texts of that language and length.
 REJECT_BEYOND = 8.0
 #: Log-probabilities are multiples of this: sums of them are exact in doubles, so neither the order of rows nor the way a
@@ -406,20 +406,21 @@ def _predict_joined(plain: DataFrame, models: ModelTables, result: StructType) -
     return rows.join(summed, "_row").mapInArrow(answer, result)
 
 
-def calibrate(docs: DataFrame, models: LanguageModels | ModelTables, rows: int = CALIBRATION_ROWS) -> dict[tuple[str, int], float]:
-    """The highest cross-entropy that is accepted, by language and length class (log2 of the n-grams), from about
-    ``rows`` training rows taken by their hash, as many from each language and length, and one of each at least."""
+def calibrate(docs: DataFrame, models: LanguageModels | ModelTables) -> dict[tuple[str, int], float]:
+    """The highest cross-entropy that is accepted, by language and length class (log2 of the n-grams), from all training
+    rows that are recognised. Cross-entropies are summed as whole steps of ``STEP``, so the order of rows changes no bound."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    size = F.floor(F.log2(F.greatest(F.length(F.col("text").cast("string")), F.lit(1)))).cast("int")
-    labelled = labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), "text", size.alias("_size"), F.xxhash64("doc_id", "text").alias("_at"))
-    classes = labelled.groupBy("lang", "_size").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_least")).collect()  # at most 32 rows per language
-    each = max(1, rows // max(1, len(classes)))
-    taken = docs.sparkSession.createDataFrame([(r["lang"], r["_size"], max(1, r["n"] // each), r["_least"]) for r in classes], "lang string, _size int, _every long, _least long")
-    sample = labelled.join(F.broadcast(taken), ["lang", "_size"]).where((F.pmod("_at", "_every") == 0) | (F.col("_at") == F.col("_least"))).select("doc_id", "lang", "text")
-    scored = predict(sample, models).where("n_grams > 0 AND lang = lang_pred")
-    stats = scored.groupBy("lang", F.floor(F.log2("n_grams")).cast("int").alias("size")).agg(F.avg("entropy").alias("m"), F.coalesce(F.stddev_pop("entropy"), F.lit(0.0)).alias("s"), F.count(F.lit(1)).alias("n"))
-    # a class with few rows leaves more room; a row per language and power of two
-    return {(r["lang"], r["size"]): r["m"] + REJECT_BEYOND * max(r["s"], 0.05) + 2.0 / math.sqrt(r["n"]) for r in stats.collect()}
+    labelled = labelled.select(F.col("lang").cast("string").alias("lang"), "text")
+    scored = predict(labelled, models).where("n_grams > 0 AND lang = lang_pred")
+    steps = F.rint(F.col("entropy") / F.lit(STEP)).cast("decimal(18,0)")
+    stats = scored.groupBy("lang", F.floor(F.log2("n_grams")).cast("int").alias("size")).agg(F.sum(steps).alias("m"), F.sum(steps * steps).alias("s"), F.count(F.lit(1)).alias("n"))
+    bounds = {}
+    for r in stats.collect():  # a row per language and power of two
+        n, total, squares = r["n"], int(r["m"]), int(r["s"])
+        deviation = math.sqrt(n * squares - total * total) / n * STEP
+        # a class with few rows leaves more room
+        bounds[r["lang"], r["size"]] = total / n * STEP + REJECT_BEYOND * max(deviation, 0.05) + 2.0 / math.sqrt(n)
+    return bounds
 
 
 def identify(docs: DataFrame, model_rows: DataFrame | None = None) -> DataFrame:

@@ -110,3 +110,21 @@ def test_a_rare_language_stays_beside_a_large_one(spark):
     got = {r["doc_id"]: r for r in language.identify(docs).collect()}
     assert len(got) == 17 and got[200]["lang_pred"] == "eo" and not got[200]["rejected"]
     assert all(got[d]["lang_pred"] == g for d, _, g in rare)
+
+
+def test_bounds_come_from_all_training_rows(spark):
+    """Forty languages with a text each and one with 1,500: none of its rows is left out of its classes."""
+    rng = np.random.default_rng(3)
+    rows = [(i, f"l{i}", " ".join(chr(0x400 + 5 * i + j) * 3 for j in range(5))) for i in range(40)]
+    rows += [(100 + i, "many", " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(10))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    models = language.fit(docs)
+    kept = [t for i, g, t in rows if g == "many" and zlib.crc32(str(i).encode()) % 5]
+    entropy, n = models.entropies(kept)
+    j = models.languages.index("many")
+    entropy, size = entropy[entropy.argmin(1) == j, j], np.floor(np.log2(n[entropy.argmin(1) == j])).astype(int)
+    bounds = language.calibrate(docs, models)
+    for k in set(size.tolist()):
+        own = entropy[size == k]
+        bound = own.mean() + language.REJECT_BEYOND * max(own.std(), 0.05) + 2 / np.sqrt(len(own))
+        assert bounds["many", k] == pytest.approx(bound, abs=1e-5)
