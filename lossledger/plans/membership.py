@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lossledger.functions.rules import OPEN_END, json_text, least_of, local_date, size_band
 from lossledger.operators.aggregates import distinct_array
+from lossledger.operators.joins import join_role
 from lossledger.operators.ordered import join_summary, with_key_aggregate
 from lossledger.sources.tables import materialise
 
@@ -89,23 +90,34 @@ def cancellations(plans: DataFrame, amendments: DataFrame, reasons: DataFrame) -
     )
 
 
-def live_plans(plans: DataFrame) -> DataFrame:
+def live_plans(plans: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Plans in force as records: not deleted, beside a live renewal's id. A plan all of whose renewal records are
-    deleted is left out. Renewals are reduced to one row per plan first, so a plan stays one row."""
+    deleted is left out. Renewals are reduced to one row per plan first, so a plan stays one row. ``rows`` are the plans
+    with other columns, where those are joined first (by default ``plans`` as they are)."""
     renewals = plans.where(F.col("previous_health_plan_id").isNotNull()).groupBy(F.col("previous_health_plan_id").alias("_prev"))
     renewals = renewals.agg(F.min(F.when(F.col("deleted").isNull(), F.col("id"))).alias("renewal_id"))
-    live = plans.where(F.col("deleted").isNull()).join(renewals, F.col("_prev") == F.col("id"), "left")
+    live = (plans if rows is None else rows).where(F.col("deleted").isNull()).join(renewals, F.col("_prev") == F.col("id"), "left")
     return live.where(F.col("_prev").isNull() | F.col("renewal_id").isNotNull()).drop("_prev")
 
 
+def business_owners(admins: DataFrame, businesses: DataFrame) -> DataFrame:
+    """(owner, business_id, business_name) of each owner of a business."""
+    names = businesses.select(F.col("id").alias("_b"), F.trim(F.coalesce("common_name", "legal_name")).alias("business_name"))
+    owners = admins.where(F.col("role") == OWNER_ROLE).select(F.col("user_id").alias("owner"), "business_id")
+    return owners.distinct().join(names, F.col("_b") == F.col("business_id"), "left").drop("_b")
+
+
+def with_owner(plans: DataFrame, owners: DataFrame) -> DataFrame:
+    """Adds what is known of the owner (all columns but ``owner``) to business-owned plans. Other plans have no owner to
+    meet: they are spread, where a plain join would gather them in one task."""
+    columns = {c: c for c in owners.columns if c != "owner"}
+    return join_role(plans, owners, "owner_user_id", "owner", columns, when=F.col("is_owned_by_business"))
+
+
 def with_business(plans: DataFrame, admins: DataFrame, businesses: DataFrame) -> DataFrame:
     """Adds business_id and business_name of the owner, for business-owned plans. Owners and names are joined first,
     so the plans are joined once."""
-    names = businesses.select(F.col("id").alias("_b"), F.trim(F.coalesce("common_name", "legal_name")).alias("business_name"))
-    owners = admins.where(F.col("role") == OWNER_ROLE).select(F.col("user_id").alias("_owner"), "business_id")
-    owners = owners.distinct().join(names, F.col("_b") == F.col("business_id"), "left").drop("_b")
-    key = F.when(F.col("is_owned_by_business"), F.col("owner_user_id"))
-    return plans.withColumn("_key", key).join(owners, F.col("_key") == F.col("_owner"), "left").drop("_key", "_owner")
+    return with_owner(plans, business_owners(admins, businesses))
 
 
 def business_members(t: Tables, as_of: dt.date, internal_inverted: bool = False) -> DataFrame:

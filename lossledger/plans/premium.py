@@ -18,17 +18,18 @@ from lossledger.functions.rules import (
     title_text,
     trunc_digits,
 )
-from lossledger.operators.joins import join_member_of
+from lossledger.operators.joins import join_member_of, join_role
 from lossledger.plans.membership import (
     APPROVED,
     CANCELLING_CATEGORIES,
     INACTIVE,
     RENEWED,
     Tables,
+    business_owners,
     cancellations,
     group_size_report,
     live_plans,
-    with_business,
+    with_owner,
 )
 from lossledger.sources.tables import materialise
 
@@ -100,34 +101,49 @@ def ceded(category_in_scope: Column, product_family: Column, listed_plan: Column
     return F.when(out, False).otherwise(True)
 
 
-def insured_amount(product_family: Column, parameters: Column) -> Column:
+def insured_millions(parameters: Column) -> Column:
     cents = json_text(parameters, "maximumCoverageCents").cast("decimal(24,2)")
-    millions = F.round(cents / F.lit(100_000_000), 1).cast("double")
+    return F.round(cents / F.lit(100_000_000), 1).cast("double")
+
+
+def insured_amount(product_family: Column, millions: Column) -> Column:
     return F.when(product_family == SMALL_PRODUCT, SMALL_INSURED).otherwise(F.concat(number_text(millions), F.lit("M")))
 
 
+def plan_lookups(t: Tables, group_sizes: DataFrame) -> DataFrame:
+    """Plans that are not deleted, cut to what the report needs, with their member, product and owner. These lookups have
+    keys of their own; plans without such a key are spread, and business and group are put beside the owner first."""
+    member = t["member"].select("id", "date_of_birth", "gender")
+    sizes = group_sizes.select("business_ids", "business_group", F.col("max_simultaneous_members_range").alias("business_group_size"))
+    owners = join_member_of(business_owners(t["business_admin"], t["business"]), "business_id", sizes, "business_ids").drop("business_ids")
+    plans = t["healthplan"].where(F.col("deleted").isNull()).select(
+        "id", "deleted", "uuid", "state", "inactive_reason", "subscription_type", "product_id", "beneficiary_member_id", "owner_user_id", "is_owned_by_business",
+        F.col("collective_health_plan_id").isNotNull().alias("is_collective"),
+        *[local_date(F.col(source)).alias(name) for name, source in (("_signed", "signed_at"), ("_since", "valid_since"), ("_through", "valid_through"))],
+        insured_millions(F.col("product_parameters_values")).alias("_millions"),
+        discount_share(F.col("product_parameters_values")).alias("_discount_share"),
+    )
+    # Only products that some plan has: those are few, however long the list is.
+    sold = t["product"].join(plans.select(F.col("product_id").alias("id")).distinct(), "id", "left_semi")
+    rows = join_role(plans, sold, "product_id", "id", {"product_family": "product_family"})
+    rows = rows.withColumn("_millions", insured_amount(F.col("product_family"), F.col("_millions"))).withColumnRenamed("_millions", "insured_amount")
+    rows = join_role(rows, member, "beneficiary_member_id", "id", {"date_of_birth": "date_of_birth", "gender": "gender"})
+    return with_owner(rows, owners).drop("owner_user_id")
+
+
 def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: str = "skip") -> DataFrame:
     """One row per live plan with member, product, owner and exposure attributes. Each lookup has one row per key, so
-    no DISTINCT over the wide rows is needed (several owners, reasons or groups of a plan do give several rows)."""
+    no DISTINCT over the wide rows is needed (several owners, reasons or groups of a plan do give several rows). What
+    has the plan's own key is joined last, renewals, cancellations and amendments after one another, in one shuffle."""
     today = F.lit(as_of)
     canc = cancellations(t["healthplan"], t["amendment"], t["cancel_reason"]).select(
-        F.col("healthplan_id").alias("_hp"), F.col("cancelled_at").alias("_cancelled_at"), F.col("cancel_reason").alias("_reason")
+        F.col("healthplan_id").alias("_hp"), local_date(F.col("cancelled_at")).alias("_cancelled"), F.col("cancel_reason").alias("_reason")
     )
-    member = t["member"].select(F.col("id").alias("beneficiary_member_id"), "date_of_birth", "gender")
-    product = t["product"].select(F.col("id").alias("product_id"), "product_family")
     internal = t["internal_plan"].select(F.col("internal").alias("_internal")).distinct()
-    sizes = group_sizes.select("business_ids", "business_group", F.col("max_simultaneous_members_range").alias("business_group_size"))
-
-    rows = with_business(live_plans(t["healthplan"]), t["business_admin"], t["business"])
+    rows = live_plans(t["healthplan"], plan_lookups(t, group_sizes))
     rows = rows.join(canc, F.col("_hp") == F.col("id"), "left")
     rows = rows.join(internal, F.col("_internal") == F.col("id"), "left")
-    rows = rows.join(member, "beneficiary_member_id", "left").join(product, "product_id", "left")
-    rows = join_member_of(rows, "business_id", sizes, "business_ids")
-
-    # Dates that several columns use are computed once.
-    days = {"_signed": "signed_at", "_since": "valid_since", "_through": "valid_through", "_cancelled": "_cancelled_at"}
-    rows = rows.withColumns({name: local_date(F.col(source)) for name, source in days.items()})
-    signed, since, through, cancelled = (F.col(name) for name in days)
+    signed, since, through, cancelled = (F.col(name) for name in ("_signed", "_since", "_through", "_cancelled"))
     expired = today > through
     so_far, share = exposure_days(since, through, cancelled, today, null_policy)
     reason = F.coalesce(
@@ -146,11 +162,11 @@ def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: st
         "business_name",
         "business_group",
         "business_group_size",
-        F.col("collective_health_plan_id").isNotNull().alias("is_collective"),
+        "is_collective",
         F.col("beneficiary_member_id").alias("member_id"),
-        insured_amount(F.col("product_family"), F.col("product_parameters_values")).alias("insured_amount"),
+        "insured_amount",
         signed.alias("subscription_date"),
-        F.when(expired | F.col("_cancelled_at").isNotNull(), F.coalesce(cancelled, through)).alias("cancelation_date"),
+        F.when(expired | cancelled.isNotNull(), F.coalesce(cancelled, through)).alias("cancelation_date"),
         reason.alias("cancel_reason"),
         so_far.alias("healthplan_vigour_days_so_far"),
         share.alias("healthplan_vigour_days_so_far_prop"),
@@ -159,17 +175,25 @@ def plan_base(t: Tables, as_of: dt.date, group_sizes: DataFrame, null_policy: st
         "subscription_type",
         date_diff(signed, F.to_date("date_of_birth", "yyyy-MM-dd"), "YEAR").alias("age_at_subscription"),
         "gender",
-        discount_share(F.col("product_parameters_values")).alias("_discount_share"),
+        "_discount_share",
     )
 
 
+def listed_plans(plans: DataFrame, listed: DataFrame) -> DataFrame:
+    """(healthplan_id, uuids) of the plans whose uuid is listed, so that reports meet the list by the plan's key."""
+    names = listed.select(F.col("healthplan_uuid").alias("uuid")).distinct()
+    found = plans.where(F.col("id").isNotNull()).select("id", "uuid").join(names, "uuid")
+    return found.groupBy(F.col("id").alias("_plan")).agg(F.collect_set("uuid").alias("_listed"))
+
+
 def premium_report(t: Tables, as_of: dt.date, group_sizes: DataFrame | None = None, null_policy: str = "skip") -> DataFrame:
     """One row per plan and premium amendment (a plan without one keeps a row of NULL amounts)."""
     sizes = materialise(group_size_report(t, as_of), "group_sizes") if group_sizes is None else group_sizes
-    listed = t["non_ceded_plan"].select(F.col("healthplan_uuid").alias("_listed")).distinct()
+    listed = listed_plans(t["healthplan"], t["non_ceded_plan"])
     rows = plan_base(t, as_of, sizes, null_policy)
     rows = rows.join(amendment_facts(t["amendment"], t["amendment_code"]), "healthplan_id", "left")
-    rows = rows.join(listed, F.col("_listed") == F.col("uuid"), "left")
+    rows = rows.join(listed, F.col("_plan") == F.col("healthplan_id"), "left")
+    is_listed = F.coalesce(F.array_contains("_listed", F.col("uuid")), F.lit(False))
     ended = F.coalesce("amendment_cancelation_date", "cancelation_date")
     so_far, share = exposure_days(F.col("amendment_valid_since"), F.col("amendment_valid_through"), ended, F.lit(as_of), null_policy)
     applied, gross, discount = discount_backout(F.col("net_premium"), F.col("amendment_category"), F.col("_discount_share"))
@@ -179,14 +203,14 @@ def premium_report(t: Tables, as_of: dt.date, group_sizes: DataFrame | None = No
             "amendment_vigour_days_so_far": so_far,
             "amendment_vigour_days_so_far_prop": share,
             "reinsurance_participates": F.when(
-                has_amendment, ceded(F.col("amendment_category").isin(*DISCOUNTED), F.col("product_family"), F.col("_listed").isNotNull())
+                has_amendment, ceded(F.col("amendment_category").isin(*DISCOUNTED), F.col("product_family"), is_listed)
             ).otherwise(True),
             "discountpercent": F.coalesce(applied, F.lit(0).cast("decimal(28,4)")),
             "net_premium_before_discount": gross,
             "discount": F.coalesce(discount, F.lit(0).cast("decimal(18,2)")),
             "amendment_cancelation_date": ended,
         }
-    ).drop("_listed", "_discount_share", "uuid")
+    ).drop("_plan", "_listed", "_discount_share", "uuid")
 
 
 def installment_gross(gross: Column, installment_net: Column, net: Column) -> Column:

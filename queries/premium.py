@@ -107,10 +107,19 @@ def settled_transactions(spark, sf):
     return rows.groupBy("transaction_type").agg(F.count("*").alias("n"), F.max("transaction_id").alias("last_id"))
 
 
-def _premium(spark, sf):
-    """The premium report, written once, as three branches read it."""
+#: What plan classes and the accrual of collections read of the premium report.
+_CLASS_COLUMNS = ("healthplan_id", "vertical", "business_group_size", "is_internal")
+_ACCRUAL_COLUMNS = (
+    *_CLASS_COLUMNS, "amendment_id", "net_premium", "net_premium_before_discount", "amendment_subscription_date", "subscription_date",
+    "amendment_cancelation_date", "cancelation_date",
+)
+
+
+def _premium(spark, sf, *columns):
+    """The premium report (or some columns of it), written once, as several branches read it."""
     t = Standins(spark, sf)
-    return t, materialise(P.premium_report(t, PLAN_AS_OF), "premium")
+    report = P.premium_report(t, PLAN_AS_OF)
+    return t, materialise(report.select(*columns) if columns else report, "premium")
 
 
 @query(
@@ -121,8 +130,8 @@ def _premium(spark, sf):
     ),
 )
 def signed_collections(spark, sf):
-    t, premium = _premium(spark, sf)
-    rows = K.signed_collections(premium, t)
+    t = Standins(spark, sf)
+    rows = K.signed_collections(P.premium_report(t, PLAN_AS_OF), t)
     return rows.select(
         "healthplan_id", "amendment_id", "installment_number", "transaction_id", "transaction_type", "transaction_date",
         F.col("installment_net_premium_before_discount").alias("gross"), F.col("installment_net_premium").alias("net"),
@@ -132,13 +141,13 @@ def signed_collections(spark, sf):
 
 @query("plan_class", plan_sql("SELECT healthplan_id, hp_class FROM classed"))
 def plan_class(spark, sf):
-    _, premium = _premium(spark, sf)
+    _, premium = _premium(spark, sf, *_CLASS_COLUMNS)
     return L.plan_classes(premium)
 
 
 @query("accrued_to_cutoff", plan_sql("SELECT CAST(c AS VARCHAR) AS date_date, hp_class, prem_c / 100 AS accrued_and_collected_premium FROM accrued"))
 def accrued_to_cutoff(spark, sf):
-    t, premium = _premium(spark, sf)
+    t, premium = _premium(spark, sf, *_ACCRUAL_COLUMNS)
     return L.accrued_to_cutoff(K.signed_collections(premium, t), L.plan_classes(premium), PLAN_START, PLAN_AS_OF)
 
 

@@ -75,3 +75,23 @@ def test_prices_are_ordered_range_by_range(spark, name):
 def test_price_ranges_fill_without_one_task_over_all_rows(spark, no_broadcast):
     text = plan(spark, "asof_breakpoint_fill")
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
+def test_plans_without_owner_are_spread(spark):
+    """Plans that no business owns have no owner to meet; in a join by owner they must not gather in one task."""
+    from lossledger.plans.membership import with_business
+
+    plans = spark.range(2000).select("id", F.lit(7).cast("long").alias("owner_user_id"), (F.col("id") % 100 == 0).alias("is_owned_by_business"))
+    admins = spark.createDataFrame([(1, 7, "OW")], "business_id long, user_id long, role string")
+    businesses = spark.createDataFrame([(1, " One ", None)], "id long, common_name string, legal_name string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        rows = with_business(plans, admins, businesses).withColumn("_task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 2000 and sum(r["business_name"] == "One" for r in rows) == 20
+    alone = [r["_task"] for r in rows if r["business_id"] is None]
+    assert len(alone) == 1980 and max(alone.count(k) for k in set(alone)) < 1000
