@@ -42,6 +42,8 @@ def assign_cluster(df: DataFrame, model: PipelineModel, out: str = "centroid_id"
 
 #: Rows for each cluster in the sample that the first centres are chosen from.
 SEED_ROWS = 50
+#: Up to so many places of all centres together the sums of a chunk are counted in one array; of more only those that occur.
+CELLS = 1 << 14
 
 
 class _ClusterParams(HasFeaturesCol, HasPredictionCol):
@@ -82,8 +84,12 @@ class CostClusters(Estimator, _ClusterParams, DefaultParamsReadable, DefaultPara
             def add(batch: pa.RecordBatch, total: np.ndarray, centres: np.ndarray = centres) -> None:
                 for part in _scaled(sparse_rows(batch.column(0)), scale).chunks():
                     which, distance = _nearest(part, centres)
-                    key, place = np.unique(which[part.row] * size + part.places, return_inverse=True)
-                    np.add.at(total, (key // size, key % size), np.bincount(place.ravel(), part.values, len(key)))
+                    cell = which[part.row] * size + part.places
+                    if len(centres) * size <= CELLS:
+                        total[:, :size] += np.bincount(cell, part.values, len(centres) * size).reshape(-1, size)
+                    else:
+                        key, place = np.unique(cell, return_inverse=True)
+                        np.add.at(total, (key // size, key % size), np.bincount(place.ravel(), part.values, len(key)))
                     total[: len(centres), size] += np.bincount(which, minlength=len(centres))
                     total[0, size + 1] += distance.sum()
 
@@ -200,17 +206,57 @@ class ClusterModel(StoredModel, _ClusterParams):
 def nearest_centre(df: DataFrame, vector: str, centres: DataFrame, centre_id: str, centre: str, out: str, distance: str) -> DataFrame:
     """Closest given centre by squared distance; the smallest id wins a tie.
 
-    The centres (k rows, a model's size) are one array value read by every row, so no pairs are made.
+    The centres (k rows, a model's size) go to every task, so no pairs are made. The distance to a centre of another length,
+    or with a NULL on either side, is NULL and comes first; NaN comes last.
     """
-    table = centres.agg(F.array_sort(F.collect_list(F.struct(F.col(centre_id).alias("id"), F.col(centre).alias("c")))).alias("t")).scalar()
-
-    def squared(c: Column) -> Column:
-        gaps = F.zip_with(F.col(vector), c, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)
-
-    scored = F.transform(F.col("_centres"), lambda p: F.struct(squared(p["c"]).alias("d"), p["id"].alias("id")))
-    best = df.withColumn("_centres", table).withColumn("_best", F.array_min(scored))
-    return best.withColumn(out, F.col("_best.id")).withColumn(distance, F.col("_best.d")).drop("_centres", "_best")
+    ids = centres.schema[centre_id].dataType
+    pairs = F.struct(F.col(centre_id).alias("id"), F.col(centre).cast("array<double>").alias("c"))
+    table = centres.agg(F.array_sort(F.collect_list(pairs)).alias("t")).first()["t"]
+    if not table:
+        return df.withColumns({out: F.lit(None).cast(ids), distance: F.lit(None).cast("double")})
+    lines = [None if r["c"] is None or None in r["c"] else np.array(r["c"], float) for r in table]
+    same = all(c is not None and len(c) == len(lines[0]) for c in lines)
+    places = np.array(lines).T.copy() if same else np.zeros((0, len(lines)))
+
+    @F.arrow_udf("struct<at:int,gap:double>")
+    def nearest(v: pa.Array) -> pa.Array:
+        sizes = v.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+        values = v.flatten().to_numpy(zero_copy_only=False).astype(float)
+        whole = sizes >= 0
+        if v.flatten().null_count:
+            holes = np.r_[0, np.cumsum(v.flatten().is_null().to_numpy(zero_copy_only=False))]
+            end = np.cumsum(np.maximum(sizes, 0))
+            whole &= holes[end] == holes[end - np.maximum(sizes, 0)]
+        at, gap = np.zeros(len(sizes), np.int32), np.zeros(len(sizes))
+        known = whole & same & (sizes == len(places))
+        for n in np.unique(sizes[whole & ~known]):
+            at[whole & (sizes == n)] = next(i for i, c in enumerate(lines) if c is None or len(c) != n)
+        at[known], gap[known] = _closest(values[np.repeat(known, np.maximum(sizes, 0))].reshape(known.sum(), len(places)), places)
+        return pa.StructArray.from_arrays([pa.array(at), pa.array(gap, mask=~known)], ["at", "gap"])
+
+    known = F.array(*[F.lit(r["id"]).cast(ids) for r in table])
+    best = df.withColumn("_best", nearest(F.col(vector).cast("array<double>")))
+    return best.withColumn(out, F.get(known, F.col("_best.at"))).withColumn(distance, F.col("_best.gap")).drop("_best")
+
+
+def _closest(rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the closest centres (columns of ``places``) of each row and its squared distance, added up place by
+    place, in parts that fit a cache."""
+    at, gap = np.zeros(len(rows), np.int32), np.zeros(len(rows))
+    step = max(1, (1 << 15) // places.shape[1])
+    for a in range(0, len(rows), step):
+        part = rows[a : a + step]
+        apart = np.zeros((len(part), places.shape[1]))
+        for x, c in zip(part.T, places):
+            off = x[:, None] - c
+            off *= off
+            apart += off
+        which = np.where(np.isnan(apart), np.inf, apart).argmin(axis=1)
+        found = apart[np.arange(len(part)), which]
+        for i in np.flatnonzero(np.isnan(found) & np.isinf(apart).any(axis=1)):
+            which[i] = np.isinf(apart[i]).argmax()
+        at[a : a + step], gap[a : a + step] = which, apart[np.arange(len(part)), which]
+    return at, gap
 
 
 def cost_by_cluster(df: DataFrame, cluster: str, amount: str) -> DataFrame:

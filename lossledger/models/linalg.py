@@ -20,6 +20,8 @@ BLOCK = 1 << 16
 PARTS = 32
 #: Non-zeros that a worker expands at a time.
 CHUNK = 1 << 15
+#: Numbers of a product that are made at a time.
+CACHED = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -47,11 +49,13 @@ class Rows:
             first = last
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
-        """The rows times a matrix with one line for every place."""
-        out = np.zeros((len(self), matrix.shape[1]))
-        filled = np.flatnonzero(np.diff(self.at))
-        if len(filled):
-            out[filled] = np.add.reduceat(self.values[:, None] * matrix[self.places], self.at[filled], axis=0)
+        """The rows times a matrix with one line for every place, in parts that fit a cache."""
+        out, done, matrix = np.zeros((len(self), matrix.shape[1])), 0, np.ascontiguousarray(matrix)
+        for part in self.chunks(max(1, CACHED // max(1, matrix.shape[1]))):
+            filled = np.flatnonzero(np.diff(part.at))
+            if len(filled):
+                out[done + filled] = np.add.reduceat(part.values[:, None] * matrix[part.places], part.at[filled], axis=0)
+            done += len(part)
         return out
 
     def transposed_times(self, matrix: np.ndarray, out: np.ndarray) -> None:

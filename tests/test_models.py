@@ -113,3 +113,21 @@ def test_service_card_defaults(spark):
     df = spark.createDataFrame([tuple([None] * 12 + [None, 170, None])], schema)
     text = df.select(E.service_card().alias("t")).first().t
     assert "is a external doctor?: no" in text and "patient weight kg: -1" in text and "height cm: 170" in text and "None" not in text
+
+
+def test_nearest_centre_compares_in_arrays(spark):
+    """Ties, lengths, NULLs and NaN as a plain comparison has them, but no interpreted function for every row and centre."""
+    nan = float("nan")
+    centres = spark.createDataFrame([(2, [1.0, 0.0]), (1, [-1.0, 0.0]), (3, [0.0, 5.0])], "id int, c array<double>")
+    data = [(1, [0.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 4.0]), (4, None), (5, [1.0]), (6, [None, 1.0]), (7, [nan, 0.0]), (8, [])]
+    df = spark.createDataFrame(data, "k int, v array<double>")
+    out = K.nearest_centre(df, "v", centres, "id", "c", "best", "d")
+    assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: (r.best, r.d) for r in out.collect()}
+    assert got[1] == (1, 1.0) and got[2][0] == 2 and got[3] == (3, 1.0)
+    assert [got[k] for k in (4, 5, 6, 8)] == [(1, None)] * 4
+    assert got[7][0] == 1 and got[7][1] != got[7][1]
+    mixed = centres.union(spark.createDataFrame([(4, [1.0])], "id int, c array<double>"))
+    assert K.nearest_centre(df, "v", mixed, "id", "c", "best", "d").where("k = 1").first()[2:] == (4, None)
+    none = K.nearest_centre(df, "v", centres.where("id > 9"), "id", "c", "best", "d").first()
+    assert none.best is None and none.d is None
