@@ -204,6 +204,9 @@ def specialities_by_doctor(details: DataFrame, specialities: DataFrame) -> DataF
     return distinct_array(named, ["doctor_id"], "_name", "_names").select("doctor_id", joined(F.col("_names")).alias("doctor_specializations"))
 
 
+MEMBER_COLUMNS = ("occupation", "height_cm", "weight_kg", "date_of_birth", "nickname", "birth_country", "birth_country_code", "nationality_country_code", "rfc")
+
+
 def members_dim(members: DataFrame) -> DataFrame:
     represented = F.when((F.col("user_id") == F.col("represented_by_user_id")) | F.col("user_id").isNull(), F.col("represented_by_user_id"))
     live = members.where(F.col("deleted").isNull())
@@ -284,18 +287,21 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, audit:
     rows = join_role(rows, t["service_type"], "services_service_type_value", "code", {"descripcion": "_described"})
 
     tag = F.col("provided_by_content_type_id")
-    doctors = t["doctor"].withColumn("doctor_name", full_name("first_name", "first_last_name", "second_last_name"))
-    rows = join_role(rows, doctors, "provided_by_object_id", "id",
-                     {"id": "_doctor", "doctor_name": "doctor_name", "descriptor": "doctor_descriptor", "is_active": "doctor_is_active",
-                      "nickname": "doctor_nickname", "is_primary_care_doctor": "doctor_is_primary_care_doctor",
-                      "is_pediatrics_care_doctor": "doctor_is_pediatrics_care_doctor", "license_institution": "doctor_license_institution",
-                      "available_on_demand": "doctor_available_on_demand", "internal_notes": "doctor_internal_notes",
-                      "availability_hours": "doctor_availability_hours", "specialization_fare_id": "_fare"}, when=tag == DOCTOR_TAG)
-    rows = join_role(rows, t["fare"], "_fare", "id", {"name": "doctor_specializationfare_name", "medical_specialization_id": "_spec"})
-    rows = join_role(rows, t["medical_specialization"], "_spec", "id", {"name": "doctor_specialization_name", "type": "doctor_specialization_type",
-                      "description": "doctor_specialization_description", "is_primary_care": "doctor_specialization_is_primary_care"})
-    rows = join_role(rows, specialities_by_doctor(t["doctor_specialist_detail"], t["medical_specialization"]), "_doctor", "doctor_id",
-                     {"doctor_specializations": "doctor_specializations"})
+    # What hangs on a doctor or a member alone is put beside it first, so that the wide rows are shuffled once for each.
+    by_id, by_doctor = newest_address(t["address"], ["id"]), newest_address(t["address"], ["doctor_id"])
+    doctor_address = {"address1": "doctor_address1", "address2": "doctor_address2", "neighborhood": "doctor_neighborhood", "city": "doctor_city", "zipcode": "doctor_zipcode"}
+    doctors = t["doctor"].select(
+        F.col("id").alias("_doctor"), full_name("first_name", "first_last_name", "second_last_name").alias("doctor_name"), F.col("descriptor").alias("doctor_descriptor"),
+        *[F.col(c).alias(f"doctor_{c}") for c in ("is_active", "nickname", "is_primary_care_doctor", "is_pediatrics_care_doctor", "license_institution")],
+        *[F.col(c).alias(f"doctor_{c}") for c in ("available_on_demand", "internal_notes", "availability_hours")], F.col("specialization_fare_id").alias("_fare"),
+    )
+    doctors = join_role(doctors, t["fare"], "_fare", "id", {"name": "doctor_specializationfare_name", "medical_specialization_id": "_spec"})
+    doctors = join_role(doctors, t["medical_specialization"], "_spec", "id", {"name": "doctor_specialization_name", "type": "doctor_specialization_type",
+                        "description": "doctor_specialization_description", "is_primary_care": "doctor_specialization_is_primary_care"})
+    doctors = join_role(doctors, specialities_by_doctor(t["doctor_specialist_detail"], t["medical_specialization"]), "_doctor", "doctor_id",
+                        {"doctor_specializations": "doctor_specializations"})
+    doctors = join_role(doctors, by_doctor, "_doctor", "doctor_id", doctor_address)
+    rows = join_role(rows, doctors, "provided_by_object_id", "_doctor", {c: c for c in doctors.columns}, when=tag == DOCTOR_TAG)
     rows = watched(rows, "2 doctor")
     rows = join_role(rows, t["doctor_friend"], "provided_by_object_id", "id", {"name": "doctorfriend_name"}, when=tag == FRIEND_TAG)
 
@@ -307,24 +313,20 @@ def wide_fact(t: Tables, payments: DataFrame, all_rulings: bool = False, audit:
     rows = watched(rows, "3 provider")
 
     locations, zips = newest_location(t["location"]), zip_coordinates(t["zipcode"])
-    by_id, by_doctor = newest_address(t["address"], ["id"]), newest_address(t["address"], ["doctor_id"])
-    rows = join_role(rows, by_doctor, "_doctor", "doctor_id",
-                     {"address1": "doctor_address1", "address2": "doctor_address2", "neighborhood": "doctor_neighborhood", "city": "doctor_city", "zipcode": "doctor_zipcode"})
+    rows = rows.select(*[c for c in rows.columns if c not in doctor_address.values()], *doctor_address.values())
     # A billing address counts only for an administrator that is a known user.
     rows = join_role(rows, t["app_user"].select("id").distinct(), "_admin", "id", {"id": "_user"})
     rows = join_role(rows, t["billing_info"].select("user_id", "address_id").distinct(), "_user", "user_id", {"address_id": "_billing"})
     rows = join_role(rows, by_id, "_billing", "id",
                      {"address1": "provider_address1", "address2": "provider_address2", "neighborhood": "provider_address_neighborhood", "city": "provider_address_city",
                       "zipcode": "provider_address_zipcode"})
-    rows = join_role(rows, members_dim(t["member"]), "member_id", "id",
-                     {"occupation": "member_occupation", "member_name": "member_name", "height_cm": "member_height_cm",
-                      "weight_kg": "member_weight_kg", "date_of_birth": "member_date_of_birth", "nickname": "member_nickname",
-                      "birth_country": "member_birth_country", "birth_country_code": "member_birth_country_code",
-                      "nationality_country_code": "member_nationality_country_code", "rfc": "member_rfc", "residence_address_id": "_residence",
-                      "member_is_represented_by_user_id": "member_is_represented_by_user_id"})
-    rows = join_role(rows, by_id, "_residence", "id",
-                     {"address1": "member_address1", "address2": "member_address2", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
-                      "zipcode": "member_address_zipcode"})
+    members = members_dim(t["member"]).withColumnsRenamed({c: f"member_{c}" for c in MEMBER_COLUMNS}).withColumnRenamed("residence_address_id", "_residence")
+    members = join_role(members, by_id, "_residence", "id",
+                        {"address1": "member_address1", "address2": "member_address2", "neighborhood": "member_address_neighborhood", "city": "member_address_city",
+                         "zipcode": "member_address_zipcode"})
+    found = ["member_occupation", "member_name", *[f"member_{c}" for c in MEMBER_COLUMNS[1:]], "_residence", "member_is_represented_by_user_id"]
+    found += [c for c in members.columns if c.startswith("member_address")]
+    rows = join_role(rows, members, "member_id", "id", {c: c for c in found})
     rows = watched(rows, "4 addresses and member")
     for role, zip_col in (("doctor", "doctor_zipcode"), ("provider", "provider_address_zipcode"), ("member", "member_address_zipcode")):
         rows = _with_place(rows, role, zip_col, locations, zips)

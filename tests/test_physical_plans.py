@@ -95,3 +95,14 @@ def test_plans_without_owner_are_spread(spark):
     assert len(rows) == 2000 and sum(r["business_name"] == "One" for r in rows) == 20
     alone = [r["_task"] for r in rows if r["business_id"] is None]
     assert len(alone) == 1980 and max(alone.count(k) for k in set(alone)) < 1000
+
+
+def test_wide_rows_meet_doctors_and_members_once(spark):
+    """Fares, specialities and addresses are put beside the doctor or member first: each join of the wide rows may shuffle them."""
+
+    def joins(node):
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        own = node.nodeName() == "Join" and "case_event_id" in children[0].output().mkString(",")
+        return own + sum(joins(c) for c in children)
+
+    assert joins(QUERIES["wide_fact"](spark, SMALL)._jdf.queryExecution().optimizedPlan()) <= 21
