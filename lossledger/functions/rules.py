@@ -82,19 +82,31 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.floor((F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(60_000_000))
 
 
+_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+_MICROSECOND = "interval '0.000001' second"
+_DAY_MICROS = 86_400_000_000
+
+
+def _local_micros(ts: Column, zone: str) -> Column:
+    """Wall-clock time in ``zone`` as microseconds since 1970-01-01 00:00 there. All in long arithmetic: the zone's name
+    is read once, not for every row, and no decimal is made."""
+    since = F.call_function("div", ts.cast("timestamp_ntz") - F.expr(_EPOCH), F.expr(_MICROSECOND))
+    utc = F.when(F.typeof(ts) == "timestamp", F.unix_micros(ts.cast("timestamp"))).otherwise(since)
+    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(utc), zone))
+
+
 def local_time(ts: Column, zone: str = LOCAL_ZONE) -> Column:
     """An instant, or a zone-less timestamp in UTC, as wall-clock time in ``zone``.
 
     Neither depends on the session's zone: an instant is counted from the epoch, not read off the session's clock.
     """
-    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(20,0)")
-    since = F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
-    utc = F.when(F.typeof(ts) == "timestamp", F.expr("timestamp_ntz'1970-01-01 00:00:00'") + since).otherwise(ts.cast("timestamp_ntz"))
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.expr(_EPOCH) + F.expr(_MICROSECOND) * _local_micros(ts, zone)
 
 
 def local_date(ts: Column, zone: str = LOCAL_ZONE) -> Column:
-    return local_time(ts, zone).cast("date")
+    """The day of ``local_time``, of whose microseconds whole days are cut (downwards, also before 1970)."""
+    micros, day = _local_micros(ts, zone), F.lit(_DAY_MICROS)
+    return F.date_from_unix_date(F.call_function("div", micros - F.pmod(micros, day), day).cast("int"))
 
 
 def month_start(d: Column) -> Column:

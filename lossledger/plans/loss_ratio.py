@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,9 +55,12 @@ def earned_share(since: Column, through: Column, ended: Column, cutoff: Column)
     """Part of an instalment earned by a cutoff. ``ended`` is the earliest of end of cover, cancellations and the
     as-of date; the share is 1 once the whole term is over by then, 0 before it starts, never negative."""
     upto = F.least(ended, cutoff)
-    days = (date_diff(upto, since, "DAY") + 1).cast("decimal(20,0)")
-    term = (date_diff(through, since, "DAY") + 1).cast("decimal(20,0)")
-    part = F.greatest(F.lit(0).cast("decimal(20,10)"), F.round(F.try_divide(days, term), 10).cast("decimal(20,10)"))
+    days = (date_diff(upto, since, "DAY") + 1).cast("bigint")
+    term = (date_diff(through, since, "DAY") + 1).cast("bigint")
+    # Rounded half up to ten digits in long arithmetic: days are fewer than 10 ** 7, so the products fit.
+    up, down = days * F.signum(term).cast("bigint"), F.abs(term)
+    units = F.call_function("div", up * F.lit(2 * 10**10) + down, down * 2)
+    part = F.when((up > 0) & (down > 0), (units.cast("decimal(18,0)") * F.lit(Decimal("0.0000000001"))).cast("decimal(20,10)")).otherwise(0)
     return F.when(through <= upto, 1).when(since > cutoff, 0).otherwise(part).cast("decimal(12,10)")
 
 
@@ -104,25 +108,29 @@ def accrued_to_cutoff(
     until = F.coalesce(F.last_day(F.add_months("_next", -1)), F.lit(final))
     state = state.withColumn("_until", until).withColumn("_settled", F.least(F.greatest(settled, F.col("_from")), F.col("_until")))
 
-    def value(cutoff: Column) -> Column:
-        share = earned_share(F.col("_since"), F.col("_through"), F.col("_ended"), cutoff)
-        if null_policy == "propagate":
-            share = F.when(F.col("_since") > cutoff, F.lit(0)).when(F.col("_ended").isNotNull(), share)
-        return F.coalesce(F.round(F.col("_paid") * share, 6), F.lit(0)).cast("decimal(28,6)")
-
-    zero = F.lit(0).cast("decimal(28,6)")
-    points = F.transform(
-        F.sequence(F.trunc("_from", "MM"), F.trunc("_settled", "MM"), F.expr("interval 1 month")),
-        lambda m: F.struct(F.last_day(m).alias("date_date"), value(F.last_day(m)).alias("here"), zero.alias("onward")),
-    )
-    after = F.last_day(F.add_months("_settled", 1))
-    beyond = F.last_day(F.add_months("_until", 1))
-    steps = F.array(
-        F.struct(after.alias("date_date"), zero.alias("here"), value(F.col("_settled")).alias("onward")),
-        F.struct(beyond.alias("date_date"), zero.alias("here"), (-value(F.col("_settled"))).cast("decimal(28,6)").alias("onward")),
+    # One row per month up to the settled one, then the step up and the step down where they lie on the grid and differ.
+    # Months are made into dates and amounts after spreading, in generated code and once per row.
+    months = date_diff(F.col("_settled"), F.col("_from"), "MONTH")
+    steps = F.when(F.col("_settled") >= F.col("_until"), 0).when(F.col("_next").isNull(), 1).otherwise(2)
+    spread = state.withColumn("_months", months).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_months") + steps)))
+    past = F.col("_i") - F.col("_months")
+    cutoff = F.when(past <= 0, F.last_day(F.add_months("_from", F.col("_i")))).otherwise(F.col("_settled"))
+    spread = spread.withColumn("_cutoff", cutoff)
+    share = earned_share(F.col("_since"), F.col("_through"), F.col("_ended"), F.col("_cutoff"))
+    if null_policy == "propagate":
+        share = F.when(F.col("_since") > F.col("_cutoff"), F.lit(0).cast("decimal(12,10)")).when(F.col("_ended").isNotNull(), share)
+    spread = spread.withColumn("_share", share)
+    # Most rows have nothing or all of it earned: they need no product.
+    zero, paid = F.lit(0).cast("decimal(28,6)"), F.col("_paid").cast("decimal(28,6)")
+    part = F.when(F.col("_share") == 0, zero).when(F.col("_share") == 1, paid).otherwise(F.round(F.col("_paid") * F.col("_share"), 6).cast("decimal(28,6)"))
+    day = F.when(past <= 0, F.col("_cutoff")).when(past == 1, F.last_day(F.add_months("_settled", 1))).otherwise(F.last_day(F.add_months("_until", 1)))
+    spread = spread.select("hp_class", day.alias("date_date"), F.greatest(past, F.lit(0)).alias("_step"), F.coalesce(part, zero).alias("_value"))
+    # A row is of one kind, so one sum is kept for each kind; months x classes x kinds are few.
+    summed = spread.groupBy("hp_class", "date_date", "_step").agg(F.sum("_value").alias("_sum"))
+    summed = summed.groupBy("hp_class", "date_date").agg(
+        F.sum(F.when(F.col("_step") == 0, F.col("_sum")).otherwise(zero)).alias("_here"),
+        F.sum(F.when(F.col("_step") == 1, F.col("_sum")).when(F.col("_step") == 2, -F.col("_sum")).otherwise(zero)).alias("_onward"),
     )
-    spread = state.select("hp_class", F.explode(F.concat(points, steps)).alias("p"))
-    summed = spread.groupBy("hp_class", "p.date_date").agg(F.sum("p.here").alias("_here"), F.sum("p.onward").alias("_onward"))
 
     grid = month_grid(classes.select("hp_class").distinct(), start, as_of)
     along = Window.partitionBy("hp_class").orderBy("date_date").rowsBetween(Window.unboundedPreceding, 0)
