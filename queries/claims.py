@@ -8,7 +8,7 @@ from lossledger.functions.rules import local_date
 from lossledger.operators.spines import day_spine, one_row
 from lossledger.plans import claims as C
 from queries.plan_sql import OPEN, local, plan_sql
-from queries.premium import RULES, _premium
+from queries.premium import CLAIM_PLAN_COLUMNS, RULES, _premium
 from queries.registry import query, sql_ratio
 from queries.standins import PLAN_AS_OF, Standins
 
@@ -138,7 +138,7 @@ def scheme_tag_interval(spark, sf):
     ),
 )
 def claims_report(spark, sf):
-    t, premium = _premium(spark, sf)
+    t, premium = _premium(spark, sf, *CLAIM_PLAN_COLUMNS)
     rows = C.claims_report(t, premium, PLAN_AS_OF, RULES)
     return rows.select(
         "healthplan_id", "member_id", "vertical", "business_group", "business_group_size", F.col("age_at_subscription").cast("bigint"), "product_family", "service_id",

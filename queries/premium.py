@@ -113,6 +113,8 @@ _ACCRUAL_COLUMNS = (
     *_CLASS_COLUMNS, "amendment_id", "net_premium", "net_premium_before_discount", "amendment_subscription_date", "subscription_date",
     "amendment_cancelation_date", "cancelation_date",
 )
+#: What the claims report reads of it: the plan's attributes, and the amendment whose row they are taken from.
+CLAIM_PLAN_COLUMNS = ("healthplan_id", "amendment_id", *C.PLAN_COLUMNS)
 
 
 def _premium(spark, sf, *columns):
@@ -166,7 +168,7 @@ _LEVELS = """SELECT 0 AS granularity_level, c, 'Overall' AS hp_class, ss_class,
     ),
 )
 def loss_ratio_report(spark, sf):
-    t, premium = _premium(spark, sf)
+    t, premium = _premium(spark, sf, *dict.fromkeys((*_ACCRUAL_COLUMNS, *CLAIM_PLAN_COLUMNS)))
     return L.loss_ratio_report(
         premium, K.signed_collections(premium, t), C.claims_report(t, premium, PLAN_AS_OF, RULES), PLAN_AS_OF, PLAN_START
     )

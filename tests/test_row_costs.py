@@ -80,3 +80,26 @@ def test_accrual_values_months_in_generated_code(spark):
         want["B"] += Decimal(60) if c >= D(2024, 5, 31) else 0
         for cls, total in want.items():
             assert got[c, cls] == total.quantize(Decimal("0.01"), ROUND_HALF_UP), (c, cls)
+
+
+@pytest.mark.parametrize("name", ["claims_report", "loss_ratio_report"])
+def test_reports_write_only_the_premium_columns_they_read(spark, monkeypatch, name):
+    import queries.premium as Q
+    from lossledger.plans.claims import PLAN_COLUMNS
+    from queries.catalogue import SPARK
+
+    class Written(Exception):
+        pass
+
+    def written(df, label):
+        raise Written(df.columns)
+
+    known = ["healthplan_id", "amendment_id", *PLAN_COLUMNS]
+    accrued = ["net_premium", "net_premium_before_discount", "amendment_subscription_date", "subscription_date", "amendment_cancelation_date", "cancelation_date"]
+    unread = ["insured_amount", "cancel_reason", "discount", "surcharge", "subtotal", "total", "reinsurance_participates"]
+    whole = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*known, *accrued, *unread)))
+    monkeypatch.setattr(Q.P, "premium_report", lambda t, as_of: whole)
+    monkeypatch.setattr(Q, "materialise", written)
+    with pytest.raises(Written) as found:
+        SPARK[name](spark, "nowhere")
+    assert sorted(found.value.args[0]) == sorted(known if name == "claims_report" else known + accrued)
