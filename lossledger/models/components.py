@@ -2,7 +2,8 @@
 
 Word slots come from md5, so any engine can recompute them. Document frequencies are a table with a row for each slot in
 use. Components are found by subspace iteration: every pass multiplies the centred rows by a matrix as narrow as the
-components wanted (and some more), so nothing of the vectors' width squared exists anywhere.
+components wanted (and some more), so nothing of the vectors' width squared exists anywhere. Only of few places (EXACT)
+one pass adds up all products.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from lossledger.models.stages import StoredModel, stored_table
 from lossledger.sources.tables import materialise
 
 SLOTS = 1 << 18
+#: Up to so many places with values one pass adds up the products of all pairs: a matrix of 512 KB.
+EXACT = 256
 SPARSE = "struct<indices:array<int>,values:array<double>>"
 
 
@@ -130,7 +133,8 @@ class _ComponentParams(HasInputCol, HasOutputCol):
 
 class PrincipalComponents(Estimator, _ComponentParams, DefaultParamsReadable, DefaultParamsWritable):
     """Centred, unscaled principal components. The subspace has twice as many dimensions as components are wanted, at
-    least 16 more; if that is the whole width, one pass finds them exactly. Rows without a vector don't count."""
+    least 16 more; if that is the whole width, or at most EXACT places have values, one pass finds them exactly. Rows
+    without a vector don't count."""
 
     def __init__(self, **params: Any):
         super().__init__()
@@ -154,10 +158,35 @@ class PrincipalComponents(Estimator, _ComponentParams, DefaultParamsReadable, De
         mean = first[live, 0] / n
         whole, width = first[size, 1] / n - mean @ mean, len(live)
         k = min(k, width)
-        narrow = min(width, k + max(16, k))
+        if width <= max(EXACT, k + max(16, k)):
+            components, variances = self._whole(rows, live, mean, n, k)
+        else:
+            components, variances = self._subspace(rows, live, mean, n, k)
+        if width:
+            components *= np.where(components[np.abs(components).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
+        return self._copyValues(ComponentModel(live, mean, components, np.maximum(variances, 0.0), float(whole)))
+
+    @staticmethod
+    def _whole(rows: DataFrame, live: np.ndarray, mean: np.ndarray, n: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Components and variances from the products of all pairs of places, in one pass."""
+        width = len(live)
+        if not width:
+            return np.zeros((0, 0)), np.zeros(0)
+
+        def products(batch: pa.RecordBatch, total: np.ndarray) -> None:
+            for part in _only(sparse_rows(batch.column(0)), live).blocks(width):
+                centred = part.dense(width) - mean
+                total += centred.T @ centred
+
+        variances, components = np.linalg.eigh(sum_matrix(rows, (width, width), products) / n)
+        return components[:, ::-1][:, :k], variances[::-1][:k]
+
+    def _subspace(self, rows: DataFrame, live: np.ndarray, mean: np.ndarray, n: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Components and variances by passes with a narrow basis."""
+        width, narrow = len(live), k + max(16, k)
         basis, _ = np.linalg.qr(np.random.default_rng(self.getOrDefault(self.seed)).normal(size=(width, narrow)))
         before, variances, turn = np.zeros(k), np.zeros(k), np.zeros((narrow, k))
-        for _ in range(self.getOrDefault(self.passes) if width else 0):
+        for _ in range(self.getOrDefault(self.passes)):
 
             def image(batch: pa.RecordBatch, total: np.ndarray, basis: np.ndarray = basis) -> None:
                 shift = mean @ basis
@@ -171,15 +200,11 @@ class PrincipalComponents(Estimator, _ComponentParams, DefaultParamsReadable, De
             small = basis.T @ product
             variances, turn = np.linalg.eigh((small + small.T) / 2)
             variances, turn = variances[::-1][:k], turn[:, ::-1][:, :k]
-            settled = np.abs(variances - before).max() <= self.getOrDefault(self.tolerance) * max(variances[0], 0.0)
-            if settled or narrow == width:
+            if np.abs(variances - before).max() <= self.getOrDefault(self.tolerance) * max(variances[0], 0.0):
                 break
             before = variances
             basis, _ = np.linalg.qr(product)
-        components = basis @ turn
-        if width:
-            components *= np.where(components[np.abs(components).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
-        return self._copyValues(ComponentModel(live, mean, components, np.maximum(variances, 0.0), float(whole)))
+        return basis @ turn, variances
 
 
 def _only(rows: Rows, live: np.ndarray) -> Rows:

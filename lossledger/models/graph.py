@@ -39,6 +39,7 @@ class TextModel:
 def fit_with_text(rows: DataFrame, cards: DataFrame, keys: Sequence[str], content: str, spec: FeatureSpec, model: Estimator, k: int = 32, slots: int = SLOTS) -> tuple[TextModel, DataFrame]:
     """Fit components of the cards (one per key) and a model on the spec's features and the components. Returns the models
     and the rows as the last one got them, features assembled."""
+    cards = materialise(cards, "cards")  # read for the frequencies, their number and the vectors
     words = WordVectors(inputCol=content, outputCol="_words", slots=slots)
     text, seen = fit_staged(cards, [words, PrincipalComponents(inputCol="_words", size=slots, k=k)])
     components = text.stages[-1].columns()

@@ -20,8 +20,10 @@ BLOCK = 1 << 16
 PARTS = 32
 #: Non-zeros that a worker expands at a time.
 CHUNK = 1 << 15
-#: Numbers of a product that are made at a time.
+#: Numbers of a product, or of filled-in rows, that are made at a time.
 CACHED = 1 << 16
+#: Rows are filled in for a product if at least one place in so many has a value.
+FILLED = 8
 
 
 @dataclass(frozen=True)
@@ -48,9 +50,25 @@ class Rows:
             yield Rows(self.at[first : last + 1] - a, self.places[a:b], self.values[a:b])
             first = last
 
+    def blocks(self, width: int) -> Iterator[Rows]:
+        """Consecutive rows, as many as CACHED numbers hold when filled in to ``width`` places."""
+        step = max(1, CACHED // max(1, width))
+        for first in range(0, len(self), step):
+            at = self.at[first : first + step + 1]
+            yield Rows(at - at[0], self.places[at[0] : at[-1]], self.values[at[0] : at[-1]])
+
+    def dense(self, width: int) -> np.ndarray:
+        """The rows filled in with zeros."""
+        return np.bincount(self.row * width + self.places, self.values, len(self) * width).reshape(len(self), width)
+
     def times(self, matrix: np.ndarray) -> np.ndarray:
         """The rows times a matrix with one line for every place, in parts that fit a cache."""
         out, done, matrix = np.zeros((len(self), matrix.shape[1])), 0, np.ascontiguousarray(matrix)
+        if len(self) * len(matrix) <= FILLED * len(self.places):
+            for part in self.blocks(len(matrix)):
+                out[done : done + len(part)] = part.dense(len(matrix)) @ matrix
+                done += len(part)
+            return out
         for part in self.chunks(max(1, CACHED // max(1, matrix.shape[1]))):
             filled = np.flatnonzero(np.diff(part.at))
             if len(filled):

@@ -15,7 +15,7 @@ from lossledger.models import features as X
 from lossledger.models import graph as T
 from lossledger.models import regress as G
 from lossledger.models import stages as S
-from lossledger.models.linalg import sum_matrix
+from lossledger.models.linalg import Rows, sum_matrix
 from lossledger.sources.tables import publish, published
 
 RNG = np.random.default_rng(8)
@@ -136,6 +136,33 @@ def test_components_never_square_the_width(spark, monkeypatch):
     assert sum(r.principal_component_1 is None for r in out) == 1 and len(out) == 601
 
 
+def test_components_of_few_places_take_one_pass(spark, monkeypatch):
+    shapes = []
+
+    def watched(rows, shape, add):
+        shapes.append(shape)
+        return sum_matrix(rows, shape, add)
+
+    monkeypatch.setattr(V, "sum_matrix", watched)
+    x = RNG.normal(size=(300, 60)) + 3  # variances close to each other, which passes separate slowly
+    df = spark.createDataFrame([(i, {"indices": [1000 + 7 * j for j in range(60)], "values": v.tolist()}) for i, v in enumerate(x)], "id int, words struct<indices:array<int>,values:array<double>>")
+    model = V.PrincipalComponents(size=1 << 14, k=4).fit(df)
+    exact = np.sort(np.linalg.eigvalsh(np.cov(x.T, bias=True)))[::-1]
+    assert shapes == [((1 << 14) + 1, 2), (60, 60)]
+    assert np.allclose(model.variances, exact[:4], rtol=1e-10) and model.whole == pytest.approx(exact.sum())
+
+
+def test_products_of_filled_in_rows():
+    at, places, values = np.array([0, 2, 2, 5, 6]), np.array([0, 3, 1, 2, 3, 3]), np.array([1.0, -2.0, 3.0, 0.5, 4.0, 7.0])
+    rows, matrix = Rows(at, places, values), RNG.normal(size=(4, 3))
+    whole = np.zeros((4, 4))
+    whole[rows.row, places] = values
+    assert (rows.dense(4) == whole).all() and [len(b) for b in rows.blocks(1 << 15)] == [2, 2]
+    assert np.allclose(rows.times(matrix), whole @ matrix)
+    wide = np.r_[matrix, np.full((96, 3), 9.0)]  # few of these places have a value
+    assert np.allclose(rows.times(wide), whole @ matrix)
+
+
 def test_word_vectors_by_hand(spark, tmp_path):
     df = spark.createDataFrame([(1, "Knee pain, knee"), (2, "pain"), (3, ""), (4, None)], "id int, content string")
     model = V.WordVectors(slots=1 << 18).fit(df)
