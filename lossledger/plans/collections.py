@@ -53,7 +53,9 @@ def signed_collections(premium: DataFrame, t: Tables) -> DataFrame:
         money(F.col("net_premium_cents")).alias("_net"),
         money(F.col("total_cents")).alias("_tot"),
     )
-    paid = item_payments(items, t["invoice_item_invoice"], settled_transactions(t["transaction"])).drop("invoice_id", "item_id")
+    # Times become dates before the shuffles, which carry them twice.
+    settled = settled_transactions(t["transaction"]).withColumn("_date", local_date(F.col("confirmed_at"))).drop("confirmed_at")
+    paid = item_payments(items, t["invoice_item_invoice"], settled).drop("invoice_id", "item_id")
     rows = premium.join(paid, "amendment_id", "left")
     code = F.col("transaction_type")
     gross = installment_gross(F.col("net_premium_before_discount"), F.col("_net"), F.col("net_premium"))
@@ -63,6 +65,6 @@ def signed_collections(premium: DataFrame, t: Tables) -> DataFrame:
             "installment_net_premium": signed(F.col("_net"), code, REFUND_TYPES),
             "installment_subtotal": signed(F.col("_sub"), code, REFUND_TYPES),
             "installment_total": signed(F.col("_tot"), code, REFUND_TYPES),
-            "transaction_date": local_date(F.col("confirmed_at")),
+            "transaction_date": F.col("_date"),
         }
-    ).drop("_sub", "_net", "_tot", "confirmed_at")
+    ).drop("_sub", "_net", "_tot", "_date")

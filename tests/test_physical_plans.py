@@ -106,3 +106,10 @@ def test_wide_rows_meet_doctors_and_members_once(spark):
         return own + sum(joins(c) for c in children)
 
     assert joins(QUERIES["wide_fact"](spark, SMALL)._jdf.queryExecution().optimizedPlan()) <= 21
+
+
+def test_transaction_times_are_dates_before_they_are_shuffled(spark):
+    text = plan(spark, "signed_collections").splitlines()
+    above = [n for n, line in enumerate(text) if "SortMergeJoin [amendment_id" in line or "HashJoin [amendment_id" in line][0]
+    assert any("confirmed_at" in line for line in text) and not any("confirmed_at" in line for line in text[:above])
+    assert not any("Exchange" in line and "confirmed_at" in text[n + 1] and "_date" not in text[n + 1] for n, line in enumerate(text[:-1]))
