@@ -1,6 +1,7 @@
 """Where intermediate tables go, and that they go away."""
 
 import os
+import time
 
 import pytest
 
@@ -37,6 +38,34 @@ def test_tables_of_a_block_are_dropped_at_its_end(spark):
     assert not os.path.exists(folder)
 
 
+def test_the_result_of_a_block_outlives_it(spark):
+    with work_tables(spark) as outer:
+        with work_tables(spark) as inner:
+            numbers = materialise(spark.range(5).toDF("n"), "numbers")
+            sums = materialise(numbers.groupBy().sum("n"), "sums", outside=True)
+            assert os.listdir(inner)
+        assert not os.path.exists(inner) and [name.split("-")[0] for name in os.listdir(outer)] == ["sums"]
+        assert sums.first()[0] == 10
+    assert not os.path.exists(outer)
+
+
+def test_shuffles_behind_a_table_are_removed(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with work_tables(spark):
+        table = materialise(spark.range(1000).repartition(3), "dealt")
+        until = time.time() + 20
+        while shuffles() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffles() - before and table.where("id < 10").collect()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_a_table_is_replaced_from_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):
