@@ -265,7 +265,9 @@ def clinic_costs(t: Tables, visits: DataFrame, as_of: dt.date, rules: ClaimRules
 def video_scheme_costs(t: Tables, as_of: dt.date, rules: ClaimRules = ClaimRules()) -> DataFrame:
     """(month, subtotal, vc_schema): what consult hours and salaried doctors cost per month."""
     hourly = hourly_consult_cost(t, rules).unionByName(t["monthly_consult_cost"].select("month", "subtotal"))
-    hourly = hourly.groupBy("month").agg(F.sum("subtotal").cast("decimal(18,2)").alias("subtotal")).withColumn("vc_schema", F.lit(HOURLY))
+    # One row per month: written, so that the joins of payments behind it are over before the report's own begin.
+    hourly = materialise(hourly.groupBy("month").agg(F.sum("subtotal").cast("decimal(18,2)").alias("subtotal")), "consult-hours")
+    hourly = hourly.withColumn("vc_schema", F.lit(HOURLY))
     contracts = t["payroll_doctor"].where(F.col("type") == rules.primary_type)
     return hourly.unionByName(payroll_by_month(contracts, rules.first_day, as_of).withColumn("vc_schema", F.lit(PAYROLL)))
 
@@ -351,7 +353,9 @@ def claims_report(t: Tables, premium: DataFrame, as_of: dt.date, rules: ClaimRul
     visits = materialise(clinic_visits(t, rules), "visits")
     video = _consult_rows(video_costs(t, consults, as_of, rules), VIDEO_LABEL, "ipc_schema")
     clinic = _consult_rows(clinic_costs(t, visits, as_of, rules), CLINIC_LABEL, "vc_schema")
-    payments = signed_claims(t, rules).unionByName(video).unionByName(clinic)
+    # Written, so that what the joins of invoices and transactions shuffle is gone before the report's own joins begin.
+    billed = materialise(signed_claims(t, rules), "claims")
+    payments = billed.unionByName(video).unionByName(clinic)
     rows = payments.join(plan_attributes(premium), "healthplan_id", "left").select(*CLAIM_COLUMNS)
 
     # A service is a video consult or a clinic visit, so each has one price.

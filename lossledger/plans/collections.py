@@ -39,9 +39,8 @@ def item_payments(items: DataFrame, links: DataFrame, settled: DataFrame, how: s
     return items.withColumnRenamed("id", "item_id").join(link, "item_id", how).join(settled, "invoice_id", how)
 
 
-def signed_collections(premium: DataFrame, t: Tables) -> DataFrame:
-    """Premium rows beside each instalment and settled transaction, refunds negative. Uncollected rows stay, with
-    NULL transaction columns."""
+def instalment_payments(t: Tables) -> DataFrame:
+    """Each premium instalment (amendment_id, number, dates, amounts) beside its settled transactions, if any."""
     scope = items_of_types(t["invoice_item"], t["content_type"].where(F.col("model") == PREMIUM_MODEL))
     items = scope.select(
         "id",
@@ -55,16 +54,22 @@ def signed_collections(premium: DataFrame, t: Tables) -> DataFrame:
     )
     # Times become dates before the shuffles, which carry them twice.
     settled = settled_transactions(t["transaction"]).withColumn("_date", local_date(F.col("confirmed_at"))).drop("confirmed_at")
-    paid = item_payments(items, t["invoice_item_invoice"], settled).drop("invoice_id", "item_id")
+    return item_payments(items, t["invoice_item_invoice"], settled).drop("invoice_id", "item_id")
+
+
+def signed_collections(premium: DataFrame, t: Tables, payments: DataFrame | None = None) -> DataFrame:
+    """Premium rows beside each instalment and settled transaction, refunds negative. Uncollected rows stay, with
+    NULL transaction columns. ``payments`` are the instalments' payments where they are written already, with all columns
+    or without those (of subtotals, totals, transactions' ids) that nobody reads."""
+    paid = instalment_payments(t) if payments is None else payments
     rows = premium.join(paid, "amendment_id", "left")
     code = F.col("transaction_type")
     gross = installment_gross(F.col("net_premium_before_discount"), F.col("_net"), F.col("net_premium"))
+    amounts = {"installment_net_premium": "_net", "installment_subtotal": "_sub", "installment_total": "_tot"}
     return rows.withColumns(
         {
             "installment_net_premium_before_discount": signed(gross, code, REFUND_TYPES),
-            "installment_net_premium": signed(F.col("_net"), code, REFUND_TYPES),
-            "installment_subtotal": signed(F.col("_sub"), code, REFUND_TYPES),
-            "installment_total": signed(F.col("_tot"), code, REFUND_TYPES),
+            **{out: signed(F.col(c), code, REFUND_TYPES) for out, c in amounts.items() if c in paid.columns},
             "transaction_date": F.col("_date"),
         }
     ).drop("_sub", "_net", "_tot", "_date")

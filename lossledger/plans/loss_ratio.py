@@ -82,7 +82,8 @@ def accrued_to_cutoff(
         F.col("transaction_date").isNotNull() & F.col("amendment_subscription_date").isNotNull() & F.col("subscription_date").isNotNull()
     )
     rows = rows.join(classes, "healthplan_id").withColumn("_from", first_cutoff(seen, start)).where(F.col("_from") <= F.lit(final))
-    state = rows.groupBy(*keys, "_from").agg(
+    # Dealt out by instalment, rows meet their month's others and the months after one another in one shuffle.
+    state = rows.repartition(*keys).groupBy(*keys, "_from").agg(
         F.min("installment_valid_since").alias("_since"),
         F.min("installment_valid_through").alias("_through"),
         F.min("amendment_cancelation_date").alias("_amendment_end"),
@@ -176,10 +177,12 @@ def loss_ratio_report(
     """Four granularities by month end with running and trailing loss ratios."""
     classes = materialise(plan_classes(premium), "classes")
     grid = month_grid(classes.select("hp_class").distinct().withColumn("ss_class", F.lit(ALL_SERVICES)), start, as_of)
+    # Both sides are months x classes. Written one after the other, what the one has shuffled is gone before the other begins.
     paid = cumulative_to_cutoff(
         claims_in_scope(claims, classes, as_of), "transaction_date", ["hp_class", "ss_class"], "subtotal", grid, start, "service_payments"
     )
-    earned = accrued_to_cutoff(collections, classes, start, as_of, null_policy)
+    paid = materialise(paid, "paid")
+    earned = materialise(accrued_to_cutoff(collections, classes, start, as_of, null_policy), "earned")
     finest = paid.join(earned, ["date_date", "hp_class"], "left")
     levels = rollup_levels(
         finest, class_levels(), "hp_class", ["date_date", "ss_class"], ["service_payments", "accrued_and_collected_premium"]

@@ -10,7 +10,7 @@ from lossledger.plans import collections as K
 from lossledger.plans import loss_ratio as L
 from lossledger.plans import premium as P
 from lossledger.plans.membership import cancellation_dates
-from lossledger.sources.tables import materialise
+from lossledger.sources.tables import materialise, work_tables
 from queries.plan_sql import AS_OF, local, plan_sql
 from queries.registry import query
 from queries.standins import OWN_CLINIC, PLAN_AS_OF, PLAN_START, Standins
@@ -113,6 +113,8 @@ _ACCRUAL_COLUMNS = (
     *_CLASS_COLUMNS, "amendment_id", "net_premium", "net_premium_before_discount", "amendment_subscription_date", "subscription_date",
     "amendment_cancelation_date", "cancelation_date",
 )
+#: What the accrual reads of the instalments' payments.
+_PAYMENT_COLUMNS = ("amendment_id", "installment_number", "installment_valid_since", "installment_valid_through", "transaction_type", "_net", "_date")
 #: What the claims report reads of it: the plan's attributes, and the amendment whose row they are taken from.
 CLAIM_PLAN_COLUMNS = ("healthplan_id", "amendment_id", *C.PLAN_COLUMNS)
 
@@ -120,8 +122,14 @@ CLAIM_PLAN_COLUMNS = ("healthplan_id", "amendment_id", *C.PLAN_COLUMNS)
 def _premium(spark, sf, *columns):
     """The premium report (or some columns of it), written once, as several branches read it."""
     t = Standins(spark, sf)
-    report = P.premium_report(t, PLAN_AS_OF)
-    return t, materialise(report.select(*columns) if columns else report, "premium")
+    with work_tables(spark):
+        report = P.premium_report(t, PLAN_AS_OF)
+        return t, materialise(report.select(*columns) if columns else report, "premium", outside=True)
+
+
+def _accrual_collections(premium, t):
+    """The collections with what the accrual reads. Payments are written, so what their joins shuffle is gone before the rest."""
+    return K.signed_collections(premium, t, materialise(K.instalment_payments(t).select(*_PAYMENT_COLUMNS), "payments"))
 
 
 @query(
@@ -150,7 +158,7 @@ def plan_class(spark, sf):
 @query("accrued_to_cutoff", plan_sql("SELECT CAST(c AS VARCHAR) AS date_date, hp_class, prem_c / 100 AS accrued_and_collected_premium FROM accrued"))
 def accrued_to_cutoff(spark, sf):
     t, premium = _premium(spark, sf, *_ACCRUAL_COLUMNS)
-    return L.accrued_to_cutoff(K.signed_collections(premium, t), L.plan_classes(premium), PLAN_START, PLAN_AS_OF)
+    return L.accrued_to_cutoff(_accrual_collections(premium, t), L.plan_classes(premium), PLAN_START, PLAN_AS_OF)
 
 
 _FINEST = "SELECT c, hp_class, ss_class, paid_c, prem_c FROM finest"
@@ -170,7 +178,7 @@ _LEVELS = """SELECT 0 AS granularity_level, c, 'Overall' AS hp_class, ss_class,
 def loss_ratio_report(spark, sf):
     t, premium = _premium(spark, sf, *dict.fromkeys((*_ACCRUAL_COLUMNS, *CLAIM_PLAN_COLUMNS)))
     return L.loss_ratio_report(
-        premium, K.signed_collections(premium, t), C.claims_report(t, premium, PLAN_AS_OF, RULES), PLAN_AS_OF, PLAN_START
+        premium, _accrual_collections(premium, t), C.claims_report(t, premium, PLAN_AS_OF, RULES), PLAN_AS_OF, PLAN_START
     )
 
 

@@ -113,3 +113,16 @@ def test_transaction_times_are_dates_before_they_are_shuffled(spark):
     above = [n for n, line in enumerate(text) if "SortMergeJoin [amendment_id" in line or "HashJoin [amendment_id" in line][0]
     assert any("confirmed_at" in line for line in text) and not any("confirmed_at" in line for line in text[:above])
     assert not any("Exchange" in line and "confirmed_at" in text[n + 1] and "_date" not in text[n + 1] for n, line in enumerate(text[:-1]))
+
+
+def test_the_loss_ratio_report_has_done_with_its_joins_side_by_side(spark):
+    """Claims and collections are summed up one after the other, so that what the one has shuffled leaves the disk first:
+    the result reads their sums, and no table of the size of claims or payments."""
+    text = plan(spark, "loss_ratio_report")
+    assert "/paid-" in text and "/earned-" in text
+    assert not any(f"/{name}-" in text for name in ("premium", "payments", "claims")) and "lineitem" not in text and "events" not in text
+
+
+def test_months_of_an_instalment_meet_in_one_shuffle(spark):
+    text = plan(spark, "accrued_to_cutoff")
+    assert sum("Exchange hashpartitioning(amendment_id" in line and "installment_number" in line for line in text.splitlines()) == 1
