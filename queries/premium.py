@@ -10,7 +10,7 @@ from lossledger.plans import collections as K
 from lossledger.plans import loss_ratio as L
 from lossledger.plans import premium as P
 from lossledger.plans.membership import cancellation_dates
-from lossledger.sources.tables import materialise, work_tables
+from lossledger.sources.tables import materialise, outside_block, work_tables
 from queries.plan_sql import AS_OF, local, plan_sql
 from queries.registry import query
 from queries.standins import OWN_CLINIC, PLAN_AS_OF, PLAN_START, Standins
@@ -124,7 +124,8 @@ def _premium(spark, sf, *columns):
     t = Standins(spark, sf)
     with work_tables(spark):
         report = P.premium_report(t, PLAN_AS_OF)
-        return t, materialise(report.select(*columns) if columns else report, "premium", outside=True)
+        with outside_block():
+            return t, materialise(report.select(*columns) if columns else report, "premium")
 
 
 def _accrual_collections(premium, t):
